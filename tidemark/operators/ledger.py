@@ -9,6 +9,11 @@ from ..functions import scalars as S
 from ..params import RULES, Rules
 from . import series
 
+CLOSING = {
+    "exit_price": "double", "pnl_gross": "double", "pnl_net": "double", "fees": "double",
+    "reason": "string", "hold_days": "int", "win": "boolean",
+}
+# Order ids that stand for no resting order.
 NEVER_QUERIED = ["", "FLATTEN_FAILED"]
 
 
@@ -49,6 +54,17 @@ def numbered(df: DataFrame, order: list[str], base: int = 0, parts: int | None =
     return ranked.withColumn("row_id", S.row_id(F.col("_n") + base)).drop("_n")
 
 
+def opened(positions: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """OPEN ledger rows for entries (symbol, entry_date, entry_price, signal_prob); the closing fields are null."""
+    empty = {name: F.lit(None).cast(kind) for name, kind in CLOSING.items()}
+    return positions.select(
+        F.col("entry_date").alias("date"), "symbol", F.lit("OPEN").alias("action"), "entry_price",
+        *[value.alias(name) for name, value in empty.items()],
+        F.lit(None).cast("double").alias("balance_after"), "signal_prob", F.lit(rules.trade_size).alias("trade_size"),
+        F.lit("").alias("stop_order_id"), F.lit(None).cast("double").alias("fill_qty"),
+    )
+
+
 def open_positions(ledger: DataFrame, run_date: Column, rules: Rules = RULES) -> DataFrame:
     """OPEN rows without an exit price, entered within the last 90 days."""
     return ledger.filter(

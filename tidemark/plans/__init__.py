@@ -1,6 +1,9 @@
 """Registered queries over the given tables."""
 
-from .registry import QUERIES, SQL
-from . import q_indicators  # noqa: F401
+from . import q_indicators, q_positions  # noqa: F401
+from .registry import QUERIES
+from .registry import SQL as _RENDER
+
+SQL = {name: render() for name, render in _RENDER.items()}
 
 __all__ = ["QUERIES", "SQL"]

@@ -132,14 +132,15 @@ def placed(bar_rows: DataFrame) -> DataFrame:
     )
 
 
-def exited(spark: SparkSession, sf_dir: str) -> DataFrame:
+def exited(bar_rows: DataFrame) -> DataFrame:
     """All positions with their first exit; unresolved ones have null exit columns."""
-    return exits.first_exit(placed(bars(spark, sf_dir)))
+    return exits.first_exit(placed(bar_rows))
 
 
-def trades(spark: SparkSession, sf_dir: str, scale: float = 1.0) -> DataFrame:
+def trades(bar_rows: DataFrame, scale: float = 1.0) -> DataFrame:
     """Closed trades with their result at the fixed size."""
-    return ledger.with_pnl(exits.resolved(exited(spark, sf_dir)).withColumn("trade_size", F.lit(RULES.trade_size * scale)))
+    closed = exits.resolved(exited(bar_rows))
+    return ledger.with_pnl(closed.withColumn("trade_size", F.lit(RULES.trade_size * scale)))
 
 
 def candidates(bar_rows: DataFrame) -> DataFrame:
@@ -166,3 +167,12 @@ def live_trades(closed: DataFrame) -> DataFrame:
     return closed.filter(F.weekday("entry_date") < 5).withColumn(
         "reason", F.when(wrong, "SL").otherwise(F.col("reason"))
     )
+
+
+def entry_signals(bar_rows: DataFrame) -> DataFrame:
+    """Bars whose stand-in probability reaches the threshold."""
+    scored = bar_rows.select(
+        "date", "symbol", "close", score().alias("prob"),
+        S.flow_ratio(F.col("taker").cast("double"), F.col("vi").cast("double")).alias("ofi"),
+    )
+    return scored.filter(F.col("prob") >= RULES.signal_threshold)

@@ -121,7 +121,7 @@ def w12(spark, sf):
     from ..operators import ledger, risk
 
     bars = inputs.bars(spark, sf)
-    equity = ledger.equity_curve(inputs.trades(spark, sf), bars)
+    equity = ledger.equity_curve(inputs.trades(bars), bars)
     return risk.with_peak(equity).select("date", S.presented("balance", 6).alias("balance"),
                                          S.presented("peak", 6).alias("peak"))
 
@@ -172,7 +172,8 @@ select date, {r('balance/lag(balance) over (order by date) - 1', 9)} as ret from
 def w17(spark, sf):
     from ..operators import ledger, metrics
 
-    equity = ledger.equity_curve(inputs.trades(spark, sf), inputs.bars(spark, sf))
+    bars = inputs.bars(spark, sf)
+    equity = ledger.equity_curve(inputs.trades(bars), bars)
     return metrics.equity_returns(equity).select("date", S.presented("ret", 9).alias("ret"))
 
 

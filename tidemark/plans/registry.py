@@ -11,10 +11,10 @@ from ..session import prepare
 Query = Callable[[SparkSession, str], DataFrame]
 
 QUERIES: dict[str, Query] = {}
-SQL: dict[str, str] = {}
+SQL: dict[str, Callable[[], str]] = {}
 
 
-def query(name: str, sql: str | None = None):
+def query(name: str, sql: Callable[[], str] | None = None):
     """Register ``fn(spark, sf_dir)`` under ``name``."""
 
     def register(fn: Query) -> Query:

@@ -10,20 +10,24 @@ def part(name: str, needs: list[str], text: str) -> None:
     PARTS[name] = (needs, text.strip())
 
 
-def sql(body: str, *names: str, recursive: bool = False) -> str:
-    """``body`` behind the named parts and everything they need."""
-    ordered: list[str] = []
-
-    def visit(name: str) -> None:
-        for need in PARTS[name][0]:
-            visit(need)
-        if name not in ordered:
-            ordered.append(name)
-
-    for name in names:
-        visit(name)
-    ctes = ",\n".join(f"{n} as (\n{PARTS[n][1]}\n)" for n in ordered)
-    return (f"with {ctes}\n" if ctes else "") + body.strip()
+def sql(body: str, *names: str):
+    """``body`` behind the named parts and everything they need; rendered when all parts are known."""
+
+    def render() -> str:
+        ordered: list[str] = []
+
+        def visit(name: str) -> None:
+            for need in PARTS[name][0]:
+                visit(need)
+            if name not in ordered:
+                ordered.append(name)
+
+        for name in names:
+            visit(name)
+        ctes = ",\n".join(f"{n} as (\n{PARTS[n][1]}\n)" for n in ordered)
+        return (f"with {ctes}\n" if ctes else "") + body.strip()
+
+    return render
 
 
 def d(x: float) -> str:
