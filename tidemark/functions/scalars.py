@@ -76,11 +76,11 @@ def half_even(value: Column | str, digits: int) -> Column:
 
 
 def prob_too_low(prob: Column) -> Column:
-    return F.format_string("PROB_TOO_LOW_%.4f", prob)
+    return F.format_string("PROB_TOO_LOW_%.4f", half_even(prob, 4))
 
 
 def flow_negative(flow: Column) -> Column:
-    return F.format_string("OFI_NEGATIVE_%+.4f", flow)
+    return F.format_string("OFI_NEGATIVE_%+.4f", half_even(flow, 4))
 
 
 def reason_code(reason: Column) -> Column:

@@ -297,8 +297,8 @@ part("walked_small", ["cands", "daystate"], ADMIT_SQL.replace("d.balance*0.01",
 REASON_SQL = """
 select date, symbol, prob, ofi, halted,
   case when halted then 'KILL_SWITCH_HALTED' when n_open + coalesce(entered, 0) >= 3 then 'MAX_POSITIONS'
-       when in_position then 'ALREADY_IN_POS' when prob < 0.6 then 'PROB_TOO_LOW_' || printf('%.4f', prob)
-       when ofi <= 0 then 'OFI_NEGATIVE_' || printf('%+.4f', ofi) when trade_size < 15 then 'MIN_ORDER_SIZE'
+       when in_position then 'ALREADY_IN_POS' when prob < 0.6 then 'PROB_TOO_LOW_' || printf('%.4f', round_even(prob, 4))
+       when ofi <= 0 then 'OFI_NEGATIVE_' || printf('%+.4f', round_even(ofi, 4) + cast(0 as double)) when trade_size < 15 then 'MIN_ORDER_SIZE'
        else 'NONE' end as reject_reason
 from {walked}
 qualify reject_reason <> 'MAX_POSITIONS'
