@@ -115,10 +115,9 @@ def enough_history(df: DataFrame, minimum: int = RULES.min_history) -> DataFrame
     return df.join(enough, "symbol")
 
 
-def completeness(df: DataFrame, run_date: Column) -> DataFrame:
-    """Mark a symbol's last bar partial if it is not before the run date."""
-    last = df.groupBy("symbol").agg(F.max("date").alias("last_date"))
-    return last.withColumn("state", F.when(F.col("last_date") >= run_date, "partial").otherwise("complete"))
+def bar_state(last_date: Column, run_date: Column) -> Column:
+    """A symbol's last bar is partial if it is not before the run date."""
+    return F.when(last_date >= run_date, "partial").otherwise("complete")
 
 
 def latest_complete(df: DataFrame, run_date: Column) -> DataFrame:
