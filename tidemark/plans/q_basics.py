@@ -201,7 +201,7 @@ def s10(spark, sf):
     rows = signal_log(spark, sf)
     path = scratch_path(spark, "signals")
     sinks.append_signals(rows, path)
-    back = spark.read.parquet(path)
+    back = sinks.read_signals(spark, path, F.lit("1900-01-01").cast("date"), F.lit("2100-01-01").cast("date"))
     counted = back.groupBy("date", "symbol").agg(F.min("reject_reason").alias("reject_reason"), F.count(F.lit(1)).alias("copies"))
     return counted.select("date", "symbol", "reject_reason", "copies")
 
@@ -224,7 +224,7 @@ def s12(spark, sf):
     root = scratch_path(spark, "store")
     sinks.create_missing(spark, root)
     bars = inputs.bars(spark, sf)
-    sinks.append_signals(signal_log(spark, sf), f"{root}/signals_by_day")
+    sinks.append_signals(signal_log(spark, sf), f"{root}/signals_by_month")
     closed = inputs.trades(bars)
     have = {c: F.col(c) for c in closed.columns}
     have["date"] = F.col("entry_date")
@@ -232,9 +232,14 @@ def s12(spark, sf):
     sinks.append_trades(closed.select(*[have.get(c, F.lit(None)).cast(t).alias(c) for c, t in types.items()]), f"{root}/trades")
     if sinks.create_missing(spark, root):  # nothing is missing any more, and nothing is overwritten
         raise RuntimeError("a table was created twice")
-    one = lambda name, path: (lambda t: t.agg(F.count(F.lit(1)).alias("n_rows")).select(
-        F.lit(name).alias("name"), F.lit(len(t.columns)).alias("n_columns"), "n_rows"))(spark.read.parquet(path))
-    return one("trades", f"{root}/trades").unionByName(one("signals", f"{root}/signals_by_day"))
+
+    def count(name, t):
+        return t.agg(F.count(F.lit(1)).alias("n_rows")).select(
+            F.lit(name).alias("name"), F.lit(len(t.columns)).alias("n_columns"), "n_rows")
+
+    every = F.lit("1900-01-01").cast("date"), F.lit("2100-01-01").cast("date")
+    signals = sinks.read_signals(spark, f"{root}/signals_by_month", *every)
+    return count("trades", spark.read.parquet(f"{root}/trades")).unionByName(count("signals", signals))
 
 
 # ---- filters ----

@@ -37,8 +37,16 @@ def signal_rows(logged: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 
 def append_signals(rows: DataFrame, path: str) -> None:
-    """Append by day. Rows of a day are spread by symbol, so a day with most of the rows is not one task."""
-    rows.repartition("date", "symbol").write.mode("append").partitionBy("date").parquet(path)
+    """Append under monthly folders: a folder per day would hold a few rows each over a long history. Rows of
+    a month are spread by symbol, so a month with most of the rows is not one task."""
+    monthly = rows.withColumn("month", F.date_format("date", "yyyy-MM"))
+    monthly.repartition("month", "symbol").write.mode("append").partitionBy("month").parquet(path)
+
+
+def read_signals(spark: SparkSession, path: str, start: Column, end: Column) -> DataFrame:
+    """Signals of a date window; the month prunes folders, the dates reach the scan."""
+    month = F.col("month").between(F.date_format(start, "yyyy-MM"), F.date_format(end, "yyyy-MM"))
+    return spark.read.parquet(path).filter(month & F.col("date").between(start, end)).drop("month")
 
 
 def append_trades(rows: DataFrame, path: str) -> None:
