@@ -127,11 +127,11 @@ def boosted(trees: int):
     regularisers it shares."""
     from pyspark.ml.classification import GBTClassifier
 
-    return GBTClassifier(
+    model = GBTClassifier(
         featuresCol="x", labelCol="target", maxIter=trees, maxDepth=4, stepSize=0.05, subsamplingRate=0.8,
-        featureSubsetStrategy="0.8", minInstancesPerNode=5, minInfoGain=0.0005, seed=42,
-        probabilityCol="p_boosted", predictionCol="y_boosted", rawPredictionCol="r_boosted",
+        featureSubsetStrategy="0.8", minInstancesPerNode=5, minInfoGain=0.0005, seed=42, predictionCol="y_boosted",
     )
+    return model.setProbabilityCol("p_boosted").setRawPredictionCol("r_boosted")
 
 
 def _up(column: str) -> Column:

@@ -1,6 +1,6 @@
 """Registered queries over the given tables."""
 
-from . import q_basics, q_indicators, q_positions, q_research, q_results  # noqa: F401
+from . import q_basics, q_indicators, q_positions, q_research, q_results, q_streaming  # noqa: F401
 from .registry import QUERIES
 from .registry import SQL as _RENDER
 

@@ -297,18 +297,20 @@ def m08(spark, sf):
 
 
 part("next_score", ["bbars"], """
-select a.symbol, a.date, (select min(b.date) from bbars b where b.symbol = a.symbol and b.date >= a.date + 5) as next_date from bbars a
+select symbol, date, min(date) over (partition by symbol order by date range between interval 5 days following and unbounded following) as next_date
+from bbars
+""")
+part("chain", ["next_score"], """
+select symbol, min(date) as date from next_score group by 1
+union all
+select n.symbol, n.next_date from chain c join next_score n on n.symbol = c.symbol and n.date = c.date where n.next_date is not null
 """)
 
 
-@query("m09_cadence", lambda: sql("select 1", "next_score")().rsplit("select 1", 1)[0].replace("with ", "with recursive ", 1) + """,
-chain as (
-  select symbol, min(date) as date from bbars group by 1
-  union all
-  select n.symbol, n.next_date from chain c join next_score n on n.symbol = c.symbol and n.date = c.date where n.next_date is not null)
+@query("m09_cadence", sql("""
 select b.symbol, b.date, max(c.date) as scored_on, arg_max((s.vi % 100)/100.0::double, c.date) as prob
 from bbars b join chain c on c.symbol = b.symbol and c.date <= b.date and c.date > b.date - 15
-join bbars s on s.symbol = c.symbol and s.date = c.date group by 1, 2""")
+join bbars s on s.symbol = c.symbol and s.date = c.date group by 1, 2""", "bbars", "chain"))
 def m09(spark, sf):
     bars = materialize(inputs.business_bars(spark, sf))
     due = training.retrain_dates(bars, 5)

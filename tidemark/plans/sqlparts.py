@@ -6,6 +6,10 @@ from __future__ import annotations
 PARTS: dict[str, tuple[list[str], str]] = {}
 
 
+# parts read by every step of a recursion
+HELD = {"next_score"}
+
+
 def part(name: str, needs: list[str], text: str) -> None:
     PARTS[name] = (needs, text.strip())
 
@@ -24,8 +28,9 @@ def sql(body: str, *names: str):
 
         for name in names:
             visit(name)
-        ctes = ",\n".join(f"{n} as (\n{PARTS[n][1]}\n)" for n in ordered)
-        return (f"with {ctes}\n" if ctes else "") + body.strip()
+        ctes = ",\n".join(f"{n} as {'materialized ' if n in HELD else ''}(\n{PARTS[n][1]}\n)" for n in ordered)
+        recursive = "recursive " if "chain" in ordered else ""
+        return (f"with {recursive}{ctes}\n" if ctes else "") + body.strip()
 
     return render
 
