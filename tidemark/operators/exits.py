@@ -111,12 +111,15 @@ def first_exit(placed: DataFrame, rules: Rules = RULES, **rates: Column) -> Data
         overdue = F.datediff(bar["date"], entry_date) >= rules.max_hold
         return (bar["high"] >= F.col("_target")) | (bar["low"] <= floor) | overdue
 
-    hit = F.get(F.filter(F.transform(path, with_armed), exits_here), F.lit(0))
+    # generated columns, not expressions: what follows reads them without repeating the search
+    first = F.inline_outer(F.slice(F.filter(F.transform(path, with_armed), exits_here), 1, 1))
+    names = ["_date", "_open", "_high", "_low", "_close", "_armed"]
+    kept = [c for c in placed.columns if c != "path"]
+    found = leveled.select(*kept, "_target", "_stop", "_trigger", first.alias(*names))
+    bar = {n[1:]: F.col(n) for n in names}
     known = {**level, "target": F.col("_target"), "stop": F.col("_stop"), "trigger": F.col("_trigger")}
-    found = leveled.withColumn("_hit", hit).withColumn(
-        "_exit", bar_exit(entry, entry_date, F.col("_hit"), F.col("_hit.armed"), known, rules)
-    )
-    return found.select(*[c for c in placed.columns if c != "path"], "_exit.*")
+    settled = found.withColumn("_exit", bar_exit(entry, entry_date, bar, F.col("_armed"), known, rules))
+    return settled.select(*kept, "_exit.*")
 
 
 def resolved(df: DataFrame) -> DataFrame:

@@ -36,7 +36,7 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: str, **out
     upto = _spec(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = _spec(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     earlier = _spec(keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    position = F.struct(*order)
+    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
 
     inside, totals, carries, finals = [], [], [], []
     for name, spec in outs.items():
@@ -89,15 +89,10 @@ def blocks(df: DataFrame, back: int, ahead: int = 0, rows: int = BLOCK_ROWS) ->
     ``rows`` is one block.
     """
     at = F.col("rn") - 1
-    home = F.floor(at / rows)
     first = F.floor(F.greatest(at - ahead, F.lit(0)) / rows)
     last = F.floor((at + back) / rows)
-    return (
-        df.withColumn("_home", home)
-        .withColumn("block", F.explode(F.sequence(first, last)))
-        .withColumn("own", F.col("block") == F.col("_home"))
-        .drop("_home")
-    )
+    copied = df.select("*", F.explode(F.sequence(first, last)).alias("block"))
+    return copied.select("*", (F.col("block") == F.floor(at / rows)).alias("own"))
 
 
 def block_window(keys: list[str] = ["symbol"]):
