@@ -82,7 +82,8 @@ def position_exits(bars: DataFrame, rules: Rules = RULES) -> DataFrame:
             held = kept
         state.update(tuple(list(x) for x in zip(*held)) if held else ([], [], []))
         columns = ["symbol", "entry_date", "exit_date", "reason", "hold_days", "exit_price", "pnl_pct", "entry_price"]
-        yield pd.DataFrame(out, columns=columns)
+        if out:
+            yield pd.DataFrame(out, columns=columns)
 
     return bars.groupBy("symbol").applyInPandasWithState(
         step, EXIT_OUT, EXIT_STATE, "append", GroupStateTimeout.NoTimeout
