@@ -153,3 +153,12 @@ def test_scalar_edges(spark):
     assert row.asDict() == {
         "zero": None, "unknown": 0, "gain": None, "blank": None, "soon": None, "true": True, "monday": 0, "code": "OFI_NEGATIVE",
         "value": -0.25, "hold": "MAX_HOLD", "plain": "MAX_POSITIONS", "tr": 2.0, "wide": "T12345", "none": "PROB_TOO_LOW_0.0000", "no_minus_zero": "0.0"}
+
+
+def test_rounding_follows_the_binary_value(spark):
+    values = [83.09955, 0.00625, -0.53125, 0.53125, 2.675, 0.125, 1e-9, -1e-9, 0.0, 1879.48, 2.5, -2.5, 3.5, 0.99995, 123456.785]
+    df = spark.createDataFrame([(v,) for v in values], "v double").select("v", *[S.half_even("v", k).alias(f"d{k}") for k in (0, 2, 4)])
+    for r in df.collect():
+        assert [r["d0"], r["d2"], r["d4"]] == [round(r["v"], 0) + 0.0, round(r["v"], 2) + 0.0, round(r["v"], 4) + 0.0]
+    text = spark.createDataFrame([(v,) for v in values], "v double").select("v", S.flow_negative(F.col("v")).alias("t"))
+    assert all(r["t"] == f"OFI_NEGATIVE_{r['v']:+.4f}" for r in text.collect())

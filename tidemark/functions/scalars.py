@@ -71,16 +71,42 @@ def presented(value: Column | str, digits: int) -> Column:
     return F.round(col(value), digits) + F.lit(0.0)
 
 
+def binary_round(value: Column | str, digits: int) -> Column:
+    """Round half to even on the exact binary value, as text formatting does, keeping the sign of zero.
+
+    ``bround`` looks at the shortest decimal form and so sees a tie where the stored value lies beside it.
+    The rounding error of ``value * 10^digits`` is computed exactly by splitting both factors, which tells
+    on which side of the tie the value lies.
+    """
+    x, scale = col(value), 10.0**digits
+
+    def halves(v):
+        big = v * 134217729.0  # 2^27 + 1
+        high = big - (big - v)
+        return high, v - high
+
+    size = F.abs(x)
+    product = size * scale
+    (a, b), (c, d) = halves(size), halves(scale)
+    error = ((a * c - product) + a * d + b * c) + b * d
+    whole = F.floor(product)
+    rest = product - whole
+    up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
+    rounded = (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)
+    return F.when(x < 0, -rounded).otherwise(rounded)
+
+
 def half_even(value: Column | str, digits: int) -> Column:
-    return F.bround(col(value), digits) + F.lit(0.0)
+    """``binary_round`` without a negative zero."""
+    return binary_round(value, digits) + F.lit(0.0)
 
 
 def prob_too_low(prob: Column) -> Column:
-    return F.format_string("PROB_TOO_LOW_%.4f", half_even(prob, 4))
+    return F.format_string("PROB_TOO_LOW_%.4f", binary_round(prob, 4))
 
 
 def flow_negative(flow: Column) -> Column:
-    return F.format_string("OFI_NEGATIVE_%+.4f", half_even(flow, 4))
+    return F.format_string("OFI_NEGATIVE_%+.4f", binary_round(flow, 4))
 
 
 def reason_code(reason: Column) -> Column:

@@ -56,9 +56,11 @@ def admit(cands: DataFrame, days: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Logged candidates with ``reject_reason``.
 
     ``cands``: date, symbol, prob, ofi, in_position, close; unique per (date, symbol).
-    ``days``: one row per calendar day with n_open, halted and balance, which bounds its broadcast.
+    ``days``: n_open, halted and balance per day. Every broadcast here is made unique per day first, so it
+    has at most 366 small rows a year.
     ``cands`` is read by three branches: pass a table or a materialized frame.
     """
+    days = days.dropDuplicates(["date"])
     day = F.broadcast(days.withColumn("slots", F.greatest(rules.max_positions - F.col("n_open"), F.lit(0))))
     rows = (
         cands.join(day, "date")

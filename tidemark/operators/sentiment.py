@@ -14,13 +14,14 @@ from . import series
 def align(bars: DataFrame, sentiment: DataFrame | None) -> DataFrame:
     """Add ``fg``: the day's value, else the last value that fell on an earlier bar of the symbol, else 50.
 
-    The exact-date join comes first, so a value before the first bar is never carried in. ``sentiment``
-    holds one row per calendar day, which bounds the broadcast whatever the number of bars. Without a
-    series ``fg`` is null and the features take their constants.
+    The exact-date join comes first, so a value before the first bar is never carried in. The broadcast
+    side is grouped by day here, so it has at most 366 small rows a year whatever it was made from. Without
+    a series ``fg`` is null and the features take their constants.
     """
     if sentiment is None:
         return bars.withColumn("fg", F.lit(None).cast("double"))
-    joined = bars.join(F.broadcast(sentiment.select("date", F.col("value").alias("_day_value"))), "date", "left")
+    days = sentiment.groupBy("date").agg(F.max("value").alias("_day_value"))
+    joined = bars.join(F.broadcast(days), "date", "left")
     filled = series.running(
         joined.withColumn("_year", series.year_bucket()), ["symbol"], ["date"], "_year",
         _filled=("last", "_day_value"),

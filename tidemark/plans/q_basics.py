@@ -117,8 +117,8 @@ def signal_log(spark, sf):
 
 
 SIGNAL_SQL = f"""
-select l.date, l.symbol, round_even(c.close, 6) as close, round_even(l.prob, 4) as ensemble_prob, l.reject_reason = 'NONE' as signal_fired,
-  l.reject_reason, round_even(l.ofi, 4) + cast(0 as double) as ofi_value, case when l.ofi > 0 then 'YES' else 'NO' end as ofi_gate_pass, c.in_position
+select l.date, l.symbol, cast(printf('%.6f', c.close) as double) as close, cast(printf('%.4f', l.prob) as double) as ensemble_prob, l.reject_reason = 'NONE' as signal_fired,
+  l.reject_reason, cast(printf('%.4f', l.ofi) as double) + cast(0 as double) as ofi_value, case when l.ofi > 0 then 'YES' else 'NO' end as ofi_gate_pass, c.in_position
 from logged l join cands c using (date, symbol)"""
 SIGNAL_COLUMNS = ["date", "symbol", "close", "ensemble_prob", "signal_fired", "reject_reason", "ofi_value", "ofi_gate_pass", "in_position"]
 part("signal_log", ["logged", "cands", "rsi", "atr"], SIGNAL_SQL + " join rsi using (date, symbol) join atr using (date, symbol)")
@@ -468,8 +468,8 @@ def c13(spark, sf):
 
 
 @query("c14_format_reason", sql("""
-select date, symbol, 'PROB_TOO_LOW_' || printf('%.4f', round_even(prob, 4)) as low,
-       'OFI_NEGATIVE_' || printf('%+.4f', round_even(ofi, 4) + cast(0 as double)) as negative from cands""", "cands"))
+select date, symbol, 'PROB_TOO_LOW_' || printf('%.4f', prob) as low,
+       'OFI_NEGATIVE_' || printf('%+.4f', ofi) as negative from cands""", "cands"))
 def c14(spark, sf):
     return inputs.candidates(inputs.bars(spark, sf)).select(
         "date", "symbol", S.prob_too_low(F.col("prob")).alias("low"), S.flow_negative(F.col("ofi")).alias("negative"))
@@ -477,7 +477,7 @@ def c14(spark, sf):
 
 @query("c15_split_reason", sql("""
 select date, symbol, case when reject_reason like 'PROB%' then 'PROB_TOO_LOW' when reject_reason like 'OFI%' then 'OFI_NEGATIVE' else reject_reason end as code,
-  case when reject_reason like 'PROB%' then round_even(prob, 4) when reject_reason like 'OFI%' then round_even(ofi, 4) + cast(0 as double) end as value
+  case when reject_reason like 'PROB%' then cast(printf('%.4f', prob) as double) when reject_reason like 'OFI%' then cast(printf('%.4f', ofi) as double) + cast(0 as double) end as value
 from logged""", "logged"))
 def c15(spark, sf):
     rows = admitted(inputs.bars(spark, sf))
@@ -490,7 +490,7 @@ def c16(spark, sf):
 
 
 @query("c17_rounding", sql("""
-select symbol, date, round_even(close, 2) as d2, round_even(close, 4) as d4, round_even(close, 6) as d6 from bars""", "bars"))
+select symbol, date, cast(printf('%.2f', close) as double) as d2, cast(printf('%.4f', close) as double) as d4, cast(printf('%.6f', close) as double) as d6 from bars""", "bars"))
 def c17(spark, sf):
     return inputs.bars(spark, sf).select("symbol", "date", *[S.half_even("close", k).alias(f"d{k}") for k in (2, 4, 6)])
 
@@ -528,7 +528,7 @@ def c21(spark, sf):
 
 
 @query("c22_state_json", sql("""
-select c_custkey, round_even(c_acctbal, 4) as balance, c_acctbal < 0 as halted, cast(10000 as double) as peak_balance from customer"""))
+select c_custkey, cast(printf('%.4f', c_acctbal) as double) as balance, c_acctbal < 0 as halted, cast(10000 as double) as peak_balance from customer"""))
 def c22(spark, sf):
     # text written and parsed again; the peak is missing, so it takes its default
     doc = F.to_json(F.struct(F.col("c_acctbal").alias("balance"), F.when(F.col("c_acctbal") < 0, "True").otherwise("False").alias("halted")))
