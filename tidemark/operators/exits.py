@@ -94,31 +94,39 @@ def first_exit(placed: DataFrame, rules: Rules = RULES, **rates: Column) -> Data
     """
     entry, entry_date, path = F.col("entry_price"), F.col("entry_date"), F.col("path")
     level = levels(entry, rules, **rates)
-    seed = F.coalesce(F.col("entry_high") >= level["trigger"], F.lit(False)) if rules.seed_entry_day else F.lit(False)
-    leveled = placed.withColumns({
-        "_target": level["target"], "_stop": level["stop"], "_trigger": level["trigger"], "_seed": seed,
-    })
-
-    def with_armed(bar: Column, i: Column) -> Column:
-        earlier = F.exists(F.slice(path, F.lit(1), i), lambda b: b["high"] >= F.col("_trigger"))
-        return F.struct(
-            bar["date"].alias("date"), bar["open"].alias("open"), bar["high"].alias("high"),
-            bar["low"].alias("low"), bar["close"].alias("close"), (F.col("_seed") | earlier).alias("armed"),
-        )
-
-    def exits_here(bar: Column) -> Column:
-        floor = F.when(bar["armed"], F.col("_trigger")).otherwise(F.col("_stop"))
+    kept = [c for c in placed.columns if c != "path"]
+    known = {**level, "target": F.col("_target"), "stop": F.col("_stop"), "trigger": F.col("_trigger")}
+    bars = [F.get(path, F.lit(k)) for k in range(rules.max_hold)]
+
+    # the bar from which on the stop is armed: the one after the first touch of the trigger
+    touches = [bar["high"] >= known["trigger"] for bar in bars]
+    if rules.seed_entry_day:
+        touches = [F.col("entry_high") >= known["trigger"], *touches]
+    first_armed = 1 if rules.seed_entry_day else 2
+    armed_from = F.lit(rules.max_hold + 2)
+    for k, touch in reversed(list(enumerate(touches, first_armed))):
+        armed_from = F.when(touch, k).otherwise(armed_from)
+
+    # the first bar with an exit
+    at = F.lit(None).cast("int")
+    for k, bar in reversed(list(enumerate(bars, 1))):
+        floor = F.when(F.col("_armed_from") <= k, known["trigger"]).otherwise(known["stop"])
         overdue = F.datediff(bar["date"], entry_date) >= rules.max_hold
-        return (bar["high"] >= F.col("_target")) | (bar["low"] <= floor) | overdue
+        at = F.when((bar["high"] >= known["target"]) | (bar["low"] <= floor) | overdue, k).otherwise(at)
 
-    # generated columns, not expressions: what follows reads them without repeating the search
-    first = F.inline_outer(F.slice(F.filter(F.transform(path, with_armed), exits_here), 1, 1))
-    names = ["_date", "_open", "_high", "_low", "_close", "_armed"]
-    kept = [c for c in placed.columns if c != "path"]
-    found = leveled.select(*kept, "_target", "_stop", "_trigger", first.alias(*names))
+    found = (
+        placed.select("*", level["target"].alias("_target"), level["stop"].alias("_stop"), level["trigger"].alias("_trigger"))
+        .withColumn("_armed_from", armed_from)
+        .withColumn("_at", at)
+    )
+    # generated columns, not expressions: what follows reads the bar without repeating the search
+    names = ["_date", "_open", "_high", "_low", "_close"]
+    hit = found.select(
+        *kept, "_target", "_stop", "_trigger", (F.col("_at") >= F.col("_armed_from")).alias("_armed"),
+        F.inline_outer(F.slice(path, F.col("_at"), F.lit(1))).alias(*names),
+    )
     bar = {n[1:]: F.col(n) for n in names}
-    known = {**level, "target": F.col("_target"), "stop": F.col("_stop"), "trigger": F.col("_trigger")}
-    settled = found.withColumn("_exit", bar_exit(entry, entry_date, bar, F.col("_armed"), known, rules))
+    settled = hit.withColumn("_exit", bar_exit(entry, entry_date, bar, F.col("_armed"), known, rules))
     return settled.select(*kept, "_exit.*")
 
 

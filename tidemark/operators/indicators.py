@@ -34,15 +34,25 @@ def momentum() -> list[Column]:
     return [spread.alias("mom_5_20"), F.signum("ret_5d").alias("mom_sign")]
 
 
-def add_rsi(df: DataFrame) -> DataFrame:
-    """Simple-mean RSI; an average loss of 0 makes it null."""
-    df = df.withColumn("_delta", R.difference("close", W()))
-    df = df.withColumns({
-        "_gain": R.full(F.avg, S.gain(F.col("_delta")), W(), P.RSI_SPAN),
-        "_loss": R.full(F.avg, S.loss(F.col("_delta")), W(), P.RSI_SPAN),
-    })
+def rsi_means() -> list[Column]:
+    """Mean gain and loss of ``_delta``, and whether all its values are there."""
+    delta, frame = F.col("_delta"), R.last(W(), P.RSI_SPAN)
+    return [
+        F.avg(S.gain(delta)).over(frame).alias("_gain"),
+        F.avg(S.loss(delta)).over(frame).alias("_loss"),
+        R.filled(delta, W(), P.RSI_SPAN).alias("_moved"),
+    ]
+
+
+def rsi_value() -> Column:
+    """Simple-mean RSI; a mean loss of 0 makes it null."""
     rsi = 100 - 100 / (1 + S.guarded_ratio(F.col("_gain"), F.col("_loss")))
-    return df.withColumn("rsi", rsi).drop("_delta", "_gain", "_loss")
+    return F.when(F.col("_moved"), rsi).alias("rsi")
+
+
+def add_rsi(df: DataFrame) -> DataFrame:
+    moved = df.withColumn("_delta", R.difference("close", W())).select("*", *rsi_means())
+    return moved.select("*", rsi_value()).drop("_delta", "_gain", "_loss", "_moved")
 
 
 def rsi_flags() -> list[Column]:
@@ -53,43 +63,85 @@ def rsi_flags() -> list[Column]:
     ]
 
 
+def true_range(previous: Column) -> Column:
+    return S.true_range(F.col("high"), F.col("low"), previous).alias("tr")
+
+
+def atr_mean() -> Column:
+    return R.full(F.avg, "tr", W(), P.ATR_SPAN).alias("atr")
+
+
+def atr_percent() -> Column:
+    return S.guarded_ratio(F.col("atr"), F.col("close")).alias("atr_pct")
+
+
 def add_atr(df: DataFrame) -> DataFrame:
-    previous = F.lag("close").over(W())
-    df = df.withColumn("tr", S.true_range(F.col("high"), F.col("low"), previous))
-    df = df.withColumn("atr", R.full(F.avg, "tr", W(), P.ATR_SPAN))
-    return df.withColumn("atr_pct", S.guarded_ratio(F.col("atr"), F.col("close")))
+    ranged = df.select("*", true_range(F.lag("close").over(W())))
+    return ranged.select("*", atr_mean()).select("*", atr_percent())
 
 
-def add_regime(df: DataFrame) -> DataFrame:
+def regime_stats() -> list[Column]:
+    frame = R.last(W(), P.REGIME_SPAN)
+    return [
+        F.avg("atr_pct").over(frame).alias("_level"),
+        F.stddev_samp("atr_pct").over(frame).alias("_spread"),
+        R.ordered_values("atr_pct", W(), P.REGIME_SPAN).alias("_ordered"),
+    ]
+
+
+def regime() -> list[Column]:
     """Z-score of atr_pct and the flag for its upper quartile, over 60 rows."""
-    q = R.quantile("atr_pct", W(), P.REGIME_SPAN, P.REGIME_QUANTILE)
-    return df.withColumns({
-        "atr_pct_z": R.zscore("atr_pct", W(), P.REGIME_SPAN),
-        "high_vol_regime": S.flag(F.col("atr_pct") > q),
-    })
+    atr, ordered = F.col("atr_pct"), F.col("_ordered")
+    z = S.guarded_ratio(atr - F.col("_level"), F.col("_spread"))
+    q = R.quantile(ordered, P.REGIME_SPAN, P.REGIME_QUANTILE)
+    return [F.when(F.size(ordered) == P.REGIME_SPAN, z).alias("atr_pct_z"), S.flag(atr > q).alias("high_vol_regime")]
 
 
-def add_ema(df: DataFrame, max_rows: int) -> DataFrame:
-    df = df.withColumn("_pos", F.row_number().over(W()) - 1)
-    df = df.withColumns({f"ema{s}": R.ema("close", "_pos", W(), s, max_rows) for s in P.EMA_SPANS})
+def add_regime(df: DataFrame) -> DataFrame:
+    return df.select("*", *regime_stats()).select("*", *regime()).drop("_level", "_spread", "_ordered")
+
+
+def block_position() -> Column:
+    return (F.row_number().over(W()) - 1).alias("_pos")
+
+
+def ema_means(max_rows: int) -> list[Column]:
+    return [R.ema("close", "_pos", W(), s, max_rows).alias(f"ema{s}") for s in P.EMA_SPANS]
+
+
+def ema_ratios() -> list[Column]:
     close, fast, slow = F.col("close"), F.col("ema20"), F.col("ema50")
-    return df.withColumns({
-        "price_ema20_ratio": S.guarded_ratio(close, fast) - 1,
-        "price_ema50_ratio": S.guarded_ratio(close, slow) - 1,
-        "ema20_ema50_ratio": S.guarded_ratio(fast, slow) - 1,
-    }).drop("_pos")
+    return [
+        (S.guarded_ratio(close, fast) - 1).alias("price_ema20_ratio"),
+        (S.guarded_ratio(close, slow) - 1).alias("price_ema50_ratio"),
+        (S.guarded_ratio(fast, slow) - 1).alias("ema20_ema50_ratio"),
+    ]
 
 
-def add_bands(df: DataFrame) -> DataFrame:
-    df = df.withColumns({
-        "_mean": R.full(F.avg, "close", W(), P.BAND_SPAN),
-        "_std": R.full(F.stddev_samp, "close", W(), P.BAND_SPAN),
-    })
+def add_ema(df: DataFrame, max_rows: int) -> DataFrame:
+    placed = df.select("*", block_position())
+    return placed.select("*", *ema_means(max_rows)).select("*", *ema_ratios()).drop("_pos")
+
+
+def band_stats() -> list[Column]:
+    frame = R.last(W(), P.BAND_SPAN)
+    return [
+        F.avg("close").over(frame).alias("_mean"),
+        F.stddev_samp("close").over(frame).alias("_std"),
+        R.filled("close", W(), P.BAND_SPAN).alias("_banded"),
+    ]
+
+
+def bands() -> list[Column]:
     upper, lower = F.col("_mean") + 2 * F.col("_std"), F.col("_mean") - 2 * F.col("_std")
-    return df.withColumns({
-        "bb_position": S.epsilon_ratio(F.col("close") - lower, upper - lower),
-        "bb_width": S.guarded_ratio(upper - lower, F.col("_mean")),
-    }).drop("_mean", "_std")
+    return [
+        F.when(F.col("_banded"), S.epsilon_ratio(F.col("close") - lower, upper - lower)).alias("bb_position"),
+        F.when(F.col("_banded"), S.guarded_ratio(upper - lower, F.col("_mean"))).alias("bb_width"),
+    ]
+
+
+def add_bands(df: DataFrame) -> DataFrame:
+    return df.select("*", *band_stats()).select("*", *bands()).drop("_mean", "_std", "_banded")
 
 
 def volume() -> list[Column]:
@@ -109,8 +161,7 @@ def bar_shape() -> list[Column]:
 
 def label() -> Column:
     """Next close above this close; null on the last bar, which is not trainable."""
-    following = F.lead("close").over(W())
-    return F.when(following.isNotNull(), (following > F.col("close")).cast("int")).alias("target")
+    return (F.lead("close").over(W()) > F.col("close")).cast("int").alias("target")
 
 
 def blocked(bars: DataFrame, back: int, ahead: int, build, rows: int = series.BLOCK_ROWS) -> DataFrame:
@@ -125,13 +176,17 @@ def features(bars: DataFrame, rows: int = series.BLOCK_ROWS) -> DataFrame:
 
     back = max(EMA_HALO, REGIME_HALO)
 
+    # three window passes over one sort: on the bars, on their changes and ranges, on the volatility
     def build(df: DataFrame) -> DataFrame:
-        df = df.select("*", *returns(), *volume(), *bar_shape(), S.day_of_week("date").alias("dow"),
-                       label(), *sentiment_features(W()))
-        df = df.select("*", *momentum())
-        df = add_rsi(df).select("*", *rsi_flags())
-        df = add_regime(add_atr(df))
-        return add_bands(add_ema(df, rows + back))
+        df = df.select(
+            "*", *returns(), *volume(), *bar_shape(), *band_stats(), *sentiment_features(W()), label(),
+            S.day_of_week("date").alias("dow"), block_position(), F.lag("close").over(W()).alias("_previous"),
+        )
+        previous = F.col("_previous")
+        df = df.select("*", *momentum(), *bands(), (F.col("close") - previous).alias("_delta"), true_range(previous))
+        df = df.select("*", *rsi_means(), atr_mean(), *ema_means(rows + back))
+        df = df.select("*", rsi_value(), atr_percent(), *ema_ratios())
+        return df.select("*", *rsi_flags(), *regime_stats()).select("*", *regime())
 
     out = blocked(bars, back, 1, build, rows)
     keep = ["symbol", "date", "rn", "close", "high", "low", "open", "volume"]

@@ -18,7 +18,9 @@ from pyspark.sql import functions as F
 
 from ..session import materialize
 
-BLOCK_ROWS = 4096
+# With the longest look-back (1000 rows) a window group stays below 4096 rows, up to which Spark's window
+# operator buffers in plain memory instead of a spillable sorter.
+BLOCK_ROWS = 3072
 
 
 def _spec(columns: list[str]):
