@@ -71,3 +71,13 @@ def test_ordinals_are_per_symbol(spark):
     pdf = pd.concat([walk("A", 500, 1), walk("B", 80, 2, start=dt.date(2021, 6, 1))])
     out = numbered(spark, pdf).orderBy("symbol", "date").toPandas()
     assert out.groupby("symbol")["rn"].apply(list).tolist() == [list(range(1, 501)), list(range(1, 81))]
+
+
+def test_equal_order_values_keep_their_totals(spark):
+    import datetime as dt
+
+    rows = [("A", dt.date(2023, 12, 31), 1.0)] * 5 + [("A", dt.date(2024, 1, 1), 2.0)] * 3 + [("A", dt.date(2025, 1, 1), 1.0)]
+    df = spark.createDataFrame(rows, "symbol string, date date, v double").withColumn("_year", F.year("date"))
+    out = series.running(df, ["symbol"], ["date"], "_year", n=("count",), s=("sum", "v")).collect()
+    assert sorted(r["n"] for r in out) == list(range(1, 10))
+    assert sorted(r["s"] for r in out) == [1.0, 2.0, 3.0, 4.0, 5.0, 7.0, 9.0, 11.0, 12.0]

@@ -123,6 +123,7 @@ def row_id(number: Column) -> Column:
 
 
 def sentiment_label(value: Column) -> Column:
+    # Levels and names.
     return (
         F.when(value <= 25, "Extreme Fear")
         .when(value <= 49, "Fear")

@@ -30,7 +30,8 @@ def _spec(columns: list[str]):
 def running(df: DataFrame, keys: list[str], order: list[str], bucket: str, **outs: tuple) -> DataFrame:
     """Add running values over ``order`` per ``keys``.
 
-    ``bucket`` must not decrease along ``order``. Each keyword names an output and gives
+    ``bucket`` must not decrease along ``order``. ``df`` is read by two branches: pass a table or a
+    materialized frame where it is costly. Each keyword names an output and gives
     ``("count",)``, ``("sum", col)``, ``("sum_before", col)``, ``("max", col)``,
     ``("max_before", col)`` or ``("last", col)`` (last non-null value).
     """
@@ -38,9 +39,11 @@ def running(df: DataFrame, keys: list[str], order: list[str], bucket: str, **out
     upto = _spec(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
     before = _spec(part).orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     earlier = _spec(keys).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
-    position = F.col(order[0]) if len(order) == 1 else F.struct(*order)
+    # rows with equal order values still get one place each, so a bucket's total is its last row's value
+    place = F.row_number().over(_spec(part).orderBy(*order)).alias("_place")
+    position = F.col("_place")
 
-    inside, totals, carries, finals = [], [], [], []
+    inside, totals, carries, finals = [place], [], [], []
     for name, spec in outs.items():
         kind = spec[0]
         value = F.col(spec[1]) if len(spec) > 1 else F.lit(1)

@@ -27,8 +27,8 @@ def daily(spark: SparkSession, sf_dir: str) -> DataFrame:
         lines.groupBy(F.col("l_returnflag").alias("symbol"), F.to_date("l_shipdate").alias("date"))
         .agg(
             F.count(F.lit(1)).alias("n"),
-            F.sum(F.round(F.col("l_discount") * 100).cast("bigint")).alias("di"),
-            F.sum(F.round(F.col("l_tax") * 100).cast("bigint")).alias("ti"),
+            F.sum(F.rint(F.col("l_discount") * 100).cast("bigint")).alias("di"),
+            F.sum(F.rint(F.col("l_tax") * 100).cast("bigint")).alias("ti"),
             F.sum(quantity).alias("vi"),
             F.sum(F.when(F.col("l_linestatus") == "O", quantity).otherwise(0)).alias("taker"),
         )

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import types as T
 
+# Column names and their order.
 BARS = "symbol string, date date, open double, high double, low double, close double, volume double"
 KLINES = "symbol string, ingest_seq bigint, k array<string>"
 SENTIMENT = "date date, value int"
