@@ -64,3 +64,12 @@ def test_the_plan_cuts_entries_before_the_shuffle(spark):
     days = spark.createDataFrame([(dt.date(2024, 1, 1), 0, False, 10000.0)], DAYS)
     plan = admission.admit(cands, days)._jdf.queryExecution().executedPlan().toString()
     assert "WindowGroupLimit" in plan
+
+
+def test_extended_names_insufficient_data(spark):
+    cands = spark.createDataFrame([(dt.date(2024, 1, 1), "A", 10.0, 0.0, 0.1, False, True), (dt.date(2024, 1, 1), "B", 10.0, 0.0, 0.1, False, False)],
+                                  CAND + ", insufficient boolean")
+    days = spark.createDataFrame([(dt.date(2024, 1, 1), 0, False, 10000.0)], DAYS)
+    assert {r["reject_reason"] for r in admission.admit(cands, days).collect()} == {"PROB_TOO_LOW_0.0000"}
+    rows = {r["symbol"]: r["reject_reason"] for r in admission.admit(cands, days, extended=True).collect()}
+    assert rows == {"A": "INSUFFICIENT_DATA", "B": "PROB_TOO_LOW_0.0000"}

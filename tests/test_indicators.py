@@ -143,3 +143,10 @@ def test_symbols_do_not_touch_each_other(spark):
     alone = engine_features(spark, walk("B", 150, 2))
     for name in FEATURES:
         close_enough(together[together["symbol"] == "B"][name].reset_index(drop=True), alone[name])
+
+
+def test_last_label_can_be_kept_as_zero(spark):
+    aligned = sentiment.align(numbered(spark, walk(n=90)), None)
+    plain = indicators.features(aligned).orderBy("date").toPandas()["target"]
+    kept = indicators.features(aligned, last_as_zero=True).orderBy("date").toPandas()["target"]
+    assert np.isnan(plain.iloc[-1]) and kept.iloc[-1] == 0 and plain.iloc[:-1].tolist() == kept.iloc[:-1].tolist()

@@ -92,3 +92,9 @@ def test_a_small_fit_end_to_end(features):
         assert 0 <= r["rf_prob"] <= 1 and 0 <= r["xgb_prob"] <= 1
         assert r["ensemble_prob"] == pytest.approx((r["rf_prob"] + r["xgb_prob"]) / 2)
         assert r["signal"] == (r["ensemble_prob"] >= 0.6)
+
+
+def test_walk_forward_scores_every_cutoff(features):
+    cutoffs = sorted(r["date"] for r in features.filter("symbol = 'A'").select("date").collect())[-2:]
+    rows = training.walk_forward(features, cutoffs, trees=2, parallelism=2).collect()
+    assert {(r["symbol"], r["date"]) for r in rows} == {(s, c) for s in "AB" for c in cutoffs}

@@ -39,20 +39,22 @@ def planned_levels(entry: Column, rules: Rules = RULES) -> list[Column]:
     ]
 
 
-def reject_reason(rules: Rules = RULES) -> Column:
+def reject_reason(rules: Rules = RULES, extended: bool = False) -> Column:
     """The reason of a candidate met while a slot is free; NONE means entry. Expects halted, in_position,
-    prob, ofi and trade_size."""
+    prob, ofi and trade_size. ``extended`` also expects insufficient and names it instead of a probability
+    of 0."""
+    first = F.when(F.col("halted"), F.lit("KILL_SWITCH_HALTED")).when(F.col("in_position"), F.lit("ALREADY_IN_POS"))
+    if extended:
+        first = first.when(F.col("insufficient"), F.lit("INSUFFICIENT_DATA"))
     return (
-        F.when(F.col("halted"), F.lit("KILL_SWITCH_HALTED"))
-        .when(F.col("in_position"), F.lit("ALREADY_IN_POS"))
-        .when(F.col("prob") < rules.signal_threshold, S.prob_too_low(F.col("prob")))
+        first.when(F.col("prob") < rules.signal_threshold, S.prob_too_low(F.col("prob")))
         .when(F.col("ofi") <= rules.flow_gate, S.flow_negative(F.col("ofi")))
         .when(F.col("trade_size") < rules.min_order, F.lit("MIN_ORDER_SIZE"))
         .otherwise(F.lit("NONE"))
     )
 
 
-def admit(cands: DataFrame, days: DataFrame, rules: Rules = RULES) -> DataFrame:
+def admit(cands: DataFrame, days: DataFrame, rules: Rules = RULES, extended: bool = False) -> DataFrame:
     """Logged candidates with ``reject_reason``.
 
     ``cands``: date, symbol, prob, ofi, in_position, close; unique per (date, symbol).
@@ -65,7 +67,7 @@ def admit(cands: DataFrame, days: DataFrame, rules: Rules = RULES) -> DataFrame:
     rows = (
         cands.join(day, "date")
         .withColumn("trade_size", trade_size(F.col("balance"), rules))
-        .withColumn("own_reason", reject_reason(rules))
+        .withColumn("own_reason", reject_reason(rules, extended))
         .withColumn("key", position_key())
     )
     w = Window.partitionBy("date").orderBy("key")

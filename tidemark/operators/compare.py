@@ -57,9 +57,13 @@ def fidelity_summary(checked: DataFrame) -> DataFrame:
     )
 
 
-def gate_rows(signals: DataFrame, trades: DataFrame, bars: DataFrame, rules: Rules = RULES) -> DataFrame:
+def gate_rows(signals: DataFrame, trades: DataFrame, bars: DataFrame, rules: Rules = RULES,
+              include_open: bool = False) -> DataFrame:
     """Outcome of each wanted signal: from the ledger where it was entered, reconstructed where it was
-    blocked. Signals without an outcome are left out. A win is a target hit on both sides."""
+    blocked. Signals without an outcome are left out. A win is a target hit on both sides. Where the ledger
+    has an action, only closed rows count unless ``include_open``, which keeps open ones with a null result."""
+    if "action" in trades.columns and not include_open:
+        trades = trades.filter(F.upper("action") == "CLOSED")
     wanted = wanted_signals(signals)
     passed = first_trade(wanted.filter(F.col("group") == "OFI_PASS"), trades)
     blocked = wanted.filter(F.col("group") == "OFI_BLOCKED").select(

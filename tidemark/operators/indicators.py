@@ -159,9 +159,11 @@ def bar_shape() -> list[Column]:
     ]
 
 
-def label() -> Column:
-    """Next close above this close; null on the last bar, which is not trainable."""
-    return (F.lead("close").over(W()) > F.col("close")).cast("int").alias("target")
+def label(last_as_zero: bool = False) -> Column:
+    """Next close above this close. Null on the last bar, which is not trainable; ``last_as_zero`` keeps that
+    bar with 0, as a run does that cannot tell the two apart."""
+    rises = (F.lead("close").over(W()) > F.col("close")).cast("int")
+    return (F.coalesce(rises, F.lit(0)) if last_as_zero else rises).alias("target")
 
 
 def blocked(bars: DataFrame, back: int, ahead: int, build, rows: int = series.BLOCK_ROWS) -> DataFrame:
@@ -169,7 +171,7 @@ def blocked(bars: DataFrame, back: int, ahead: int, build, rows: int = series.BL
     return series.owned(build(series.blocks(bars, back, ahead, rows)))
 
 
-def features(bars: DataFrame, rows: int = series.BLOCK_ROWS) -> DataFrame:
+def features(bars: DataFrame, rows: int = series.BLOCK_ROWS, last_as_zero: bool = False) -> DataFrame:
     """All 28 model inputs and ``target``. ``bars`` carry ``rn`` and the filled sentiment value ``fg``
     (see ``sentiment.align``); rows without ret_1d, rsi or atr_pct are dropped."""
     from .sentiment import sentiment_features
@@ -179,7 +181,7 @@ def features(bars: DataFrame, rows: int = series.BLOCK_ROWS) -> DataFrame:
     # three window passes over one sort: on the bars, on their changes and ranges, on the volatility
     def build(df: DataFrame) -> DataFrame:
         df = df.select(
-            "*", *returns(), *volume(), *bar_shape(), *band_stats(), *sentiment_features(W()), label(),
+            "*", *returns(), *volume(), *bar_shape(), *band_stats(), *sentiment_features(W()), label(last_as_zero),
             S.day_of_week("date").alias("dow"), block_position(), F.lag("close").over(W()).alias("_previous"),
         )
         previous = F.col("_previous")

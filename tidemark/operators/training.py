@@ -159,6 +159,22 @@ def score_cutoff(features: DataFrame, cutoff, trees: int = 50, rules: Rules = RU
     return ensemble(both.select("symbol", "date", _up("p_forest").alias("rf_prob"), _up("p_boosted").alias("xgb_prob")), rules)
 
 
+def walk_forward(features: DataFrame, cutoffs: list, trees: int = 50, parallelism: int = 4, rules: Rules = RULES) -> DataFrame:
+    """Scores at several cutoffs. Each cutoff is its own pair of fits; they are independent, so ``parallelism``
+    of them submit their Spark jobs at the same time. Pass materialized features."""
+    from functools import reduce
+    from multiprocessing.pool import ThreadPool
+
+    from pyspark import inheritable_thread_target
+
+    one = inheritable_thread_target(features.sparkSession)(
+        lambda cutoff: materialize(score_cutoff(features, cutoff, trees, rules))
+    )
+    with ThreadPool(parallelism) as pool:
+        parts = pool.map(one, cutoffs)
+    return reduce(DataFrame.unionByName, parts)
+
+
 def ensemble(scores: DataFrame, rules: Rules = RULES) -> DataFrame:
     mean = (F.col("rf_prob") + F.col("xgb_prob")) / 2
     return scores.withColumn("ensemble_prob", mean).withColumn("signal", F.col("ensemble_prob") >= rules.signal_threshold)

@@ -267,8 +267,9 @@ select symbol, count(*) as n_bars, min(date) as first_date from supplier_days gr
 def f03(spark, sf):
     # many symbols of different length: one per supplier
     lines = inputs.table(spark, sf, "lineitem")
-    days = lines.groupBy(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), F.to_date("l_shipdate").alias("date")).agg(
+    days = lines.groupBy("l_suppkey", F.to_date("l_shipdate").alias("date")).agg(
         (F.sum("l_extendedprice") / F.sum("l_quantity")).alias("close"))
+    days = days.select(F.concat(F.lit("S"), F.col("l_suppkey").cast("string")).alias("symbol"), "date", "close")
     kept = market.enough_history(days, 560)
     return kept.groupBy("symbol").agg(F.max("n_bars").alias("n_bars"), F.min("date").alias("first_date"))
 
