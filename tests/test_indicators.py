@@ -1,7 +1,8 @@
 import numpy as np
 import pandas as pd
 import pytest
-from helpers import walk, numbered, bars_frame
+from helpers import walk, numbered
+from pyspark.sql import functions as F
 
 from tidemark.functions import rolling
 from tidemark.operators import indicators, sentiment, series
@@ -150,3 +151,16 @@ def test_last_label_can_be_kept_as_zero(spark):
     plain = indicators.features(aligned).orderBy("date").toPandas()["target"]
     kept = indicators.features(aligned, last_as_zero=True).orderBy("date").toPandas()["target"]
     assert np.isnan(plain.iloc[-1]) and kept.iloc[-1] == 0 and plain.iloc[:-1].tolist() == kept.iloc[:-1].tolist()
+
+
+def test_new_days_only_equal_the_whole_history(spark):
+    pdf = walk(n=1500, seed=13, gaps=True)
+    aligned = sentiment.align(numbered(spark, pdf), None)
+    day = pdf["date"].iloc[-30]
+    whole = indicators.features(aligned).filter(F.col("date") >= F.lit(day)).orderBy("date").toPandas()
+    new = indicators.features(aligned, rows=400, since=day).orderBy("date").toPandas()
+    assert new["date"].tolist() == whole["date"].tolist() and len(new) == 30
+    for name in [*FEATURES, "target"]:
+        close_enough(new[name], whole[name])
+    kept = series.since(numbered(spark, pdf), day, 100)
+    assert kept.count() == 130

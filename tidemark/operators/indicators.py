@@ -171,13 +171,17 @@ def blocked(bars: DataFrame, back: int, ahead: int, build, rows: int = series.BL
     return series.owned(build(series.blocks(bars, back, ahead, rows)))
 
 
-def features(bars: DataFrame, rows: int = series.BLOCK_ROWS, last_as_zero: bool = False) -> DataFrame:
+def features(bars: DataFrame, rows: int = series.BLOCK_ROWS, last_as_zero: bool = False, since=None) -> DataFrame:
     """All 28 model inputs and ``target``. ``bars`` carry ``rn`` and the filled sentiment value ``fg``
-    (see ``sentiment.align``); rows without ret_1d, rsi or atr_pct are dropped."""
+    (see ``sentiment.align``); rows without ret_1d, rsi or atr_pct are dropped. ``since`` computes the days
+    from there on only, from no more history than they need."""
     from .sentiment import sentiment_features
 
     back = max(EMA_HALO, REGIME_HALO)
 
+    if since is not None:
+        bars = series.since(bars, since, back)
+
     # three window passes over one sort: on the bars, on their changes and ranges, on the volatility
     def build(df: DataFrame) -> DataFrame:
         df = df.select(
@@ -191,5 +195,7 @@ def features(bars: DataFrame, rows: int = series.BLOCK_ROWS, last_as_zero: bool
         return df.select("*", *rsi_flags(), *regime_stats()).select("*", *regime())
 
     out = blocked(bars, back, 1, build, rows)
+    if since is not None:
+        out = out.filter(F.col("date") >= F.lit(since))
     keep = ["symbol", "date", "rn", "close", "high", "low", "open", "volume"]
     return out.select(*keep, *P.FEATURES, "target").dropna(subset=["ret_1d", "rsi", "atr_pct"])

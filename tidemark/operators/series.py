@@ -100,6 +100,14 @@ def blocks(df: DataFrame, back: int, ahead: int = 0, rows: int = BLOCK_ROWS) ->
     return copied.select("*", (F.col("block") == F.floor(at / rows)).alias("own"))
 
 
+def since(df: DataFrame, day, back: int, keys: list[str] = ["symbol"], date: str = "date") -> DataFrame:
+    """Rows from ``day`` on and the ``back`` rows before them, per key: what a run over new days has to read.
+    A date filter above a row window cannot move below it, so the history is cut here, by ordinal, before
+    the windows. Needs ``rn``."""
+    first = df.filter(F.col(date) >= F.lit(day)).groupBy(*keys).agg(F.min("rn").alias("_first"))
+    return df.join(first, keys).filter(F.col("rn") >= F.col("_first") - back).select(*df.columns)
+
+
 def block_window(keys: list[str] = ["symbol"]):
     return Window.partitionBy(*keys, "block").orderBy("rn")
 
