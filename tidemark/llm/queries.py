@@ -6,9 +6,10 @@ from collections.abc import Callable
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import byte_bpe
+from . import best_fit, byte_bpe, embedding_dedup, language_id, secrets
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -28,6 +29,83 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def held_out(id: str = "doc_id"):
+    return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
+
+
+@query("op2_language_id")
+def op2(spark, sf_dir):
+    docs = table(spark, sf_dir, "documents")
+    learned = language_id.learn(docs.where(~held_out()))
+    found = language_id.identify(docs.select("doc_id", "text"), learned)
+    return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
+
+
+SECRETS_SQL = """
+with t as (select doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as s from documents),
+rules(k, kind, pattern, least) as (values
+  (0, 'assign', '((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)', 8),
+  (1, 'access', '()(AKIA[A-Z0-9]+)', 16),
+  (2, 'hex', '()([0-9a-f]{32,})', 32)),
+m as (select doc_id, k, kind, least, string_split(case k
+  when 0 then regexp_replace(s, (select pattern from rules where k = 0), chr(1) || '\1' || chr(4) || '\2' || chr(2), 'g')
+  when 1 then regexp_replace(s, (select pattern from rules where k = 1), chr(1) || '\1' || chr(4) || '\2' || chr(2), 'g')
+  else regexp_replace(s, (select pattern from rules where k = 2), chr(1) || '\1' || chr(4) || '\2' || chr(2), 'g') end, chr(1)) as p
+  from (select doc_id, translate(s, chr(4), chr(3)) as s from t), rules),
+e as (select doc_id, k, kind, least, unnest(p) as piece, generate_subscripts(p, 1) as i from m where len(p) > 1),
+f as (select *, sum(length(piece) - case when i > 1 then 2 else 0 end) over (
+  partition by doc_id, k order by i rows between unbounded preceding and 1 preceding) as start from e),
+hits as (select doc_id, k, kind, start::bigint as start, (start + strpos(piece, chr(2)) - 2)::bigint as stop from f
+  where i > 1 and strpos(piece, chr(2)) - strpos(piece, chr(4)) - 1 >= least),
+g as (select doc_id, count(*) filter (where k = 0) as n_assign, count(*) filter (where k = 1) as n_access,
+  count(*) filter (where k = 2) as n_hex, string_agg(kind || ':' || start || ':' || stop, ',' order by start, k) as spans
+  from hits group by doc_id)
+select doc_id, coalesce(n_assign, 0) as n_assign, coalesce(n_access, 0) as n_access, coalesce(n_hex, 0) as n_hex,
+  sha256(coalesce(spans, '')) as base_sha256, coalesce(spans, '') as spans
+from documents left join g using (doc_id)
+"""
+
+
+@query("op7_secrets", SECRETS_SQL)
+def op7(spark, sf_dir):
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+    def count(kind):
+        return F.size(F.filter("spans", lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    listed = secrets.listed()
+    return found.select("doc_id", count("assign"), count("access"), count("hex"),
+                        F.sha2(listed.cast("binary"), 256).alias("base_sha256"), listed.alias("spans"))
+
+
+VECTORS_SQL = """
+with recursive v as (
+  select vec_id, label, embedding::double[] as e from embeddings
+  where label is not null and embedding is not null
+    and len([x for x in embedding if x is null or not isfinite(x)]) = 0
+    and len([x for x in embedding if x <> 0]) > 0),
+links as (select a.vec_id as a, b.vec_id as b from v a join v b
+  on a.label = b.label and a.vec_id <> b.vec_id and len(a.e) = len(b.e) and list_cosine_similarity(a.e, b.e) >= 0.98),
+reach(a, b) as (select a, b from links union select r.a, l.b from reach r join links l on r.b = l.a),
+low as (select a, min(b) as b from reach group by a),
+n as (select a, count(*) as n from links group by a)
+select e.vec_id, coalesce(n.n, 0) as n_links, least(e.vec_id, coalesce(low.b, e.vec_id)) as component_id,
+  e.vec_id = least(e.vec_id, coalesce(low.b, e.vec_id)) as kept
+from embeddings e left join n on n.a = e.vec_id left join low on low.a = e.vec_id
+"""
+
+
+@query("op8_embedding_dedup", VECTORS_SQL)
+def op8(spark, sf_dir):
+    return embedding_dedup.near_duplicates(table(spark, sf_dir, "embeddings"))
+
+
+@query("op9_best_fit")
+def op9(spark, sf_dir):
+    return best_fit.pack_documents(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
 @query("op10_byte_bpe")
 def op10(spark, sf_dir):
     return byte_bpe.digests(
