@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 import tempfile
 import uuid
 
@@ -24,7 +25,14 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
 
 
 def prepare(spark: SparkSession) -> SparkSession:
-    """Dates are UTC calendar days everywhere, so the session zone has to be UTC."""
+    """Dates are UTC calendar days everywhere, so the session zone has to be UTC.
+
+    Python workers look for this package where the driver found it, besides their own path.
+    """
+    home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    places = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
+    if home not in places:
+        spark.sparkContext.environment["PYTHONPATH"] = os.pathsep.join([home, *filter(None, places)])
     if spark.conf.get("spark.sql.session.timeZone") != "UTC":
         spark.conf.set("spark.sql.session.timeZone", "UTC")
     return spark
