@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import best_fit, byte_bpe, embedding_dedup, language_id, secrets
+from . import best_fit, byte_bpe, embedding_dedup, language_id, secrets, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -41,6 +41,11 @@ def op2(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+@query("op4_suffix_dedup")
+def op4(spark, sf_dir):
+    return suffix_dedup.digests(table(spark, sf_dir, "documents"))
+
+
 SECRETS_SQL = """
 with t as (select doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as s from documents),
 rules(k, kind, pattern, least) as (values
