@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import best_fit, byte_bpe, embedding_dedup, language_id, secrets, suffix_dedup
+from . import best_fit, byte_bpe, embedding_dedup, language_id, ngram_join, secrets, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -29,6 +29,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+@query("op1_ngram_join")
+def op1(spark, sf_dir):
+    return ngram_join.join(table(spark, sf_dir, "documents"), words=3, percent=90)
+
+
 def held_out(id: str = "doc_id"):
     return F.crc32(F.col(id).cast("string").cast("binary")) % 5 == 0
 
