@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import best_fit, byte_bpe, embedding_dedup, language_id, ngram_join, secrets, suffix_dedup
+from . import best_fit, byte_bpe, embedding_dedup, language_id, ngram_join, secrets, spot_signatures, suffix_dedup
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -46,6 +46,13 @@ def op2(spark, sf_dir):
     return found.select("doc_id", held_out().alias("held_out"), "lang_pred", "score", "margin", "rejected")
 
 
+@query("op3_spot_signatures")
+def op3(spark, sf_dir):
+    found = spot_signatures.against_edits(table(spark, sf_dir, "documents"))
+    return found.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
+                        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+
+
 @query("op4_suffix_dedup")
 def op4(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
