@@ -64,7 +64,8 @@ class Spots:
         anchor = (codes & np.uint64(1)).astype(bool)
         at = np.arange(len(codes))
         before = np.maximum.accumulate(np.where(anchor, at, -1)) if len(at) else at
-        before = np.maximum(before, np.repeat(ends - sizes, sizes) - GAP - 1)
+        own = np.repeat(ends - sizes, sizes)
+        before = np.where(before < own, own - GAP - 1, before)  # the text before counts for nothing
         spot, content = np.flatnonzero(anchor | (at - before > GAP)), np.flatnonzero(~anchor)
         first = np.cumsum(~anchor)[spot]  # the content word after each anchor, in `content`
         last = first + (self.chain - 1) * self.distance
