@@ -9,7 +9,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..session import prepare
-from . import best_fit, byte_bpe, embedding_dedup, language_id, ngram_join, secrets, spot_signatures, suffix_dedup
+from . import (
+    best_fit, byte_bpe, embedding_dedup, html_extract, language_id, license_scan, ngram_join, secrets, spot_signatures, suffix_dedup,
+)
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
@@ -58,6 +60,20 @@ def op4(spark, sf_dir):
     return suffix_dedup.digests(table(spark, sf_dir, "documents"))
 
 
+@query("op5_html_extract")
+def op5(spark, sf_dir):
+    return html_extract.extract(table(spark, sf_dir, "pages"), keep=("url",))
+
+
+@query("op6_license_scan")
+def op6(spark, sf_dir):
+    found = license_scan.scan(table(spark, sf_dir, "documents"))
+    names = F.array_sort(F.array_distinct(F.transform("matches", lambda m: m["license"])))
+    spans = F.transform("matches", lambda m: F.concat_ws(":", m["license"], m["start"], m["end"]))
+    return found.select("doc_id", F.size("matches").cast("long").alias("n_matches"), F.array_join(names, ",").alias("licenses"),
+                        F.array_join(spans, ",").alias("spans"))
+
+
 SECRETS_SQL = """
 with t as (select doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as s from documents),
 rules(k, kind, pattern, least) as (values
