@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import slices
@@ -19,8 +19,9 @@ PER_LANGUAGE = 300  # sampled documents per language
 DICTIONARY_BYTES = 192 << 10  # raw content per language
 PIECE_CHARS = 2000  # most that one sampled document gives
 LANGUAGES = 2000  # most languages that can be learned; more is an error
-BLOCK = 1000  # bytes compressed at once: a longer block would be packed by its own repeats, not by the dictionary
+BLOCK = 120  # bytes compressed at once: longer blocks are packed by their own letters and repeats, not by the dictionary
 MIN_MARGIN = 0.004
+LEAST_BYTES = 64  # shorter texts often match no dictionary at all; they are not rejected for that
 
 
 def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE,
@@ -28,31 +29,29 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
     """Raw dictionary content per language, from a bounded sample: ``per_language`` documents, ``size`` bytes.
 
     The sample is the documents with the smallest hash of their id, so it does not depend on partitions or order. Rows
-    without a language or without a letter teach nothing. At most per_language * PIECE_CHARS characters per language reach the
-    driver. With no labelled row at all the result is empty, and every prediction is "und".
+    without a language or without a letter teach nothing. About 2 * per_language * PIECE_CHARS characters per
+    language reach the driver. With no labelled row at all the result is empty, and every prediction is "und".
     """
-    rows = docs.select(docs[id].alias("id"), docs[lang].alias("lang"), docs[text].alias("value"))
+    rows = docs.select(F.xxhash64(docs[id]).alias("h"), docs[lang].alias("lang"), docs[text].alias("value"))
     rows = rows.where("lang is not null and value rlike '\\\\p{L}'")
-    order = Window.partitionBy("lang").orderBy("h", "cut")
-    cut = F.substring("value", 1, PIECE_CHARS)
-    # ids first: ranking whole texts would sort the corpus
-    picked = (rows.select("lang", F.xxhash64("id").alias("h"), F.xxhash64("value").alias("cut"))
-              .withColumn("n", F.row_number().over(order)).where(F.col("n") <= per_language).drop("n"))
-    wanted = picked.limit(LANGUAGES * per_language + 1).collect()
-    if len(wanted) > LANGUAGES * per_language:
+    counts = rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
-    if not wanted:
+    if not counts:
         return {}
-    keys = sorted({row["h"] for row in wanted})
-    chosen = rows.where(F.xxhash64("id").isin(keys)) if len(keys) <= 10_000 else rows.join(
-        docs.sparkSession.createDataFrame([(k,) for k in keys], "h long"), F.xxhash64("id") == F.col("h"), "left_semi")
+    # about twice as many rows as wanted have a hash below this share; fewer than wanted happens once in e**-80 for 300
+    shares = docs.sparkSession.createDataFrame(
+        [(r["lang"], min(1 << 31, int(2 * per_language / r["count"] * (1 << 31)) + 1)) for r in counts], "lang string, share long")
+    picked = (rows.join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(1 << 31)) < F.col("share"))
+              .select("lang", F.pmod("h", F.lit(1 << 31)).alias("h"), F.substring("value", 1, PIECE_CHARS).alias("piece")))
     pieces: dict[str, list[tuple[int, str]]] = {}
-    for row in chosen.select("lang", F.xxhash64("id").alias("h"), cut.alias("piece")).collect():
+    for row in picked.collect():
         pieces.setdefault(row["lang"], []).append((row["h"], row["piece"]))
     out = {}
-    for name, found in sorted(pieces.items()):
+    for name in (r["lang"] for r in sorted(counts, key=lambda r: (-r["count"], r["lang"]))):
+        found = pieces.get(name, [])
         parts, left = [], size
-        for _, piece in sorted(found):
+        for _, piece in sorted(found)[:per_language]:
             raw = piece.lower().encode()[:left]
             parts.append(raw)
             left -= len(raw)
@@ -63,10 +62,10 @@ def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "
 
 
 class Classifier:
-    """Compresses a whole text, block by block, once per language; the summed sizes decide."""
+    """Compresses a whole text, block by block, once per language; the summed sizes decide, ties go to the language learned from more rows."""
 
     def __init__(self, dictionaries: dict[str, bytes]):
-        self.names = sorted(dictionaries)
+        self.names = list(dictionaries)
         self.packers = []
         how = zstandard.ZstdCompressionParameters(
             strategy=zstandard.STRATEGY_GREEDY, window_log=18, hash_log=16, chain_log=17, search_log=5, min_match=4,
@@ -76,23 +75,24 @@ class Classifier:
             raw.precompute_compress(compression_params=how)
             self.packers.append(zstandard.ZstdCompressor(dict_data=raw, compression_params=how).compress)
 
-    def __call__(self, text: str | None) -> tuple[str, float, float]:
-        """(language, score, margin): margin is how much larger the second best result is, as a share of it.
+    def __call__(self, text: str | None, min_margin: float = MIN_MARGIN) -> tuple[str, float, float, bool]:
+        """(language, score, margin, rejected): margin is how much smaller the best result is than the second, as a share of that.
 
         The score is 1 / (sum over languages of exp(-excess / scale)), where excess is the bytes over the smallest result
         and scale grows with the root of that result, so that a few bytes decide a short text and more a long one.
         """
         if not text or not self.names or not LETTER.search(text):
-            return UNDETERMINED, 0.0, 0.0
+            return UNDETERMINED, 0.0, 0.0, True
         raw = text.lower().encode()
         blocks = [raw[at:at + BLOCK] for at in range(0, len(raw), BLOCK)]
         sizes = [sum(map(len, map(pack, blocks))) for pack in self.packers]
         best = min(sizes)
-        first = sizes.index(best)  # ties go to the first name
+        first = sizes.index(best)
         rest = sizes[:first] + sizes[first + 1:]
         margin = (min(rest) - best) / min(rest) if rest else 1.0
         scale = max(1.0, math.sqrt(best) / 4)
-        return self.names[first], 1.0 / (1.0 + sum(math.exp(-(s - best) / scale) for s in rest)), margin
+        score = 1.0 / (1.0 + sum(math.exp(-(s - best) / scale) for s in rest))
+        return self.names[first], score, margin, margin < min_margin and len(raw) >= LEAST_BYTES
 
 
 def identify(docs: DataFrame, dictionaries: dict[str, bytes], id: str = "doc_id", text: str = "text",
@@ -100,8 +100,8 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id: str = "doc_id"
     """One row per document: ``keep`` columns, ``id``, lang_pred, score, margin, rejected.
 
     Whole texts are compressed. Null texts and texts without a letter are "und" with score 0 and rejected; other texts
-    get the language of the smallest result, the first name on a tie, and are rejected where the second best result is
-    less than ``min_margin`` larger. Rows are judged one by one, so repeated rows get equal results; other columns are not read.
+    get the language of the smallest result, and are rejected where it is less than ``min_margin`` smaller than the second best and
+    the text has ``LEAST_BYTES`` bytes. Rows are judged one by one, so repeated rows get equal results; other columns are not read.
     """
     kept = [c for c in keep if c not in (id, text)]
     kinds = dict(docs.dtypes)
@@ -109,12 +109,12 @@ def identify(docs: DataFrame, dictionaries: dict[str, bytes], id: str = "doc_id"
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Classifier(dictionaries)
         for part in slices(batches, "__text"):
-            found = [judge(value) for value in part["__text"].to_pylist()]
+            found = [judge(value, min_margin) for value in part["__text"].to_pylist()]
             columns = {name: part[name] for name in part.schema.names if name != "__text"}
             columns["lang_pred"] = pa.array([f[0] for f in found], pa.string())
             columns["score"] = pa.array([f[1] for f in found], pa.float64())
             columns["margin"] = pa.array([f[2] for f in found], pa.float64())
-            columns["rejected"] = pa.array([f[0] == UNDETERMINED or f[2] < min_margin for f in found], pa.bool_())
+            columns["rejected"] = pa.array([f[3] for f in found], pa.bool_())
             yield pa.RecordBatch.from_pydict(columns)
 
     fields = ", ".join(f"`{c}` {kinds[c]}" for c in [id, *kept])
@@ -128,7 +128,6 @@ def clean(docs: DataFrame, dictionaries: dict[str, bytes], id: str = "doc_id", t
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         judge = Classifier(dictionaries)
         for part in slices(batches, text):
-            found = [judge(value) for value in part[text].to_pylist()]
-            yield part.filter(pa.array([f[0] != UNDETERMINED and f[2] >= min_margin for f in found], pa.bool_()))
+            yield part.filter(pa.array([not judge(value, min_margin)[3] for value in part[text].to_pylist()], pa.bool_()))
 
     return docs.mapInArrow(run, docs.schema)
