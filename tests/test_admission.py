@@ -73,3 +73,33 @@ def test_extended_names_insufficient_data(spark):
     assert {r["reject_reason"] for r in admission.admit(cands, days).collect()} == {"PROB_TOO_LOW_0.0000"}
     rows = {r["symbol"]: r["reject_reason"] for r in admission.admit(cands, days, extended=True).collect()}
     assert rows == {"A": "INSUFFICIENT_DATA", "B": "PROB_TOO_LOW_0.0000"}
+
+
+def test_unknowns_close_the_gate(spark):
+    day = dt.date(2024, 1, 1)
+    nan = float("nan")
+    cands = [(day, "A", 10.0, None, 0.1, False), (day, "B", 10.0, 0.9, None, False), (day, "C", 10.0, nan, 0.1, False), (day, "D", 10.0, 0.9, nan, False),
+             (day, "E", 10.0, 0.9, 0.1, None)]
+    rows = {r["symbol"]: r for r in admission.admit(spark.createDataFrame(cands, CAND), spark.createDataFrame([(day, 0, False, 10000.0)], DAYS)).collect()}
+    assert rows["A"]["reject_reason"] == "PROB_TOO_LOW_0.0000" and rows["B"]["reject_reason"] == "OFI_NEGATIVE_+0.0000"
+    assert {k for k, r in rows.items() if r["signal_fired"]} == {"E"} and len(rows) == 5
+
+
+@pytest.mark.parametrize("state", [[], [(None, False, 10000.0)], [(0, None, 10000.0)], [(0, False, None)]])
+def test_a_day_without_state_is_logged_and_enters_nothing(spark, state):
+    day, other = dt.date(2024, 1, 1), dt.date(2024, 1, 2)
+    cands = [(d, s, 10.0, 0.9, 0.1, False) for d in (day, other) for s in "ABCDE"]
+    days = [(day, *s) for s in state] + [(other, 0, False, 10000.0)]
+    rows = admission.admit(spark.createDataFrame(cands, CAND), spark.createDataFrame(days, DAYS)).collect()
+    assert {r["symbol"]: r["reject_reason"] for r in rows if r["date"] == day} == dict.fromkeys("ABCDE", admission.NO_STATE)
+    assert [r["reject_reason"] for r in sorted(rows, key=lambda r: r["symbol"]) if r["date"] == other] == ["NONE"] * 3 + ["MAX_POSITIONS"]
+
+
+def test_two_states_for_a_day(spark):
+    day = dt.date(2024, 1, 1)
+    cands = spark.createDataFrame([(day, "A", 10.0, 0.9, 0.1, False)], CAND)
+    same = spark.createDataFrame([(day, 0, False, 10000.0)] * 2, DAYS)
+    assert admission.admit(cands, same).first()["reject_reason"] == "NONE"
+    for other in ((day, 1, False, 10000.0), (day, 0, True, 10000.0), (day, None, False, 10000.0)):
+        with pytest.raises(Exception, match="two account states"):
+            admission.admit(cands, spark.createDataFrame([(day, 0, False, 10000.0), other], DAYS)).collect()

@@ -115,3 +115,17 @@ def test_final_close(spark):
     left = spark.createDataFrame([("X", pdf["date"][28], 100.0)], "symbol string, entry_date date, entry_price double")
     row = exits.final_close(left, bars_frame(spark, pdf)).first()
     assert (row["reason"], row["exit_price"], row["hold_days"]) == ("FINAL_CLOSE", pdf["close"].iloc[-1], 1)
+
+
+def test_the_horizon_follows_the_rules(spark):
+    from dataclasses import replace
+
+    rules = replace(RULES, max_hold=10, take_profit=9.0, stop_loss=0.9)
+    flat = pd.DataFrame([("A", dt.date(2024, 1, 1) + dt.timedelta(days=k), 10.0, 10.0, 10.0, 10.0, 1.0) for k in range(30)],
+                        columns=["symbol", "date", "open", "high", "low", "close", "volume"])
+    bars = numbered(spark, flat)
+    positions = spark.createDataFrame([("A", dt.date(2024, 1, 2), 10.0)], "symbol string, entry_date date, entry_price double")
+    done = exits.first_exit(exits.at_entry(positions, exits.with_path(bars, rules=rules)), rules).first()
+    assert done["reason"].startswith("MAX_HOLD") and done["hold_days"] == 10
+    with pytest.raises(ValueError, match="cannot settle"):
+        exits.first_exit(exits.at_entry(positions, exits.with_path(bars)), rules)

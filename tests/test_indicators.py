@@ -2,6 +2,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from helpers import walk, numbered
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions import rolling
@@ -82,9 +83,12 @@ def test_long_series_ema_is_exact_over_many_blocks(spark):
         np.testing.assert_allclose(got[f"ema{span}"], pdf["close"].ewm(span=span, adjust=False).mean(), rtol=1e-12)
 
 
-def test_ema_refuses_blocks_that_would_overflow(spark):
-    with pytest.raises(ValueError, match="smaller blocks"):
-        rolling.ema("close", "pos", indicators.W(), 2, 4096)
+@pytest.mark.parametrize("span", [2, 5, 12])
+def test_short_spans_are_exact_on_long_blocks(spark, span):
+    pdf = walk(n=1500)
+    bars = numbered(spark, pdf).withColumn("pos", F.col("rn") - 1)
+    got = bars.withColumn("e", rolling.ema("close", "pos", Window.partitionBy("symbol").orderBy("rn"), span, 4096)).orderBy("date").toPandas()
+    np.testing.assert_allclose(got["e"], pdf["close"].ewm(span=span, adjust=False).mean(), rtol=1e-12)
 
 
 def test_without_sentiment_the_constants_apply(spark):

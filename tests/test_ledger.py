@@ -128,3 +128,44 @@ def test_stale_positions_are_reported(spark):
     run = F.lit(D(2024, 4, 10))
     assert ledger.open_positions(book, run).count() == 0 and ledger.stale_positions(book, run).count() == 1
     assert ledger.open_positions(book, F.lit(D(2024, 3, 31))).count() == 1
+
+
+def test_every_exit_closes_a_row_or_is_returned(spark):
+    book = spark.createDataFrame([opened("T0001", 1, "A"), opened("T0002", 1, "A"), opened("T0003", 1, "B")], LEDGER)
+    exits = spark.createDataFrame(
+        [closing("", 1, "A", "TP"), closing(None, 1, "A", "SL"), closing("", 1, "A", "X"), closing("", 2, "A"), closing("T0003", 1, "B"), closing("T0003", 1, "B", "SL"),
+         closing("T0009", 1, "B")], EXITS)
+    done = {r["row_id"]: (r["action"], r["reason"]) for r in ledger.close_trades(book, exits).collect()}
+    assert set(done) == {"T0001", "T0002", "T0003"} and {a for a, _ in done.values()} == {"CLOSED"}
+    lost = ledger.unmatched_exits(book, exits).collect()
+    assert len(lost) == 4 and sorted((r["row_id"] or "", r["date"].day, r["symbol"]) for r in lost) == [
+        ("", 1, "A"), ("", 2, "A"), ("T0003", 1, "B"), ("T0009", 1, "B")]
+
+
+def test_a_row_closed_by_its_id_is_not_closed_again_by_key(spark):
+    book = spark.createDataFrame([opened("T0001", 1, "A"), opened("T0002", 1, "A")], LEDGER)
+    exits = spark.createDataFrame([closing("T0001", 1, "A", "TP"), closing("", 1, "A", "SL")], EXITS)
+    assert {r["row_id"]: r["reason"] for r in ledger.close_trades(book, exits).collect()} == {"T0001": "TP", "T0002": "SL"}
+    assert ledger.unmatched_exits(book, exits).isEmpty()
+
+
+def test_repeated_resets_count_once(spark):
+    equity = spark.createDataFrame([(D(2024, 1, k), b) for k, b in ((1, 10000.0), (2, 8000.0), (3, 8100.0))], "date date, balance double")
+    resets = spark.createDataFrame([(D(2024, 1, 3),)] * 2, "date date")
+    assert risk.latched_halt(equity, resets).count() == 3
+
+
+def test_a_state_that_does_not_fit_is_an_error(spark, tmp_path):
+    from tidemark.sources import state
+
+    assert state.read(spark, str(tmp_path / "none")).first()["halted"] is False
+    good, other, hole = (str(tmp_path / n) for n in ("good", "other", "hole"))
+    stored = spark.sql("select timestamp'2024-01-01' as run_ts, 9000.0D as balance, 10000.0D as peak_balance, true as halted")
+    state.append(stored, good)
+    assert state.read(spark, good).first()["halted"] is True
+    stored.withColumnRenamed("balance", "money").write.parquet(other)
+    with pytest.raises(ValueError, match="not an account state"):
+        state.read(spark, other)
+    stored.withColumn("balance", F.lit(None).cast("double")).write.parquet(hole)
+    with pytest.raises(Exception, match="null in the latest account state"):
+        state.read(spark, hole).collect()

@@ -63,3 +63,28 @@ def test_streamed_halt_stays_until_reset(spark):
     rows = spark.read.schema(SS.HALT_OUT).parquet(out).orderBy("date").collect()
     # recovery does not clear it, a reset does, and it trips again at once while the drawdown lasts
     assert [r["halted"] for r in rows] == [False, True, True, False, True, True]
+
+
+def test_bars_that_come_late_settle_nothing_and_are_reported(spark):
+    landing, out = scratch_path(spark, "late-bars"), scratch_path(spark, "late-exits")
+    schema = "symbol string, date date, open double, high double, low double, close double, enter boolean"
+    bar = lambda day, high, enter=False: ("A", dt.date(2024, 1, day), 10.0, high, 10.0, 10.0, enter)
+    for rows in ([bar(10, 10.0, True)], [bar(5, 99.0)], [bar(11, 10.0)], [bar(11, 99.0), bar(12, 99.0)]):
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        SB.drain(SS.position_exits(spark.readStream.schema(schema).parquet(landing)), out, f"{out}-offsets")
+    rows = spark.read.schema(SS.EXIT_OUT).parquet(out).collect()
+    done = [r for r in rows if r["reason"] != SS.LATE]
+    assert [(r["entry_date"].day, r["exit_date"].day, r["reason"], r["hold_days"]) for r in done] == [(10, 12, "TP", 2)]
+    assert sorted(r["exit_date"].day for r in rows if r["reason"] == SS.LATE) == [5, 11]
+    assert all(r["exit_price"] is None and r["hold_days"] is None for r in rows if r["reason"] == SS.LATE)
+
+
+def test_a_reset_may_set_a_new_peak(spark):
+    landing, out = scratch_path(spark, "daily-peak"), scratch_path(spark, "halts-peak")
+    schema = "account string, date date, net double, reset boolean, new_peak double"
+    rows = [("a", dt.date(2024, 1, k), net, reset, peak) for k, net, reset, peak in
+            ((1, 0.0, False, None), (2, -1600.0, False, None), (3, 0.0, True, 8400.0), (4, 0.0, False, None))]
+    spark.createDataFrame(rows, schema).coalesce(1).write.parquet(landing)
+    SB.drain(SS.latched_halt(spark.readStream.schema(schema).parquet(landing)), out, f"{out}-offsets")
+    got = spark.read.schema(SS.HALT_OUT).parquet(out).orderBy("date").collect()
+    assert [(r["halted"], r["peak"]) for r in got] == [(False, 10000.0), (True, 10000.0), (False, 8400.0), (False, 8400.0)]

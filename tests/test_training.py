@@ -4,6 +4,7 @@ import numpy as np
 import pandas as pd
 import pytest
 from helpers import numbered, walk
+from pyspark.sql import functions as F
 
 from tidemark.operators import indicators, sentiment, training
 from tidemark.params import FEATURES
@@ -87,14 +88,26 @@ def test_retrain_chain(spark, every):
 def test_a_small_fit_end_to_end(features):
     cutoff = features.agg({"date": "max"}).first()[0]
     rows = training.score_cutoff(features, cutoff, trees=3).collect()
-    assert {r["symbol"] for r in rows} == {"A", "B"}
+    assert {r["symbol"] for r in rows} == {"A", "B", "C"}  # C is too short and scores 0
     for r in rows:
+        assert r["symbol"] != "C" or r["ensemble_prob"] == 0.0
         assert 0 <= r["rf_prob"] <= 1 and 0 <= r["xgb_prob"] <= 1
         assert r["ensemble_prob"] == pytest.approx((r["rf_prob"] + r["xgb_prob"]) / 2)
         assert r["signal"] == (r["ensemble_prob"] >= 0.6)
 
 
+def test_a_short_history_scores_zero(features):
+    cutoff = features.agg({"date": "max"}).first()[0]
+    short = features.filter("symbol = 'A'").unionByName(features.filter("symbol = 'B'").filter(F.col("date") > F.date_sub(F.lit(cutoff), 30)))
+    rows = {r["symbol"]: r for r in training.score_cutoff(short, cutoff, trees=2).collect()}
+    assert set(rows) == {"A", "B"} and rows["A"]["ensemble_prob"] > 0
+    assert (rows["B"]["rf_prob"], rows["B"]["xgb_prob"], rows["B"]["ensemble_prob"], rows["B"]["signal"]) == (0.0, 0.0, 0.0, False)
+    none = training.score_cutoff(features.filter(F.col("date") > F.date_sub(F.lit(cutoff), 30)), cutoff, trees=2).collect()
+    assert [r["ensemble_prob"] for r in none] == [0.0] * 3
+
+
 def test_walk_forward_scores_every_cutoff(features):
     cutoffs = sorted(r["date"] for r in features.filter("symbol = 'A'").select("date").collect())[-2:]
     rows = training.walk_forward(features, cutoffs, trees=2, parallelism=2).collect()
-    assert {(r["symbol"], r["date"]) for r in rows} == {(s, c) for s in "AB" for c in cutoffs}
+    today = {(r["symbol"], r["date"]) for r in features.filter(F.col("date").isin(cutoffs)).select("symbol", "date").collect()}
+    assert {(r["symbol"], r["date"]) for r in rows} == today >= {(s, c) for s in "AB" for c in cutoffs}

@@ -63,18 +63,34 @@ def ema_halo(span: int) -> int:
     return math.ceil(40 / -math.log(1 - 2 / (span + 1)))
 
 
+def _ema_by_chunks(value: Column | str, at: Column, window, span: int) -> Column:
+    """The same mean where one scale would overflow: weights start anew in chunks of ``ema_halo`` rows.
+
+    A frame of that many rows touches the row's chunk and the one before, which differ in parity, so two sums keep them apart;
+    what lies further back weighs below 1e-17.
+    """
+    alpha, size = 2 / (span + 1), ema_halo(span)
+    decay = 1 - alpha
+    inside, odd = F.pmod(at, F.lit(size)), F.pmod(F.floor(at / size), F.lit(2)) == 1
+    weighted = col(value) * F.when(at == 0, F.lit(1.0)).otherwise(F.lit(alpha)) * F.pow(F.lit(decay), -inside)
+    frame = last(window, size)
+    one, two = (F.coalesce(F.sum(F.when(side, weighted)).over(frame), F.lit(0.0)) for side in (odd, ~odd))
+    here, before = F.when(odd, one).otherwise(two), F.when(odd, two).otherwise(one)
+    return F.pow(F.lit(decay), inside) * (here + F.lit(decay**size) * before)
+
+
 def ema(value: Column | str, position: Column | str, window, span: int, max_rows: int) -> Column:
     """Exponential mean seeded with the first value of the window partition, without a UDF.
 
     y_t = (1-a)^t * (x_0 + a * sum_{0<i<=t} x_i (1-a)^-i), one running sum. ``position`` counts from 0
-    inside the partition and ``max_rows`` bounds it: the scaled terms must stay inside the double range.
+    inside the partition and ``max_rows`` bounds it; where the scaled terms would leave the double range, they are scaled by chunks.
     For a block that does not start the series, ``ema_halo`` rows in front make the seed's weight vanish.
     """
     alpha = 2 / (span + 1)
     decay = 1 - alpha
-    if max_rows * -math.log(decay) > 650:
-        raise ValueError(f"span {span}: blocks of {max_rows} rows overflow, use smaller blocks")
     at = col(position)
+    if max_rows * -math.log(decay) > 650:
+        return _ema_by_chunks(value, at, window, span)
     weight = F.when(at == 0, F.lit(1.0)).otherwise(F.lit(alpha) * F.pow(F.lit(decay), -at))
     upto = window.rowsBetween(Window.unboundedPreceding, 0)
     return F.sum(col(value) * weight).over(upto) * F.pow(F.lit(decay), at)

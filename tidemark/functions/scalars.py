@@ -76,7 +76,7 @@ def binary_round(value: Column | str, digits: int) -> Column:
 
     ``bround`` looks at the shortest decimal form and so sees a tie where the stored value lies beside it.
     The rounding error of ``value * 10^digits`` is computed exactly by splitting both factors, which tells
-    on which side of the tie the value lies.
+    on which side of the tie the value lies. NaN is null; a value of 2^52 / scale or more has no digits to round and stays as it is.
     """
     x, scale = col(value), 10.0**digits
 
@@ -89,11 +89,12 @@ def binary_round(value: Column | str, digits: int) -> Column:
     product = size * scale
     (a, b), (c, d) = halves(size), halves(scale)
     error = ((a * c - product) + a * d + b * c) + b * d
-    whole = F.floor(product)
+    small = product < 2.0**52
+    whole = F.floor(F.when(small, product)).cast("double")
     rest = product - whole
     up = (rest > 0.5) | ((rest == 0.5) & ((error > 0) | ((error == 0) & (whole % 2 == 1))))
-    rounded = (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)
-    return F.when(x < 0, -rounded).otherwise(rounded)
+    rounded = F.when(small, (whole + F.when(up, 1).otherwise(0)) / F.lit(scale)).otherwise(size)
+    return F.when(F.isnan(x), F.lit(None)).when(x < 0, -rounded).otherwise(rounded)
 
 
 def half_even(value: Column | str, digits: int) -> Column:

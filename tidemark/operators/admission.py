@@ -16,6 +16,9 @@ from ..functions import scalars as S
 from ..params import RULES, Rules
 
 
+NO_STATE = "NO_ACCOUNT_STATE"
+
+
 def position_key() -> Column:
     """Sorts like the walk: probability falling, then symbol."""
     return F.struct((-F.col("prob")).alias("p"), F.col("symbol").alias("s"))
@@ -43,29 +46,45 @@ def reject_reason(rules: Rules = RULES, extended: bool = False) -> Column:
     """The reason of a candidate met while a slot is free; NONE means entry. Expects halted, in_position,
     prob, ofi and trade_size. ``extended`` also expects insufficient and names it instead of a probability
     of 0."""
-    first = F.when(F.col("halted"), F.lit("KILL_SWITCH_HALTED")).when(F.col("in_position"), F.lit("ALREADY_IN_POS"))
+    known = F.col("halted").isNotNull() & F.col("n_open").isNotNull() & F.col("trade_size").isNotNull()
+    first = F.when(~known, F.lit(NO_STATE))
+    first = first.when(F.col("halted"), F.lit("KILL_SWITCH_HALTED")).when(F.col("in_position"), F.lit("ALREADY_IN_POS"))
     if extended:
         first = first.when(F.col("insufficient"), F.lit("INSUFFICIENT_DATA"))
+    prob, ofi = F.coalesce("prob", F.lit(0.0)), F.coalesce("ofi", F.lit(0.0))
     return (
-        first.when(F.col("prob") < rules.signal_threshold, S.prob_too_low(F.col("prob")))
-        .when(F.col("ofi") <= rules.flow_gate, S.flow_negative(F.col("ofi")))
+        first.when(~(prob >= rules.signal_threshold) | F.isnan(prob), S.prob_too_low(prob))
+        .when(~(ofi > rules.flow_gate) | F.isnan(ofi), S.flow_negative(ofi))
         .when(F.col("trade_size") < rules.min_order, F.lit("MIN_ORDER_SIZE"))
         .otherwise(F.lit("NONE"))
     )
 
 
+def one_state(days: DataFrame) -> DataFrame:
+    """One row per day; two rows that differ are an error, not a choice."""
+    same = lambda c: F.min(c).eqNullSafe(F.max(c)) & ((F.count(c) == 0) | (F.count(c) == F.count("*")))
+    checked = F.when(same("n_open") & same("halted") & same("balance"), F.min("n_open")).otherwise(
+        F.raise_error(F.concat(F.lit("two account states for "), F.col("date").cast("string"))).cast("int"))
+    return days.groupBy("date").agg(checked.alias("n_open"), F.min("halted").alias("halted"), F.min("balance").alias("balance"))
+
+
 def admit(cands: DataFrame, days: DataFrame, rules: Rules = RULES, extended: bool = False) -> DataFrame:
     """Logged candidates with ``reject_reason``.
 
     ``cands``: date, symbol, prob, ofi, in_position, close; unique per (date, symbol).
     ``days``: n_open, halted and balance per day. Every broadcast here is made unique per day first, so it
-    has at most 366 small rows a year.
+    has at most 366 small rows a year. Whatever is unknown closes the gate: a null probability or flow counts as 0,
+    a null in_position or insufficient as false, and all candidates of a day without a state, or with a null in it, are logged as
+    ``NO_STATE``.
     ``cands`` is read by three branches: pass a table or a materialized frame.
     """
-    days = days.dropDuplicates(["date"])
+    unknown = {c: F.coalesce(c, F.lit(0.0)) for c in ("prob", "ofi")}
+    unknown |= {c: F.coalesce(c, F.lit(False)) for c in ("in_position", "insufficient") if c in cands.columns}
+    cands = cands.withColumns(unknown)
+    days = one_state(days)
     day = F.broadcast(days.withColumn("slots", F.greatest(rules.max_positions - F.col("n_open"), F.lit(0))))
     rows = (
-        cands.join(day, "date")
+        cands.join(day, "date", "left")
         .withColumn("trade_size", trade_size(F.col("balance"), rules))
         .withColumn("own_reason", reject_reason(rules, extended))
         .withColumn("key", position_key())

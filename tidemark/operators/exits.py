@@ -17,15 +17,28 @@ from . import series
 EXIT_TYPE = "struct<exit_date:date,reason:string,exit_price:double,pnl_pct:double,hold_days:int,exit_open:double>"
 
 
-def with_path(bars: DataFrame, horizon: int = RULES.max_hold, rows: int = series.BLOCK_ROWS) -> DataFrame:
-    """Add ``path``: the next ``horizon`` bars of the symbol in order. Needs ``rn``."""
+def with_path(bars: DataFrame, horizon: int | None = None, rows: int = series.BLOCK_ROWS, rules: Rules = RULES) -> DataFrame:
+    """Add ``path``: the next ``horizon`` bars of the symbol in order, as many as ``rules`` may hold a position unless given.
+    Needs ``rn``. The path carries its horizon, and exits for rules that look further ahead are refused."""
+    horizon = rules.max_hold if horizon is None else horizon
     ahead = series.block_window().rowsBetween(1, horizon)
     bar = F.struct("date", "open", "high", "low", "close")
     return series.owned(
-        series.blocks(bars, 0, horizon, rows).withColumn("path", F.collect_list(bar).over(ahead))
+        series.blocks(bars, 0, horizon, rows).withColumn("path", path_column(F.collect_list(bar).over(ahead), horizon))
     )
 
 
+def path_column(path: Column, horizon: int) -> Column:
+    return path.alias("path", metadata={"horizon": horizon})
+
+
+def require_horizon(placed: DataFrame, rules: Rules) -> None:
+    """A path known to be shorter than the time limit would leave positions open without a word."""
+    horizon = next((f.metadata.get("horizon") for f in placed.schema.fields if f.name == "path"), None)
+    if horizon is not None and horizon < rules.max_hold:
+        raise ValueError(f"paths of {horizon} bars cannot settle positions held for up to {rules.max_hold} days")
+
+
 def at_entry(positions: DataFrame, paths: DataFrame) -> DataFrame:
     """Positions (symbol, entry_date, entry_price, ...) with the entry bar's high and path. A position
     whose entry day has no bar keeps a null path."""
@@ -92,6 +105,7 @@ def first_exit(placed: DataFrame, rules: Rules = RULES, **rates: Column) -> Data
     position; whether the stop is armed at a bar depends on earlier highs only (the entry bar's own high
     and the path before that bar).
     """
+    require_horizon(placed, rules)
     entry, entry_date, path = F.col("entry_price"), F.col("entry_date"), F.col("path")
     level = levels(entry, rules, **rates)
     kept = [c for c in placed.columns if c != "path"]

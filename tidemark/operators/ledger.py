@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..functions import scalars as S
@@ -104,23 +104,37 @@ def reconcile(positions: DataFrame, order_status: DataFrame, run_date: Column, r
 def close_trades(ledger: DataFrame, exits: DataFrame) -> DataFrame:
     """Merge exits into the ledger: by row_id, or by (date, symbol) of an open row for exits without one.
 
-    Both matches are equi joins. If several exits name a row the one with the smallest exit date counts;
-    an exit without a row id closes only the first matching open row (smallest row_id).
+    Both matches are equi joins. If several exits name a row the one with the smallest exit date counts. Exits without a row id
+    close the open rows of their (date, symbol) one each, earliest exit to smallest row_id. ``unmatched_exits`` has the rest.
     """
+    return _merged_exits(ledger, exits)[0]
+
+
+def unmatched_exits(ledger: DataFrame, exits: DataFrame) -> DataFrame:
+    """The exits that ``close_trades`` finds no row for: an unknown row id, a further exit of the same row, or more exits of a
+    (date, symbol) than it has open rows."""
+    return _merged_exits(ledger, exits)[1]
+
+
+def _merged_exits(ledger: DataFrame, exits: DataFrame) -> tuple[DataFrame, DataFrame]:
     fields = ["exit_price", "pnl_gross", "pnl_net", "fees", "reason", "hold_days", "win", "balance_after"]
     bundle = F.struct(*fields)
     order = F.struct("exit_date", *fields)
-    by_id = (
-        exits.filter(F.coalesce("row_id", F.lit("")) != "").groupBy("row_id")
-        .agg(F.min_by(bundle, order).alias("_by_id"))
-    )
-    by_key = (
-        exits.filter(F.coalesce("row_id", F.lit("")) == "").groupBy("date", "symbol")
-        .agg(F.min_by(bundle, order).alias("_by_key"))
-    )
+    # a trade's exits are few: one symbol on one day, or one row
+    named = exits.filter(F.coalesce("row_id", F.lit("")) != "").withColumn(
+        "_k", F.row_number().over(Window.partitionBy("row_id").orderBy(order)))
+    by_id = named.filter("_k = 1").select("row_id", bundle.alias("_by_id"))
+    unnamed = exits.filter(F.coalesce("row_id", F.lit("")) == "").withColumn(
+        "_k", F.row_number().over(Window.partitionBy("date", "symbol").orderBy(order)))
     is_open = (F.col("action") == "OPEN") & F.col("exit_price").isNull()
-    first_open = ledger.filter(is_open).groupBy("date", "symbol").agg(F.min("row_id").alias("_first"))
-    by_key = by_key.join(first_open, ["date", "symbol"]).select(F.col("_first").alias("row_id"), "_by_key")
+    open_rows = ledger.filter(is_open).join(by_id.select("row_id"), "row_id", "left_anti").select(
+        F.col("row_id").alias("_open"), "date", "symbol",
+        F.row_number().over(Window.partitionBy("date", "symbol").orderBy("row_id")).alias("_k"))
+    met = unnamed.join(open_rows, ["date", "symbol", "_k"], "left")
+    by_key = met.filter("_open is not null").select(F.col("_open").alias("row_id"), bundle.alias("_by_key"))
+    unknown = named.join(ledger.select("row_id"), "row_id", "left_anti").select(*exits.columns)
+    lost = unknown.unionByName(named.filter("_k > 1").join(ledger.select("row_id"), "row_id", "left_semi").select(*exits.columns))
+    lost = lost.unionByName(met.filter("_open is null").select(*exits.columns))
     joined = ledger.join(by_id, "row_id", "left").join(by_key, "row_id", "left")
     hit = F.coalesce("_by_id", "_by_key")
     closed = hit.isNotNull()
@@ -134,4 +148,4 @@ def close_trades(ledger: DataFrame, exits: DataFrame) -> DataFrame:
             return F.when(~closed, F.col(name)).alias(name)
         return F.col(name)
 
-    return joined.select(*[merged(c) for c in ledger.columns])
+    return joined.select(*[merged(c) for c in ledger.columns]), lost

@@ -27,11 +27,11 @@ def latched_halt(equity: DataFrame, resets: DataFrame, rules: Rules = RULES) ->
     """Once tripped the halt stays until a manual reset. A reset clears the flag before that day's check and
     leaves the peak alone, so it trips again at once while the drawdown lasts.
 
-    ``resets`` has one row per date at most. Two running totals: the epoch counts resets, and a day is
+    Several rows of ``resets`` for one date are one reset. Two running totals: the epoch counts resets, and a day is
     halted if any earlier or same day of its epoch tripped.
     """
     marked = with_drawdown(equity, rules).join(
-        resets.select("date", F.lit(1).alias("_reset")), "date", "left"
+        resets.select("date").distinct().withColumn("_reset", F.lit(1)), "date", "left"
     ).withColumn("_year", F.year("date"))
     epochs = series.running(
         marked, [], ["date"], "_year", epoch=("sum", "_reset"),

@@ -15,12 +15,15 @@ def align(bars: DataFrame, sentiment: DataFrame | None) -> DataFrame:
     """Add ``fg``: the day's value, else the last value that fell on an earlier bar of the symbol, else 50.
 
     The exact-date join comes first, so a value before the first bar is never carried in. The broadcast
-    side is grouped by day here, so it has at most 366 small rows a year whatever it was made from. Without
+    side is grouped by day here, so it has at most 366 small rows a year whatever it was made from; two values for one day are an
+    error, as readers keep the last one. Without
     a series ``fg`` is null and the features take their constants.
     """
     if sentiment is None:
         return bars.withColumn("fg", F.lit(None).cast("double"))
-    days = sentiment.groupBy("date").agg(F.max("value").alias("_day_value"))
+    one = F.when(F.min("value").eqNullSafe(F.max("value")), F.max("value")).otherwise(
+        F.raise_error(F.concat(F.lit("two sentiment values for "), F.col("date").cast("string"))).cast(dict(sentiment.dtypes)["value"]))
+    days = sentiment.groupBy("date").agg(one.alias("_day_value"))
     joined = bars.join(F.broadcast(days), "date", "left")
     filled = series.running(
         joined.withColumn("_year", series.year_bucket()), ["symbol"], ["date"], "_year",

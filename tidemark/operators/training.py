@@ -151,12 +151,18 @@ def at_cutoff(features: DataFrame, cutoff, rules: Rules = RULES) -> tuple[DataFr
 
 
 def score_cutoff(features: DataFrame, cutoff, trees: int = 50, rules: Rules = RULES) -> DataFrame:
-    """Ensemble probability of every symbol at the cutoff. The refit uses the whole window."""
+    """Ensemble probability of every symbol at the cutoff. The refit uses the whole window. A symbol without enough history gets probability 0
+    and no signal, and so do all where none has enough."""
     window, today = at_cutoff(features, cutoff, rules)
+    every = today.select("symbol", "date").distinct()
+    if window.isEmpty():
+        return ensemble(every.withColumns({"rf_prob": F.lit(0.0), "xgb_prob": F.lit(0.0)}), rules)
     train, score = prepared(window, today)
     train, score = materialize(train), materialize(score)
     both = boosted(trees).fit(train).transform(forest(trees).fit(train).transform(score))
-    return ensemble(both.select("symbol", "date", _up("p_forest").alias("rf_prob"), _up("p_boosted").alias("xgb_prob")), rules)
+    found = both.select("symbol", "date", _up("p_forest").alias("rf_prob"), _up("p_boosted").alias("xgb_prob"))
+    whole = every.join(found, ["symbol", "date"], "left").fillna(0.0, ["rf_prob", "xgb_prob"])
+    return ensemble(whole, rules)
 
 
 def walk_forward(features: DataFrame, cutoffs: list, trees: int = 50, parallelism: int = 4, rules: Rules = RULES) -> DataFrame:

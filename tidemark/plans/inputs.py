@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..operators import exits, indicators, ledger, series
-from ..params import RULES
+from ..params import RULES, Rules
 from ..session import materialize
 
 
@@ -113,15 +113,15 @@ def rsi_positions(bar_rows: DataFrame) -> DataFrame:
     )
 
 
-def placed(bar_rows: DataFrame) -> DataFrame:
+def placed(bar_rows: DataFrame, rules: Rules = RULES) -> DataFrame:
     """The same positions with their entry bar and path, in the same pass over the bars: the entry rule and
     the path are windows over one block layout, so no join is needed."""
-    horizon = RULES.max_hold
+    horizon = rules.max_hold
 
     def build(df: DataFrame) -> DataFrame:
         ahead = series.block_window().rowsBetween(1, horizon)
         bar = F.struct("date", "open", "high", "low", "close")
-        return indicators.add_rsi(df).withColumn("path", F.collect_list(bar).over(ahead))
+        return indicators.add_rsi(df).withColumn("path", exits.path_column(F.collect_list(bar).over(ahead), horizon))
 
     both = indicators.blocked(bar_rows, indicators.RSI_HALO, horizon, build)
     return both.filter("rsi < 35").select(

@@ -454,12 +454,12 @@ def r06(spark, sf):
 
 @query("r07_run_summary", sql(f"""
 select date, cast(value as integer) as value,
-  case when value <= 25 then 'Extreme Fear' when value <= 49 then 'Fear' when value <= 74 then 'Greed' else 'Extreme Greed' end as label,
-  {r('week', 6)} as benchmark_week, case when week*100 > 5 then 'leading' else 'neutral' end as benchmark_label, n_signals, n_fired
+  case when value <= 25 then 'Extreme Fear' when value <= 49 then 'Fear' when value <= 74 then 'Greed' when value is not null then 'Extreme Greed' end as label,
+  {r('week', 6)} as benchmark_week, case when week*100 > 5 then 'leading' when week is not null then 'neutral' end as benchmark_label,
+  coalesce(n_signals, 0) as n_signals, coalesce(n_fired, 0) as n_fired
 from (select b.date, b.close/lag(b.close, 7) over (order by b.date) - 1 as week from bars b where b.symbol = 'N')
-join sentiment using (date)
-join (select date, count(*) as n_signals, count(*) filter (prob >= 0.6 and ofi > 0) as n_fired from cands group by 1) using (date)
-where week is not null""", "bars", "sentiment", "cands"))
+full join sentiment using (date)
+full join (select date, count(*) as n_signals, count(*) filter (prob >= 0.6 and ofi > 0) as n_fired from cands group by 1) using (date)""", "bars", "sentiment", "cands"))
 def r07(spark, sf):
     from . import reports
 

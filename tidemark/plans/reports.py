@@ -80,16 +80,18 @@ def run_counts(positions: DataFrame, calendar: DataFrame, day: DataFrame, rules:
 
 
 def day_notes(bars: DataFrame, sentiment: DataFrame, benchmark: str, rules: Rules = RULES) -> DataFrame:
-    """Sentiment label, the benchmark symbol's 7-row return and signal counts for each day."""
+    """Sentiment label, the benchmark symbol's 7-row return and signal counts for each day that has a bar, a sentiment value or a candidate.
+    What a day lacks is null, its counts 0."""
     week = indicators.blocked(
         bars.filter(F.col("symbol") == benchmark), 7, 0,
         lambda b: b.withColumn("benchmark_week", R.change("close", indicators.W(), 7)),
-    ).select("date", "benchmark_week").filter(F.col("benchmark_week").isNotNull())
+    ).select("date", "benchmark_week")
     cands = inputs.candidates(bars)
     fired = (F.col("prob") >= rules.signal_threshold) & (F.col("ofi") > rules.flow_gate)
     counts = cands.groupBy("date").agg(F.count(F.lit(1)).alias("n_signals"), F.count_if(fired).alias("n_fired"))
     labeled = sentiment.select("date", "value", S.sentiment_label(F.col("value")).alias("label"))
-    return week.join(labeled, "date").join(counts, "date").select(
+    zero = lambda c: F.coalesce(c, F.lit(0)).alias(c)
+    return week.join(labeled, "date", "full").join(counts, "date", "full").select(
         "date", "value", "label", "benchmark_week", S.benchmark_label(F.col("benchmark_week")).alias("benchmark_label"),
-        "n_signals", "n_fired",
+        zero("n_signals"), zero("n_fired"),
     )

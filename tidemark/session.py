@@ -9,6 +9,9 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
+
+
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
     builder = SparkSession.builder.appName(app)
     if master:
@@ -18,6 +21,8 @@ def build_session(app: str = "tidemark", master: str | None = None, **conf: str)
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.ui.enabled": "false",
+        # checkpoint files go as soon as nothing reads them
+        "spark.cleaner.referenceTracking.cleanCheckpoints": "true",
     }
     for key, value in {**defaults, **conf}.items():
         builder = builder.config(key, value)
@@ -29,6 +34,8 @@ def prepare(spark: SparkSession) -> SparkSession:
 
     Python workers look for this package where the driver found it, besides their own path.
     """
+    if spark.conf.get(BATCH) == "10000":  # the default: rows of long texts would make batches of a gigabyte
+        spark.conf.set(BATCH, "2000")
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     places = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in places:

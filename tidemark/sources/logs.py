@@ -10,6 +10,9 @@ from .. import schemas
 from ..functions import scalars as S
 
 
+RAW = "raw"
+
+
 def blank_to_null(df: DataFrame) -> DataFrame:
     return df.select(*[F.when(F.trim(c) != "", F.col(c)).alias(c) for c in df.columns])
 
@@ -27,17 +30,21 @@ def typed(df: DataFrame, ddl: str) -> DataFrame:
 
 
 def read_text(spark: SparkSession, path: str, ddl: str) -> DataFrame:
-    """A CSV with header as text columns by position. Short rows are padded with nulls."""
-    return spark.read.schema(schemas.all_strings(ddl)).csv(path, header=True, enforceSchema=True, mode="PERMISSIVE")
+    """A CSV with header as text columns by position, and the line itself, ``raw``, where it has more or fewer cells. Short rows are padded
+    with nulls."""
+    return spark.read.schema(schemas.all_strings(ddl).add(RAW, "string")).csv(
+        path, header=True, enforceSchema=True, mode="PERMISSIVE", columnNameOfCorruptRecord=RAW)
 
 
 def split_signals(text: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(typed complete rows, legacy rows as text). A complete row has all 13 cells; a row with one empty
-    cell counts as legacy."""
+    """(typed complete rows, legacy rows as text). A complete row has exactly 13 cells, all filled; a row with one empty
+    cell or with a 14th counts as legacy and keeps its line in ``raw``."""
     names = schemas.columns(schemas.SIGNALS)
+    if RAW not in text.columns:
+        text = text.withColumn(RAW, F.lit(None).cast("string"))
     marked = blank_to_null(text).withColumn("n_cells", S.filled_cells(names))
-    good = marked.filter(F.col("n_cells") == len(names)).drop("n_cells")
-    return typed(good, schemas.SIGNALS), marked.filter(F.col("n_cells") != len(names))
+    complete = (F.col("n_cells") == len(names)) & F.col(RAW).isNull()
+    return typed(marked.filter(complete).select(*names), schemas.SIGNALS), marked.filter(~complete)
 
 
 def read_signals(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
@@ -87,6 +94,8 @@ def read_results(spark: SparkSession, path: str, run_config: str, start, end, da
     configuration prunes partitions and the dates reach the Parquet scan."""
     try:
         stored = spark.read.parquet(path)
-    except AnalysisException:
-        return None
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return None
+        raise
     return stored.filter(F.col("run_config") == run_config).filter(F.col(date).between(F.lit(start), F.lit(end)))

@@ -30,10 +30,10 @@ def parse_klines(raw: DataFrame) -> DataFrame:
 
 def first_ingested(klines: DataFrame) -> DataFrame:
     """One row per (symbol, ts): the first ingested. A min_by combines on the map side, so a bar repeated
-    any number of times costs one row per task."""
-    row = F.struct(*[c for c in klines.columns if c not in ("symbol", "ts", "ingest_seq")])
-    first = klines.groupBy("symbol", "ts").agg(F.min_by(row, "ingest_seq").alias("_row"))
-    return first.select("symbol", "ts", "_row.*")
+    any number of times costs one row per task; one per column, as numbers can be aggregated by hash without sorting the raw rows.
+    ``ingest_seq`` is unique, so all columns come from the same row."""
+    rest = [c for c in klines.columns if c not in ("symbol", "ts", "ingest_seq")]
+    return klines.groupBy("symbol", "ts").agg(*[F.min_by(c, "ingest_seq").alias(c) for c in rest])
 
 
 def valid_bars(df: DataFrame) -> DataFrame:

@@ -54,11 +54,22 @@ def append(state: DataFrame, path: str) -> None:
 
 
 def read(spark: SparkSession, path: str, rules: Rules = RULES) -> DataFrame:
-    """The latest state, or the defaults where nothing was stored."""
+    """The latest state, or the defaults where nothing was stored: a missing path or a table without rows.
+
+    A table of other columns or with a null in its latest state is an error, as reading it as a fresh account would clear a halt.
+    """
     try:
-        stored = spark.read.schema(schemas.ACCOUNT_STATE).parquet(path)
-        found = latest(stored).filter(F.col("balance").isNotNull())
-    except AnalysisException:
-        return defaults(spark, rules)
+        stored = spark.read.parquet(path)
+    except AnalysisException as problem:
+        if problem.getCondition() in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            return defaults(spark, rules)
+        raise
+    found = dict(stored.dtypes)
+    wanted = {f.name: f.dataType.simpleString() for f in schemas.struct(schemas.ACCOUNT_STATE)}
+    if any(found.get(name) != kind for name, kind in wanted.items()):
+        raise ValueError(f"{path} holds {found}, not an account state {wanted}")
+    known = F.col("balance").isNotNull() & F.col("peak_balance").isNotNull() & F.col("halted").isNotNull()
+    checked = F.when(known, F.col("balance")).otherwise(F.raise_error(F.lit(f"null in the latest account state of {path}")).cast("double"))
+    found = latest(stored).filter(F.col("run_ts").isNotNull()).withColumn("balance", checked)
     fallback = defaults(spark, rules).withColumn("_order", F.lit(1))
     return found.withColumn("_order", F.lit(0)).unionByName(fallback).orderBy("_order").limit(1).drop("_order")

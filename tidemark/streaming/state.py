@@ -20,15 +20,17 @@ HALT_STATE = "balance double, peak double, halted boolean"
 
 def latched_halt(daily: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Balance, peak and halt of each account after each day. A reset clears the halt before the day's
-    check and leaves the peak."""
+    check; it leaves the peak unless the row has a ``new_peak``, which then takes its place."""
+    with_new = "new_peak" in daily.columns
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         balance, peak, halted = state.get if state.exists else (rules.start_balance, rules.start_balance, False)
         rows = pd.concat(list(frames)).sort_values("date")
         out = []
-        for date, net, reset in zip(rows["date"], rows["net"], rows["reset"]):
+        fresh = rows["new_peak"] if with_new else [None] * len(rows)
+        for date, net, reset, new in zip(rows["date"], rows["net"], rows["reset"], fresh, strict=True):
             balance += net
-            peak = max(peak, balance)
+            peak = max(float(new) if reset and pd.notna(new) else peak, balance)
             tripped = (peak - balance) / peak >= rules.halt_drawdown if peak > 0 else False
             halted = bool((halted and not reset) or tripped)
             out.append((key[0], date, balance, peak, halted))
@@ -42,7 +44,8 @@ def latched_halt(daily: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 EXIT_OUT = ("symbol string, entry_date date, exit_date date, reason string, hold_days int, exit_price double, "
             "pnl_pct double, entry_price double")
-EXIT_STATE = "dates array<date>, prices array<double>, armed array<boolean>"
+EXIT_STATE = "dates array<date>, prices array<double>, armed array<boolean>, seen array<date>"
+LATE = "LATE_BAR"
 
 
 def settle(entry: float, hold: int, armed: bool, bar, rules: Rules) -> tuple[str, float, float] | None:
@@ -61,29 +64,38 @@ def settle(entry: float, hold: int, armed: bool, bar, rules: Rules) -> tuple[str
 
 
 def position_exits(bars: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """Exits as bars arrive. ``bars`` stream in date order per symbol with ``enter`` marking an entry at the
-    close. A position lives for ``max_hold`` later bars at most, so a symbol's state holds that many."""
+    """Exits as bars arrive, ``enter`` marking an entry at the close. A position lives for ``max_hold`` later bars at most, so a symbol's
+    state holds that many.
+
+    Every position keeps the date of the last bar it has seen. A bar that is not later is not applied to it, and is reported
+    as a row with reason ``LATE_BAR``, the bar's date and no price, so that late data can be counted; bars of the entry day or before
+    that arrive after the entry are such.
+    """
 
     def step(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
         held = list(zip(*state.get)) if state.exists else []
         out = []
         for bar in pd.concat(list(frames)).sort_values("date").itertuples():
             kept = []
-            for entry_date, price, armed in held:
+            for entry_date, price, armed, seen in held:
+                if bar.date <= seen:
+                    out.append((key[0], entry_date, bar.date, LATE, None, None, None, price))
+                    kept.append((entry_date, price, armed, seen))
+                    continue
                 hold = (bar.date - entry_date).days
                 done = settle(price, hold, armed, bar, rules)
                 if done:
                     out.append((key[0], entry_date, bar.date, done[0], hold, done[1], done[2], price))
                 else:
-                    kept.append((entry_date, price, bool(armed or bar.high >= price * (1 + rules.trigger))))
+                    kept.append((entry_date, price, bool(armed or bar.high >= price * (1 + rules.trigger)), bar.date))
             if bar.enter:
                 seeded = rules.seed_entry_day and bar.high >= bar.close * (1 + rules.trigger)
-                kept.append((bar.date, float(bar.close), bool(seeded)))
+                kept.append((bar.date, float(bar.close), bool(seeded), bar.date))
             held = kept
-        state.update(tuple(list(x) for x in zip(*held)) if held else ([], [], []))
+        state.update(tuple(list(x) for x in zip(*held)) if held else ([], [], [], []))
         columns = ["symbol", "entry_date", "exit_date", "reason", "hold_days", "exit_price", "pnl_pct", "entry_price"]
         if out:
-            yield pd.DataFrame(out, columns=columns)
+            yield pd.DataFrame(out, columns=columns).astype({"hold_days": "Int32", "exit_price": "Float64", "pnl_pct": "Float64"})
 
     return bars.groupBy("symbol").applyInPandasWithState(
         step, EXIT_OUT, EXIT_STATE, "append", GroupStateTimeout.NoTimeout
