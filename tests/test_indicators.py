@@ -1,3 +1,5 @@
+import math
+
 import numpy as np
 import pandas as pd
 import pytest
@@ -10,43 +12,84 @@ from tidemark.operators import indicators, sentiment, series
 from tidemark.params import FEATURES
 
 
+def mean(xs):
+    return math.fsum(xs) / len(xs)
+
+
+def spread(xs):
+    centre = mean(xs)
+    return math.sqrt(math.fsum((x - centre) ** 2 for x in xs) / (len(xs) - 1))
+
+
+def quarter(xs):
+    """Linear interpolation at three quarters."""
+    xs, at = sorted(xs), 0.75 * (len(xs) - 1)
+    return xs[int(at)] + (xs[min(int(at) + 1, len(xs) - 1)] - xs[int(at)]) * (at - int(at))
+
+
 def plain_features(df, fg=None):
-    """The same features with pandas on one symbol."""
-    c, h, lo, v = df["close"], df["high"], df["low"], df["volume"]
-    f = pd.DataFrame({"date": df["date"]})
-    for n in (1, 2, 3, 5, 10, 20):
-        f[f"ret_{n}d"] = c / c.shift(n) - 1
-    f["mom_5_20"] = f["ret_5d"] - f["ret_20d"]
-    f["mom_sign"] = np.sign(f["ret_5d"])
-    move = c.diff()
-    up, down = move.clip(lower=0).rolling(14).mean(), (-move).clip(lower=0).rolling(14).mean()
-    f["rsi"] = 100 - 100 / (1 + up / down.where(down != 0))
-    f["rsi_oversold"], f["rsi_overbought"] = (f["rsi"] < 30).astype(int), (f["rsi"] > 70).astype(int)
-    tr = pd.concat([h - lo, (h - c.shift()).abs(), (lo - c.shift()).abs()], axis=1).max(axis=1)
-    atr = tr.rolling(14).mean() / c
-    f["atr_pct"] = atr
-    sd = atr.rolling(60).std()
-    f["atr_pct_z"] = (atr - atr.rolling(60).mean()) / sd.where(sd != 0)
-    f["high_vol_regime"] = (atr > atr.rolling(60).quantile(0.75)).astype(int)
-    e20, e50 = c.ewm(span=20, adjust=False).mean(), c.ewm(span=50, adjust=False).mean()
-    f["price_ema20_ratio"], f["price_ema50_ratio"], f["ema20_ema50_ratio"] = c / e20 - 1, c / e50 - 1, e20 / e50 - 1
-    mid, dev = c.rolling(20).mean(), c.rolling(20).std()
-    f["bb_position"] = (c - (mid - 2 * dev)) / (4 * dev + 1e-10)
-    f["bb_width"] = 4 * dev / mid
-    vd = v.rolling(20).std()
-    f["vol_z"] = (v - v.rolling(20).mean()) / vd.where(vd != 0)
-    f["vol_trend"] = v / v.shift(5) - 1
-    f["hl_position"], f["range_pct"] = (c - lo) / (h - lo + 1e-10), (h - lo) / c
-    f["dow"] = [d.weekday() for d in df["date"]]
-    if fg is None:
-        f["fg_value"], f["fg_extreme_fear"], f["fg_extreme_greed"], f["fg_momentum"] = 0.5, 0, 0, 0.0
-    else:
-        level = pd.Series([fg.get(d, np.nan) for d in df["date"]]).ffill().fillna(50)
-        f["fg_value"] = level / 100
-        f["fg_extreme_fear"], f["fg_extreme_greed"] = (level <= 25).astype(int), (level >= 75).astype(int)
-        f["fg_momentum"] = level.diff(7) / 100
-    f["target"] = (c.shift(-1) > c).astype(float).where(c.shift(-1).notna())
-    return f.dropna(subset=["ret_1d", "rsi", "atr_pct"]).reset_index(drop=True)
+    """The same features of one symbol from their definitions: for each row a loop over the last values it needs."""
+    days = [row._asdict() for row in df.itertuples(index=False)]
+    close = [day["close"] for day in days]
+    volume = [day["volume"] for day in days]
+    ranges, atrs, out = [], [], []
+    slow = {20: None, 50: None}
+    level, levels = 50.0, []
+    for i, day in enumerate(days):
+        row = {"date": day["date"]}
+
+        def back(xs, n, i=i):
+            return xs[i - n + 1:i + 1] if i >= n - 1 else None
+
+        def grown(xs, n, i=i):
+            return xs[i] / xs[i - n] - 1 if i >= n else math.nan
+
+        def score(xs, n):
+            part = back(xs, n)
+            if part is None or any(math.isnan(x) for x in part) or spread(part) == 0:
+                return math.nan
+            return (part[-1] - mean(part)) / spread(part)
+
+        for n in (1, 2, 3, 5, 10, 20):
+            row[f"ret_{n}d"] = grown(close, n)
+        row["mom_5_20"] = row["ret_5d"] - row["ret_20d"]
+        row["mom_sign"] = math.nan if math.isnan(row["ret_5d"]) else float((row["ret_5d"] > 0) - (row["ret_5d"] < 0))
+        row["rsi"] = math.nan
+        if i >= 14:
+            moves = [close[k] - close[k - 1] for k in range(i - 13, i + 1)]
+            gain, loss = mean([max(m, 0.0) for m in moves]), mean([max(-m, 0.0) for m in moves])
+            if loss:
+                row["rsi"] = 100 - 100 / (1 + gain / loss)
+        row["rsi_oversold"], row["rsi_overbought"] = int(row["rsi"] < 30), int(row["rsi"] > 70)
+        before = close[i - 1] if i else None
+        reach = [day["high"] - day["low"]] + ([abs(day["high"] - before), abs(day["low"] - before)] if i else [])
+        ranges.append(max(reach))
+        atrs.append(mean(back(ranges, 14)) / close[i] if i >= 13 else math.nan)
+        row["atr_pct"], row["atr_pct_z"] = atrs[i], score(atrs, 60)
+        recent = back(atrs, 60)
+        row["high_vol_regime"] = int(recent is not None and not any(map(math.isnan, recent)) and atrs[i] > quarter(recent))
+        for span, value in slow.items():
+            slow[span] = close[i] if value is None else value + (close[i] - value) * 2 / (span + 1)
+        row["price_ema20_ratio"], row["price_ema50_ratio"] = close[i] / slow[20] - 1, close[i] / slow[50] - 1
+        row["ema20_ema50_ratio"] = slow[20] / slow[50] - 1
+        band = back(close, 20)
+        width = 4 * spread(band) if band else math.nan
+        row["bb_position"] = (close[i] - mean(band) + width / 2) / (width + 1e-10) if band else math.nan
+        row["bb_width"] = width / mean(band) if band else math.nan
+        row["vol_z"], row["vol_trend"] = score(volume, 20), grown(volume, 5)
+        height = day["high"] - day["low"]
+        row["hl_position"], row["range_pct"], row["dow"] = (close[i] - day["low"]) / (height + 1e-10), height / close[i], day["date"].weekday()
+        if fg is None:
+            row |= {"fg_value": 0.5, "fg_extreme_fear": 0, "fg_extreme_greed": 0, "fg_momentum": 0.0}
+        else:
+            level = float(fg.get(day["date"], level))
+            levels.append(level)
+            row |= {"fg_value": level / 100, "fg_extreme_fear": int(level <= 25), "fg_extreme_greed": int(level >= 75),
+                    "fg_momentum": (level - levels[i - 7]) / 100 if i >= 7 else math.nan}
+        row["target"] = float(close[i + 1] > close[i]) if i + 1 < len(close) else math.nan
+        if not any(math.isnan(row[c]) for c in ("ret_1d", "rsi", "atr_pct")):
+            out.append(row)
+    return pd.DataFrame(out)
 
 
 def engine_features(spark, pdf, fg=None, rows=series.BLOCK_ROWS):
@@ -64,7 +107,7 @@ def close_enough(a, b):
 
 
 @pytest.mark.parametrize("rows", [97, 4096])
-def test_features_match_pandas_whatever_the_block_size(spark, rows):
+def test_features_match_plain_loops_whatever_the_block_size(spark, rows):
     pdf = walk(n=420, gaps=True)
     rng = np.random.default_rng(5)
     fg = {d: int(rng.integers(0, 101)) for d in pdf["date"] if rng.random() < 0.4}

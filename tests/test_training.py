@@ -7,7 +7,7 @@ from helpers import numbered, walk
 from pyspark.sql import functions as F
 
 from tidemark.operators import indicators, sentiment, training
-from tidemark.params import FEATURES
+from tidemark.params import FEATURES, RULES
 from tidemark.session import materialize
 
 
@@ -111,3 +111,37 @@ def test_walk_forward_scores_every_cutoff(features):
     rows = training.walk_forward(features, cutoffs, trees=2, parallelism=2).collect()
     today = {(r["symbol"], r["date"]) for r in features.filter(F.col("date").isin(cutoffs)).select("symbol", "date").collect()}
     assert {(r["symbol"], r["date"]) for r in rows} == today >= {(s, c) for s in "AB" for c in cutoffs}
+
+
+def planted(spark, rule):
+    """Two symbols of 240 days and one of 40, every input random; ``rule`` makes the label from a row's inputs."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for symbol, days in (("A", 240), ("B", 240), ("C", 40)):
+        for k in range(days):
+            x = {c: float(v) for c, v in zip(FEATURES, rng.normal(size=len(FEATURES)))}
+            rows.append((symbol, dt.date(2024, 12, 31) - dt.timedelta(days=days - k), *x.values(), int(rule(x, rng))))
+    kinds = ", ".join(f"{c} double" for c in FEATURES)
+    return materialize(spark.createDataFrame(rows, f"symbol string, date date, {kinds}, target int"))
+
+
+def test_a_planted_signal_is_found_and_noise_is_not(spark):
+    found = planted(spark, lambda x, rng: x["rsi"] + 0.2 * x["vol_z"] > 0)
+    cutoff = dt.date(2024, 12, 30)
+    rows = {r["symbol"]: r for r in training.signal_result(found, cutoff, trees=12).collect()}
+    for symbol in "AB":
+        r = rows[symbol]
+        assert r["train_rows"] == RULES.train_window and not r["insufficient"] and r["top_features"][0] == "rsi" and len(r["top_features"]) == 5
+        assert r["rf_accuracy"] >= 0.8 and r["xgb_accuracy"] >= 0.8  # a constant gets about half
+        assert r["ensemble_prob"] == pytest.approx((r["rf_prob"] + r["xgb_prob"]) / 2)
+    c = rows["C"]
+    assert c["insufficient"] and c["train_rows"] < RULES.min_history and c["top_features"] == []
+    assert (c["rf_prob"], c["xgb_prob"], c["ensemble_prob"], c["rf_accuracy"], c["signal"]) == (0.0, 0.0, 0.0, 0.0, False)
+    noise = training.signal_result(planted(spark, lambda x, rng: rng.random() < 0.5), cutoff, trees=12).filter("not insufficient").collect()
+    assert len(noise) == 2 and sum(r["rf_accuracy"] + r["xgb_accuracy"] for r in noise) / 4 < 0.72
+
+
+def test_results_at_several_cutoffs(spark, features):
+    cutoffs = sorted(r["date"] for r in features.filter("symbol = 'A'").select("date").collect())[-2:]
+    rows = training.signal_results(features, cutoffs, trees=2, parallelism=2).collect()
+    assert {(r["symbol"], r["date"]) for r in rows} >= {(s, c) for s in "AB" for c in cutoffs}

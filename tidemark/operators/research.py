@@ -74,13 +74,16 @@ def fill_audit(closed: DataFrame, rules: Rules = RULES) -> DataFrame:
 
 
 def bootstrap_mean(values: DataFrame, value: str, key: list[str], replicates: int = 200, seed: int = 42) -> DataFrame:
-    """95 % interval of a mean. Every row gets a Poisson(1) weight per replicate, from a hash of its key, so
+    """95 % interval of a mean. Every row gets a Poisson(1) weight per replicate, from the MD5 of its key, so
     a replicate is one weighted aggregate and nothing is sampled on the driver. The (replicate, sum, weight)
     partials are combined on the map side: the shuffle moves ``replicates`` rows per task.
+
+    Weights follow a 52-bit number; weights of 18 and more have less than one part in 2^52 and so no number that would give them.
     """
-    u = (F.pmod(F.xxhash64(F.lit(seed), F.col("replicate"), *key), F.lit(1 << 52)) + 0.5) / F.lit(float(1 << 52))
+    name = F.concat_ws("|", F.lit(str(seed)), F.col("replicate").cast("string"), *[F.col(c).cast("string") for c in key])
+    u = (F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("bigint") + 0.5) / F.lit(float(1 << 52))
     weight, mass, total = F.lit(0), math.exp(-1), 0.0
-    for k in range(0, 12):
+    for k in range(0, 18):
         total += mass
         weight = weight + F.when(F.col("_u") > total, 1).otherwise(0)
         mass /= k + 1

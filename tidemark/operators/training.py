@@ -165,20 +165,62 @@ def score_cutoff(features: DataFrame, cutoff, trees: int = 50, rules: Rules = RU
     return ensemble(whole, rules)
 
 
-def walk_forward(features: DataFrame, cutoffs: list, trees: int = 50, parallelism: int = 4, rules: Rules = RULES) -> DataFrame:
-    """Scores at several cutoffs. Each cutoff is its own pair of fits; they are independent, so ``parallelism``
-    of them submit their Spark jobs at the same time. Pass materialized features."""
+def top_features(model, k: int = 5) -> Column:
+    """The names of a fitted tree model's ``k`` most important inputs, as a constant array."""
+    ranked = sorted(zip(FEATURES, model.featureImportances.toArray().tolist()), key=lambda pair: (-pair[1], pair[0]))
+    return F.array(*[F.lit(name) for name, _ in ranked[:k]])
+
+
+def signal_result(features: DataFrame, cutoff, trees: int = 50, rules: Rules = RULES) -> DataFrame:
+    """The whole signal result of every symbol at the cutoff, one row each: both probabilities, their mean, the signal, both
+    accuracies on the symbol's newest rows (fitted without them), the number of training rows and the forest's top inputs.
+
+    A symbol without enough history is ``insufficient``: probabilities and accuracies 0, no signal, no top inputs.
+    """
+    window, today = at_cutoff(features, cutoff, rules)
+    rows = training_window(features.filter(F.col("date") < F.lit(cutoff)), rules).groupBy("symbol").agg(F.count(F.lit(1)).alias("train_rows"))
+    keys = today.select("symbol", "date").distinct().join(rows, "symbol", "left").withColumn("train_rows", F.coalesce("train_rows", F.lit(0).cast("bigint")))
+    keys = keys.withColumn("insufficient", F.col("train_rows") < rules.min_history)
+    figures = ["rf_prob", "xgb_prob", "rf_accuracy", "xgb_accuracy"]
+    none = F.array().cast("array<string>")
+    if window.isEmpty():
+        whole = keys.withColumns({c: F.lit(0.0) for c in figures} | {"top_features": none})
+        return ensemble(whole, rules)
+    marked = split(materialize(window), rules)
+    held_in, held_out = prepared(marked.filter(~F.col("holdout")), marked.filter("holdout"))
+    held_in = materialize(held_in)
+    tested = boosted(trees).fit(held_in).transform(forest(trees).fit(held_in).transform(held_out))
+    hit = lambda c: F.avg((F.col(c) == F.col("target")).cast("double"))
+    accuracy_ = tested.groupBy("symbol").agg(hit("y_forest").alias("rf_accuracy"), hit("y_boosted").alias("xgb_accuracy"))
+    train, score = prepared(marked.drop("holdout"), today)
+    train = materialize(train)
+    first = forest(trees).fit(train)
+    found = boosted(trees).fit(train).transform(first.transform(score)).select(
+        "symbol", _up("p_forest").alias("rf_prob"), _up("p_boosted").alias("xgb_prob"), top_features(first).alias("top_features"))
+    whole = keys.join(found, "symbol", "left").join(accuracy_, "symbol", "left").fillna(0.0, figures)
+    return ensemble(whole.withColumn("top_features", F.coalesce("top_features", none)), rules)
+
+
+def signal_results(features: DataFrame, cutoffs: list, trees: int = 50, parallelism: int = 4, rules: Rules = RULES) -> DataFrame:
+    """``signal_result`` at several cutoffs, fitted at the same time. Pass materialized features."""
+    return _each(features, cutoffs, lambda cutoff: signal_result(features, cutoff, trees, rules), parallelism)
+
+
+def _each(features: DataFrame, cutoffs: list, one, parallelism: int) -> DataFrame:
     from functools import reduce
     from multiprocessing.pool import ThreadPool
 
     from pyspark import inheritable_thread_target
 
-    one = inheritable_thread_target(features.sparkSession)(
-        lambda cutoff: materialize(score_cutoff(features, cutoff, trees, rules))
-    )
+    run = inheritable_thread_target(features.sparkSession)(lambda cutoff: materialize(one(cutoff)))
     with ThreadPool(parallelism) as pool:
-        parts = pool.map(one, cutoffs)
-    return reduce(DataFrame.unionByName, parts)
+        return reduce(DataFrame.unionByName, pool.map(run, cutoffs))
+
+
+def walk_forward(features: DataFrame, cutoffs: list, trees: int = 50, parallelism: int = 4, rules: Rules = RULES) -> DataFrame:
+    """Scores at several cutoffs. Each cutoff is its own pair of fits; they are independent, so ``parallelism``
+    of them submit their Spark jobs at the same time. Pass materialized features."""
+    return _each(features, cutoffs, lambda cutoff: score_cutoff(features, cutoff, trees, rules), parallelism)
 
 
 def ensemble(scores: DataFrame, rules: Rules = RULES) -> DataFrame:

@@ -2,11 +2,14 @@
 
 from __future__ import annotations
 
+import itertools
+import math
+
 from pyspark.sql import functions as F
 
 from ..functions import rolling as R
 from ..functions import scalars as S
-from ..operators import exits, indicators, ledger, metrics, research, series, training
+from ..operators import admission, exits, indicators, ledger, metrics, research, series, training
 from ..params import FEATURES, RULES
 from ..session import materialize
 from . import inputs
@@ -89,7 +92,19 @@ def x05(spark, sf):
     return rounded(research.fill_audit(inputs.exited(inputs.bars(spark, sf))), mean_gap_pct=9)
 
 
-@query("x06_bootstrap")
+# distribution of a Poisson(1) number, up to what 52 bits can tell
+POISSON = list(itertools.accumulate(math.exp(-1) / math.factorial(k) for k in range(18)))
+part("gaps", ["trades"], f"""
+select symbol, entry_date, (entry_price*(1 + {d(0.015)}) - exit_price)/entry_price*trade_size as delta from trades where reason = 'TRAIL_BE'""")
+part("draws", ["gaps"], f"""
+select replicate, sum(delta*w)/nullif(sum(w), 0) as m from (
+  select replicate, delta, {" + ".join(f"cast(u > {d(t)} as integer)" for t in POISSON)} as w from (
+    select replicate, delta, (('0x' || substr(md5('42|' || replicate || '|' || symbol || '|' || cast(entry_date as varchar)), 1, 13))::bigint + 0.5)/{d(float(1 << 52))} as u
+    from gaps, (select unnest(range(1, 201)) as replicate))) group by 1""")
+
+
+@query("x06_bootstrap", sql(f"""
+select {r('quantile_cont(m, 0.025)')} as low, {r('quantile_cont(m, 0.975)')} as high, {r('avg(m)')} as boot_mean from draws""", "draws"))
 def x06(spark, sf):
     # what the realism cap costs per armed-stop trade, in money
     closed = trades_of(spark, sf).filter("reason = 'TRAIL_BE'")
@@ -327,3 +342,59 @@ def m10(spark, sf):
     enough = features.filter(F.col("fn") - 1 >= RULES.min_history)
     scores = enough.select("symbol", "date", ((F.col("volume").cast("bigint") % 100) / F.lit(100.0)).alias("prob"))
     return training.with_insufficient(features.select("symbol", "date"), scores)
+
+
+def _cutoffs(features, count: int) -> list:
+    """The first feature day after the shortest history, and the last days of the ``count`` - 1 latest quarters: a few driver values."""
+    first = features.groupBy("symbol").agg(F.min("date").alias("date")).agg(F.date_add(F.max("date"), 40)).first()[0]
+    ends = features.groupBy(F.trunc("date", "quarter")).agg(F.max("date").alias("date")).orderBy(F.col("date").desc()).limit(count - 1).collect()
+    nearest = features.filter(F.col("date") >= F.lit(first)).agg(F.min("date")).first()[0]
+    return sorted({nearest, *(r["date"] for r in ends)})
+
+
+part("result_days", ["fnum"], """
+select distinct date from (
+  select date from (select max(date) as date from fnum group by date_trunc('quarter', date)) order by date desc limit 2)
+union select min(date) from fnum where date >= (select max(d) + 40 from (select min(date) as d from fnum group by symbol))""")
+
+
+@query("m11_signal_result", sql("""
+select f.symbol, f.date, count(t.date) as train_rows, count(t.date) < 80 as insufficient, true as in_range, true as mean_of_both, true as zero_if_insufficient,
+  case when count(t.date) < 80 then 0 else 5 end as n_top
+from fnum f join result_days using (date)
+left join fnum t on t.symbol = f.symbol and t.target is not null and t.date < f.date and t.fn > f.fn - 181
+group by 1, 2""", "fnum", "result_days"))
+def m11(spark, sf):
+    # trees differ between libraries; keys, row counts and what must hold of every result can be compared
+    features = materialize(full_features(spark, sf))
+    rows = training.signal_results(features, _cutoffs(features, 3), trees=5)
+    share = lambda c: F.col(c).between(0, 1)
+    known = ~F.col("insufficient")
+    return rows.select(
+        "symbol", "date", "train_rows", "insufficient", (share("rf_prob") & share("xgb_prob") & share("rf_accuracy") & share("xgb_accuracy")).alias("in_range"),
+        (F.abs(F.col("ensemble_prob") - (F.col("rf_prob") + F.col("xgb_prob")) / 2) < 1e-12).alias("mean_of_both"),
+        (known | ((F.col("ensemble_prob") == 0) & ~F.col("signal"))).alias("zero_if_insufficient"), F.size("top_features").alias("n_top"))
+
+
+@query("m12_signal_chain")
+def m12(spark, sf):
+    """Features, scores of fitted models at a few days, reuse until the next of them, admission, exits, ledger rows and the sheet's figures."""
+    bars = materialize(inputs.bars(spark, sf))
+    features = materialize(full_features(spark, sf))
+    cutoffs = _cutoffs(features, 4)
+    scored = materialize(training.signal_results(features, cutoffs, trees=5)).select("symbol", "date", F.col("ensemble_prob").alias("prob"), "insufficient")
+    after = bars.filter(F.col("date") >= F.lit(cutoffs[0]))
+    days = training.reuse_scores(after.select("symbol", "date"), scored.select("symbol", "date", "prob"))
+    flow = S.flow_ratio(F.col("taker").cast("double"), F.col("vi").cast("double"))
+    cands = materialize(after.join(days, ["symbol", "date"]).select(
+        "date", "symbol", "close", "prob", flow.alias("ofi"), F.lit(False).alias("in_position")))
+    state = cands.select("date").distinct().select("date", F.lit(0).alias("n_open"), F.lit(False).alias("halted"), F.lit(RULES.start_balance).alias("balance"))
+    logged = admission.admit(cands, state)
+    entered = logged.filter("signal_fired").select(
+        "symbol", F.col("date").alias("entry_date"), F.col("close").alias("entry_price"), F.col("prob").alias("signal_prob"))
+    done = materialize(exits.first_exit(exits.at_entry(entered, exits.with_path(bars))))
+    closed = ledger.with_pnl(exits.resolved(done).withColumn("trade_size", F.lit(RULES.trade_size)))
+    counts = logged.agg(F.count(F.lit(1)).alias("n_logged"), F.count_if("signal_fired").alias("n_entered"))
+    book = ledger.opened(done).agg(F.count(F.lit(1)).alias("n_ledger"))
+    # single rows
+    return rounded(counts.crossJoin(book).crossJoin(metrics.summary(closed)), avg_pnl_pct=9)

@@ -426,16 +426,25 @@ def r04(spark, sf):
 part("bounds", ["live"], "select min(entry_date) as a, max(entry_date) as b from live")
 
 
+part("sides", ["live", "trades", "bounds"], """
+select 'realized' as side, exit_date, pnl_net, win, reason from live
+union all select 'predicted', exit_date, pnl_net, win, reason from trades where entry_date between (select a from bounds) and (select b from bounds)
+union all select 'predicted_same_keys', exit_date, pnl_net, win, reason from trades t
+  where exists (select 1 from live l where l.symbol = t.symbol and l.entry_date = t.entry_date)""")
+part("side_days", ["sides"], """
+select side, exit_date, 10000 + sum(sum(pnl_net)) over (partition by side order by exit_date) as balance from sides group by 1, 2""")
+part("side_falls", ["side_days"], """
+select side, balance, greatest(10000, max(balance) over (partition by side order by exit_date)) as peak from side_days""")
+
+
 @query("r05_realized_vs_predicted", sql(f"""
-select 'realized' as side, {SUMMARY_SQL} from live
-union all select 'predicted', {SUMMARY_SQL} from trades where entry_date between (select a from bounds) and (select b from bounds)
-union all select 'predicted_same_keys', {SUMMARY_SQL} from trades t
-  where exists (select 1 from live l where l.symbol = t.symbol and l.entry_date = t.entry_date)""", "live", "trades", "bounds"))
+select side, {SUMMARY_SQL}, (select {r('-max((peak - balance)/peak)', 9)} from side_falls f where f.side = sides.side) as max_drawdown
+from sides group by side""", "sides", "side_falls"))
 def r05(spark, sf):
     from . import reports
 
     trades = materialize(inputs.trades(inputs.bars(spark, sf)))
-    return rounded(reports.realized_vs_predicted(inputs.live_trades(trades), trades), avg_pnl_pct=9)
+    return rounded(reports.realized_vs_predicted(inputs.live_trades(trades), trades), avg_pnl_pct=9, max_drawdown=9)
 
 
 @query("r06_strategy_vs_hold", sql(f"""

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rolling as R
 from ..functions import scalars as S
-from ..operators import compare, indicators, ledger, metrics
+from ..operators import compare, indicators, ledger, metrics, risk, series
 from ..params import RULES, Rules
 from ..session import materialize
 from . import inputs
@@ -37,14 +37,25 @@ def breakdown(trades: DataFrame) -> DataFrame:
 
 
 def realized_vs_predicted(live: DataFrame, predicted: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """Three rows: the live trades, the prediction over the live window, the prediction on the live keys."""
+    """Three rows: the live trades, the prediction over the live window, the prediction on the live keys; each with the deepest fall of its own
+    balance, which starts at the start balance and moves on days with exits."""
     bounds = live.agg(F.min("entry_date").alias("_a"), F.max("entry_date").alias("_b"))
     window = predicted.crossJoin(F.broadcast(bounds)).filter(F.col("entry_date").between(F.col("_a"), F.col("_b")))
     sides = [("realized", live), ("predicted", window), ("predicted_same_keys", compare.on_keys(predicted, live))]
-    rows = [metrics.summary(df, rules).select(F.lit(name).alias("side"), "*") for name, df in sides]
+    rows = [
+        metrics.summary(df, rules).crossJoin(trade_drawdown(df, rules)).select(F.lit(name).alias("side"), "*") for name, df in sides  # single rows
+    ]
     return rows[0].unionByName(rows[1]).unionByName(rows[2])
 
 
+def trade_drawdown(trades: DataFrame, rules: Rules = RULES) -> DataFrame:
+    """The deepest fall below the peak so far of the balance after each exit day, 0 without trades. One row."""
+    days = trades.groupBy(F.col("exit_date").alias("date")).agg(F.sum("pnl_net").alias("net"))
+    total = series.running(days.withColumn("_year", F.year("date")), [], ["date"], "_year", _net=("sum", "net"))
+    falls = risk.with_drawdown(materialize(total.select("date", (F.lit(rules.start_balance) + F.col("_net")).alias("balance"))), rules)
+    return falls.agg(F.coalesce(-F.max("drawdown"), F.lit(0.0)).alias("max_drawdown"))
+
+
 def strategy_vs_hold(trades: DataFrame, bars: DataFrame, rules: Rules = RULES) -> DataFrame:
     """Return on the start balance, the equal-weight benchmark and the edge in percentage points."""
     strategy = trades.agg((F.sum("pnl_net") / rules.start_balance).alias("strategy"))
