@@ -15,7 +15,7 @@ from .linking import linked_classes, members_of
 from .windows import Hashes, mixed
 
 FRAGMENTS = 6
-BUCKET_BITS = 20  # counters of the frequency sketch: 4 MB, whatever the size of the corpus
+BUCKET_BITS = 21  # counters of the frequency sketch: 8 MB, whatever the size of the corpus
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
 _TURNS = np.random.default_rng(7).integers(1, 2**63, size=64, dtype=np.uint64) | np.uint64(1)
@@ -88,10 +88,21 @@ def global_order(docs: DataFrame, text: str, words: int, fragments: int) -> Orde
     size, parts = 1 << BUCKET_BITS, 16
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(size, np.uint32)
+        total, held, number = np.zeros(size, np.uint32), [], 0
+
+        def add_held() -> None:
+            grams = np.concatenate([np.zeros(0, np.uint64), *held])
+            np.add(total, np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size), out=total, casting="unsafe")
+            held.clear()
+
         for part in slices(batches, "value", 2 << 20):
-            grams = np.concatenate([np.zeros(0, np.uint64), *shingles(_texts(part), words)])
-            total += np.bincount((grams & np.uint64(size - 1)).astype(np.int64), minlength=size).astype(np.uint32)
+            for grams in shingles(_texts(part), words):
+                held.append(grams)
+                number += len(grams)
+            if number > size:
+                add_held()
+                number = 0
+        add_held()
         yield pa.RecordBatch.from_arrays(
             [pa.array(range(parts), pa.int32()), pa.array([zlib.compress(t.tobytes(), 1) for t in np.split(total, parts)], pa.binary())],
             names=["p", "counts"])
@@ -168,6 +179,29 @@ def _segments(docs: DataFrame, order, id: str, text: str, words: int) -> DataFra
         run, f"node {dict(docs.dtypes)[id]}, fragment int, segment array<long>")
 
 
+def _near(pairs: DataFrame, order, percent: int, kind: str) -> DataFrame:
+    """Pairs (a, an, x, b, bn, y) that may link by their rarest n-grams x and y, without those.
+
+    Below the last n-gram of either prefix both sets are known: that is the first fragment, and where they differ there in more
+    n-grams than two linked sets of their sizes may differ in all, the pair is out.
+    """
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = order.value
+        for batch in batches:
+            keep = []
+            columns = (batch[c].to_numpy(zero_copy_only=False) for c in ("an", "x", "bn", "y"))
+            for an, x, bn, y in zip(*columns, strict=True):
+                x, y = x.view(np.uint64), y.view(np.uint64)
+                p, q = by.keys(x), by.keys(y)
+                end = min(p[-1], q[-1])
+                x, y = x[p < end], y[q < end]
+                differ = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(differ * (100 + percent) <= (an + bn) * (100 - percent))
+            yield batch.select(["a", "b", "an", "bn"]).filter(pa.array(keep, pa.bool_()))
+
+    return pairs.select("a", "b", "an", "x", "bn", "y").mapInArrow(run, f"a {kind}, b {kind}, an long, bn long")
+
+
 def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text",
          fragments: int = FRAGMENTS) -> DataFrame:
     """One row per document: ``id``, n_shingles, component_id, the smallest id reachable by links.
@@ -177,8 +211,9 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     are never compared. Rows that share an id are one node too; rows without an id have no component. Other columns are not read.
 
     The n-grams are put in one global order, rarest first. A link needs a common n-gram among the rarest of both, so each node is posted
-    under those only; of the nodes that share one, candidates are chosen by ``linking``. The order is cut into ``fragments``; the
-    overlap of a candidate pair is counted fragment by fragment, each a join of its own key, and the counts are summed per pair.
+    under those only; of the nodes that share one, candidates are chosen by ``linking``, and those that differ too much in the rarest n-grams
+    alone are dropped. The order is cut into ``fragments``; the overlap of a pair is counted fragment by fragment, each a join of its own
+    key, and the counts are summed per pair.
     """
     spark = docs.sparkSession
     kind = dict(docs.dtypes)[id]
@@ -190,21 +225,32 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     postings = nodes.select("node", "n", "short", F.posexplode("rare").alias("rank", "key")).select(
         "key", "node", "n", "rank", (F.col("rank") < F.col("short")).alias("index"))
     members = members_of(postings, "members")
-    asked = members.select("node").distinct()
     whole = docs.select(docs[id].alias("node"), docs[text].alias("body"))
-    # rows that share an id give the same or more rows per fragment; the sets of a node are united
-    segments = _segments(whole.join(asked.hint("shuffle_hash"), "node", "left_semi"), order, "node", "body", words)
-    segments = written(segments.groupBy("node", "fragment").agg(F.first("segment").alias("segment")), "segments")
-    sizes = nodes.select("node", "n")
+    segments: list[DataFrame] = []
 
     def verify(pairs: DataFrame) -> DataFrame:
-        left = pairs.join(segments.withColumnRenamed("node", "a").withColumnRenamed("segment", "x"), "a")
-        both = left.join(segments.withColumnRenamed("node", "b").withColumnRenamed("segment", "y"), ["b", "fragment"])
-        partial = both.select("a", "b", F.size(F.array_intersect("x", "y")).cast("long").alias("part"))
-        overlap = partial.groupBy("a", "b").agg(F.sum("part").alias("both"))
-        sized = (overlap.join(sizes.select(F.col("node").alias("a"), F.col("n").alias("an")), "a")
-                 .join(sizes.select(F.col("node").alias("b"), F.col("n").alias("bn")), "b"))
-        return sized.where(F.col("both") * 100 >= (F.col("an") + F.col("bn") - F.col("both")) * percent).select("a", "b")
+        side = nodes.select("node", "n", "rare")
+        known = (pairs.join(side.toDF("a", "an", "x"), "a").join(side.toDF("b", "bn", "y"), "b"))
+        near = written(_near(known, order, percent, kind), "near")
+        asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+        for earlier in segments:
+            asked = asked.join(earlier.select("node"), "node", "left_anti")
+        asked = written(asked, "asked")
+        if not asked.isEmpty():
+            texts = whole.join(asked.hint("shuffle_hash"), "node", "left_semi")
+            segments.append(written(_segments(texts, order, "node", "body", words), "segments"))
+        if not segments:
+            return near.select("a", "b")
+        parts = segments[0]
+        for more in segments[1:]:
+            parts = parts.unionByName(more)
+        left = near.join(parts.toDF("a", "fragment", "x"), "a")
+        both = left.join(parts.toDF("b", "fragment", "y"), ["b", "fragment"])
+        partial = both.select("a", "b", "an", "bn", "fragment", F.size(F.array_intersect("x", "y")).cast("long").alias("part"))
+        # rows that share an id bring a fragment more than once
+        partial = partial.groupBy("a", "b", "an", "bn", "fragment").agg(F.max("part").alias("part"))
+        overlap = partial.groupBy("a", "b", "an", "bn").agg(F.sum("part").alias("both"))
+        return overlap.where(F.col("both") * 100 >= (F.col("an") + F.col("bn") - F.col("both")) * percent).select("a", "b")
 
     roots = linked_classes(members, percent, verify, "ngram")
     per_set = nodes.select("k1", "k2", "node").join(roots, "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("root"))
