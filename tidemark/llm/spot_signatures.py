@@ -6,10 +6,10 @@ import hashlib
 from collections.abc import Iterator
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import regex
 import xxhash
-from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -205,58 +205,67 @@ def _compared(texts: list[str], after: list[str]) -> list[tuple]:
             for t, n, e, f in zip(texts, after, edited, _spots()(edited), strict=True)]
 
 
+def _ranges(docs: DataFrame, key: str, number: int):
+    """A column that numbers about ``number`` ranges of the ids in order, null ids in the first; the same for equal ids at any time."""
+    shares = [k / number for k in range(1, number)] or [0.5]
+    row = docs.agg(F.percentile_approx(key, shares, 100 * number)).first()
+    bounds = np.unique(np.array(row[0] or [], np.int64))
+
+    @F.pandas_udf("int")
+    def place(ids: pd.Series) -> pd.Series:
+        return pd.Series(np.searchsorted(bounds, ids.to_numpy(), side="left").astype(np.int32))
+
+    return place(F.coalesce(F.col(key), F.lit(-(1 << 63))))
+
+
 def against_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
     """Per document: ``id`` and RESULT, each fingerprint compared with that of the edited text and of the next document.
 
     The edited text has its last floor(n / 4) characters replaced by the first as many, or all, of the next document, by ascending id
     (nulls first, equal ids by text); the last document's next is the first. Null texts are empty; a single document is its own next.
+    Ids are whole numbers.
 
-    Documents are dealt by ranges of ids and read in order; only the first and last document of each range are set aside, and
-    matched with their neighbours over the ranges.
+    Documents are dealt by ranges of ids and read in order, each meeting the next one of its range. The last document of each range
+    meets the first of the range after it in a second, small step, for which only those are read.
     """
     kind = dict(docs.dtypes)[id]
-    dealt = docs.select(docs[id].alias("key"), F.coalesce(docs[text], F.lit("")).alias("value"))
-    dealt = dealt.repartitionByRange(2 * partitions(docs.sparkSession), F.col("key").asc_nulls_first())
-    dealt = dealt.sortWithinPartitions(F.col("key").asc_nulls_first(), "value")
-    empty = (0, "", b"", b"", 0.0, 0.0)
-
-    def rows(keys, results, place=None, texts=None) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
-        names = [f.split()[0] for f in RESULT.split(", ")]
-        columns = [keys, *(pa.array([r[i] for r in results], k) for i, k in enumerate(kinds))]
-        if place is not None:
-            columns += [pa.array(place, pa.int64()), pa.array(texts, pa.string())]
-            names = [*names, "place", "body"]
-        return pa.RecordBatch.from_arrays(columns, names=["key", *names])
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # place: null for a result, 2p for the first document of range p (only its text), 2p + 1 for its last
-        number, kept = TaskContext.get().partitionId(), None
+    number = 2 * partitions(docs.sparkSession)
+    rows = docs.select(docs[id].cast("long").alias("key"), F.coalesce(docs[text], F.lit("")).alias("value"))
+    ranged = rows.withColumn("range", _ranges(rows.select("key"), "key", number))
+    order = [F.col("range"), F.col("key").asc_nulls_first(), F.col("value")]
+    dealt = ranged.repartition(number, "range").sortWithinPartitions(*order)
+    names = [f.split()[0] for f in RESULT.split(", ")]
+    kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
+
+    def results(keys: pa.Array, found: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([keys, *(pa.array([r[i] for r in found], k) for i, k in enumerate(kinds))], names=["key", *names])
+
+    def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = None
         for part in slices(batches, "value", 2 << 20):
-            texts = part["value"].to_pylist()
-            if kept is None:
-                yield rows(part["key"].slice(0, 1), [empty], [2 * number], texts[:1])
-                keys = part["key"]
-            else:
-                texts = [kept[1], *texts]
-                keys = pa.concat_arrays([kept[0], part["key"]])
-            kept = (keys.slice(len(texts) - 1), texts[-1])
-            if len(texts) > 1:
-                found = _compared(texts[:-1], texts[1:])
-                yield rows(keys.slice(0, len(found)), found, [None] * len(found), [None] * len(found))
-        if kept is not None:
-            yield rows(kept[0], [empty], [2 * number + 1], [kept[1]])
-
-    def finish(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "body"):
-            yield rows(part["key"], _compared(part["body"].to_pylist(), part["after"].to_pylist()))
-
-    found = written(dealt.mapInArrow(run, f"key {kind}, {RESULT}, place long, body string"), "edits")
-    ends = found.where("place is not null")
-    places = sorted(r["place"] for r in ends.select("place").collect())  # two numbers per range
-    lasts, firsts = [p for p in places if p % 2], [p for p in places if not p % 2]
-    pairs = list(zip(lasts, [*firsts[1:], *firsts[:1]], strict=True))
-    follows = docs.sparkSession.createDataFrame(pairs, "place long, then long")
-    after = ends.select(F.col("place").alias("then"), F.col("body").alias("after"))
-    rest = ends.join(follows, "place").join(after, "then").select("key", "body", "after").mapInArrow(finish, f"key {kind}, {RESULT}")
-    return found.where("place is null").drop("place", "body").unionByName(rest).withColumnRenamed("key", id)
+            both = part if held is None else pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
+            texts, ranges = both["value"].to_pylist(), both["range"].to_numpy()
+            pairs = np.flatnonzero(ranges[1:] == ranges[:-1]).tolist()
+            if pairs:
+                yield results(both["key"].take(pa.array(pairs)), _compared([texts[k] for k in pairs], [texts[k + 1] for k in pairs]))
+            held = both.slice(both.num_rows - 1)
+
+    def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part in slices(batches, "value"):
+            yield results(part["key"], _compared(part["value"].to_pylist(), part["after"].to_pylist()))
+
+    # first and last of each range: by id alone, then by text among equal ids
+    ids = ranged.select("range", "key").groupBy("range").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("range").collect()
+    wanted = sorted({k for r in ids for k in (r["lo"], r["hi"]) if k is not None})
+    spark = docs.sparkSession
+    outer = spark.createDataFrame([(k,) for k in wanted], "edge long")  # two ids a range
+    edge = ranged.join(F.broadcast(outer), F.col("key").eqNullSafe(F.col("edge")), "left").where("edge is not null or key is null")
+    pair = F.struct("key", "value")
+    ends = written(edge.groupBy("range").agg(F.min(pair).alias("first"), F.max(pair).alias("last")), "ends")
+    turn = [r["range"] for r in ids]
+    follows = spark.createDataFrame(list(zip(turn, [*turn[1:], *turn[:1]], strict=True)), "range int, then int")
+    after = ends.select(F.col("range").alias("then"), F.col("first.value").alias("after"))
+    lasts = (ends.join(F.broadcast(follows), "range").join(after, "then").select("last.*", "after")
+             .mapInArrow(between, f"key long, {RESULT}"))
+    found = dealt.mapInArrow(inside, f"key long, {RESULT}").unionByName(lasts)
+    return found.select(F.col("key").cast(kind).alias(id), *names)
