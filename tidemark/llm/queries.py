@@ -31,7 +31,24 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-@query("op1_ngram_join")
+NGRAM_SQL = """
+with recursive w as (
+  select doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') as w from documents),
+s as (select distinct doc_id, array_to_string(w[i:i + 2], ' ') as g
+  from (select doc_id, w, unnest(generate_series(1, greatest(len(w) - 2, 1))) as i from w where len(w) > 0)),
+n as (select doc_id, count(*) as n from s group by doc_id),
+p as (select a.doc_id as a, b.doc_id as b, count(*) as c from s a join s b on a.g = b.g and a.doc_id < b.doc_id group by 1, 2),
+l as (select a, b from p join n x on x.doc_id = a join n y on y.doc_id = b where 100 * c >= 90 * (x.n + y.n - c)),
+links as (select a, b from l union all select b, a from l),
+reach(a, b) as (select a, b from links union select r.a, k.b from reach r join links k on r.b = k.a),
+low as (select a, min(b) as b from reach group by a)
+select d.doc_id, coalesce(n.n, 0) as n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) as component_id
+from documents d left join n using (doc_id) left join low on low.a = d.doc_id
+"""
+
+
+@query("op1_ngram_join", NGRAM_SQL)
 def op1(spark, sf_dir):
     return ngram_join.join(table(spark, sf_dir, "documents"), words=3, percent=90)
 
