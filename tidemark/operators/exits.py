@@ -181,7 +181,9 @@ def check_day(positions: DataFrame, bars: DataFrame, run_date: Column, rules: Ru
     # make a bounded equi join with the bars
     days = held.select(
         "row_id", "symbol", "entry_price", "check_date",
-        F.explode(F.sequence("entry_date", F.date_sub("check_date", 1))).alias("date"),
+        F.explode(F.sequence("entry_date", F.when(
+            F.datediff("check_date", "entry_date") <= rules.stale_after_days, F.date_sub("check_date", 1),
+        ).otherwise(F.raise_error(F.lit("a position older than stale_after_days has to be closed before the daily check")).cast("date")))).alias("date"),
     )
     armed = (
         days.join(bars.select("symbol", "date", "high"), ["symbol", "date"])

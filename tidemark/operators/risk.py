@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ..functions import scalars as S
 from ..params import RULES, Rules
+from ..session import materialize
 from . import series
 
 
@@ -30,12 +31,11 @@ def latched_halt(equity: DataFrame, resets: DataFrame, rules: Rules = RULES) ->
     Several rows of ``resets`` for one date are one reset. Two running totals: the epoch counts resets, and a day is
     halted if any earlier or same day of its epoch tripped.
     """
-    marked = with_drawdown(equity, rules).join(
+    # each running total reads its input twice; daily rows are few, so every level is written once
+    marked = with_drawdown(materialize(equity), rules).join(
         resets.select("date").distinct().withColumn("_reset", F.lit(1)), "date", "left"
     ).withColumn("_year", F.year("date"))
-    epochs = series.running(
-        marked, [], ["date"], "_year", epoch=("sum", "_reset"),
-    )
+    epochs = materialize(series.running(materialize(marked), [], ["date"], "_year", epoch=("sum", "_reset")))
     # within an epoch a trip is any tripped day so far: the last tripped day must not precede the epoch start
     latest = series.running(
         epochs.withColumn("_trip_epoch", F.when(F.col("tripped"), F.col("epoch"))),
