@@ -20,7 +20,19 @@ def written(df: DataFrame, name: str) -> DataFrame:
     """
     path = scratch_path(df.sparkSession, name)
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    table = df.sparkSession.read.schema(df.schema).parquet(path)
+    table._written_to = path
+    return table
+
+
+def discard(*tables: DataFrame | None) -> None:
+    """Delete what ``written`` has written, once nothing that is still to be computed reads it."""
+    for table in tables:
+        path = getattr(table, "_written_to", None)
+        if path is not None:
+            context = table.sparkSession.sparkContext
+            place = context._jvm.org.apache.hadoop.fs.Path(path)
+            place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
 def partitions(spark: SparkSession) -> int:
@@ -60,7 +72,8 @@ def classes(edges: DataFrame, name: str = "classes", rounds: int = 60) -> DataFr
                  .select(F.explode(F.array(F.struct("u", F.col("m").alias("v")),
                                            F.struct(F.col("v").alias("u"), F.col("m").alias("v")))).alias("e"))
                  .select("e.*").where("u <> v").distinct())
-        current = written(small, name)
+        earlier, current = current, written(small, name)
+        discard(earlier)
         state = current.agg(F.count("*"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)"))).first()
         if state == before:
             break

@@ -10,7 +10,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import slices, written
+from .common import discard, slices, written
 from .linking import linked_classes, members_of
 from .windows import Hashes, mixed
 
@@ -227,6 +227,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     members = members_of(postings, "members")
     whole = docs.select(docs[id].alias("node"), docs[text].alias("body"))
     segments: list[DataFrame] = []
+    spare = [sets, nodes, members]
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = nodes.select("node", "n", "rare")
@@ -236,6 +237,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
         for earlier in segments:
             asked = asked.join(earlier.select("node"), "node", "left_anti")
         asked = written(asked, "asked")
+        spare.extend((near, asked))
         if not asked.isEmpty():
             texts = whole.join(asked.hint("shuffle_hash"), "node", "left_semi")
             segments.append(written(_segments(texts, order, "node", "body", words), "segments"))
@@ -254,9 +256,12 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
 
     roots = linked_classes(members, percent, verify, "ngram")
     per_set = nodes.select("k1", "k2", "node").join(roots, "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("root"))
-    return (sets.select("id", "k1", "k2", "n").join(per_set, ["k1", "k2"], "left")
-            .select(F.col("id").alias(id), F.col("n").alias("n_shingles"),
-                    F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).cast(kind).alias("component_id")))
+    result = written(
+        sets.select("id", "k1", "k2", "n").join(per_set, ["k1", "k2"], "left")
+        .select(F.col("id").alias(id), F.col("n").alias("n_shingles"),
+                F.when(F.col("id").isNotNull(), F.coalesce("root", "id")).cast(kind).alias("component_id")), "ngram-join")
+    discard(*spare, *segments, roots)
+    return result
 
 
 def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
