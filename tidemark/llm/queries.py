@@ -91,17 +91,18 @@ def op6(spark, sf_dir):
                         F.array_join(spans, ",").alias("spans"))
 
 
-SECRETS_SQL = """
-with t as (select doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) as s from documents),
-rules(k, kind, pattern, least) as (values
-  (0, 'assign', '((?:[pP][aA][sS][sS][wW][oO][rR][dD]|[pP][aA][sS][sS][wW][dD]|[sS][eE][cC][rR][eE][tT]|[tT][oO][kK][eE][nN]|[aA][pP][iI]_?[kK][eE][yY])["'']?\x20*[:=]\x20*["'']?)([A-Za-z0-9+/_.=-]+)', 8),
-  (1, 'access', '()(AKIA[A-Z0-9]+)', 16),
-  (2, 'hex', '()([0-9a-f]{32,})', 32)),
-m as (select doc_id, k, kind, least, string_split(case k
-  when 0 then regexp_replace(s, (select pattern from rules where k = 0), chr(1) || '\1' || chr(4) || '\2' || chr(2), 'g')
-  when 1 then regexp_replace(s, (select pattern from rules where k = 1), chr(1) || '\1' || chr(4) || '\2' || chr(2), 'g')
-  else regexp_replace(s, (select pattern from rules where k = 2), chr(1) || '\1' || chr(4) || '\2' || chr(2), 'g') end, chr(1)) as p
-  from (select doc_id, translate(s, chr(4), chr(3)) as s from t), rules),
+def _marked(k: int, kind: str, pattern: str, least: int) -> str:
+    """Parts of each text: what stands before the first match, then each match (before and after chr(4)), chr(2) and what follows it."""
+    return (f"select doc_id, {k} as k, '{kind}' as kind, {least} as least, string_split(regexp_replace(s, '{pattern}', "
+            "chr(1) || '\\1' || chr(4) || '\\2' || chr(2), 'g'), chr(1)) as p from t")
+
+
+_KEYS = "|".join("".join(f"[{c}{c.upper()}]" if c.isalpha() else c for c in name) for name in ("password", "passwd", "secret", "token", "api_?key"))
+SECRETS_SQL = f"""
+with t as (select doc_id, translate(coalesce(text, ''), chr(1) || chr(2) || chr(4), chr(3) || chr(3) || chr(3)) as s from documents),
+m as ({_marked(0, 'assign', f"""((?:{_KEYS})["'']?[ ]*[:=][ ]*["'']?)([A-Za-z0-9+/_.=-]+)""", 8)}
+  union all {_marked(1, 'access', '()(AKIA[A-Z0-9]+)', 16)}
+  union all {_marked(2, 'hex', '()([0-9a-f]{32,})', 32)}),
 e as (select doc_id, k, kind, least, unnest(p) as piece, generate_subscripts(p, 1) as i from m where len(p) > 1),
 f as (select *, sum(length(piece) - case when i > 1 then 2 else 0 end) over (
   partition by doc_id, k order by i rows between unbounded preceding and 1 preceding) as start from e),
