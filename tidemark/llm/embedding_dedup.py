@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import classes, written
+from .common import classes, discard, written
 
 TILE = 2048  # vectors in a block; a task multiplies two blocks
 EXACT_ROWS = 65_536  # pairs recomputed at once
@@ -146,7 +146,10 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     per_node = (distinct.select("k1", "k2", "node", "w").join(numbers, "node", "left").join(roots, "node", "left")
                 .select("k1", "k2", (F.coalesce("n", F.lit(0)) + F.col("w") - 1).alias("n_links"),
                         F.coalesce("root", "node").alias("root")))
-    return (rows.select("id", "k1", "k2").join(per_node, ["k1", "k2"], "left")
-            .select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).alias("n_links"),
-                    F.coalesce("root", "id").alias("component_id"))
-            .withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True))))
+    result = written(
+        rows.select("id", "k1", "k2").join(per_node, ["k1", "k2"], "left")
+        .select(F.col("id").alias(id), F.coalesce("n_links", F.lit(0)).alias("n_links"),
+                F.coalesce("root", "id").alias("component_id"))
+        .withColumn("kept", F.coalesce(F.col(id) == F.col("component_id"), F.lit(True))), "near-vectors")
+    discard(rows, distinct, blocks, found)
+    return result
