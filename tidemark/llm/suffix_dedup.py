@@ -10,12 +10,12 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, slices, written
+from .common import discard, partitions, slices, written
 from .suffix_array import repeated
 from .windows import Hashes, runs
 
 LENGTH = 400
-SHARD_BYTES = 1 << 20  # contents sorted together; keys are added until it is reached
+SHARD_BYTES = 1 << 19  # contents sorted together; keys are added until it is reached
 GROUP_BYTES = 8 << 20  # a key's contents beyond it are compared by window hashes, dealt over many tasks
 SPANS = "array<struct<start:long,end:long>>"
 KEY = ("__k1", "__k2")
@@ -29,13 +29,13 @@ def _keyed(docs: DataFrame, id: str, text: str) -> DataFrame:
 
 
 def _gram(length: int) -> int:
-    return max(1, min(64, length // 4))
+    return max(1, min(64, length // 6))
 
 
 def _runs(bodies: DataFrame, length: int) -> DataFrame:
     """(k1, k2, key, content, start, n, again): runs of windows of each text, by the hash of their least gram."""
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for part in slices(batches, "__body", 2 << 20):
+        for part in slices(batches, "__body", 1 << 20):
             texts = part["__body"].to_pylist()
             bounds = np.concatenate([[0], np.cumsum([len(t) for t in texts], dtype=np.int64)])
             key, text, start, end, content, again = runs(np.frombuffer(b"".join(texts), np.uint8), bounds, length, _gram(length))
@@ -130,8 +130,9 @@ def _by_hashes(contents: DataFrame, length: int) -> DataFrame:
     return counted.groupBy("key", "content").agg(spans.alias("spans"))
 
 
-def spans(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, group_bytes: int = GROUP_BYTES) -> DataFrame:
-    """``docs`` with ``__body`` (the text's bytes) and ``spans``, the stretches to remove, which may overlap; null for none.
+def spans(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH, group_bytes: int = GROUP_BYTES,
+          column: str = "spans") -> DataFrame:
+    """``docs`` with ``__body`` (the text's bytes) and ``column``, the stretches to remove, which may overlap; null for none.
 
     A byte is to be removed when a ``length``-byte string that covers it starts in at least two places of all texts. Null texts are
     empty, texts shorter than ``length`` have nothing to remove, repeated rows are repeated texts, other columns are passed on.
@@ -160,9 +161,10 @@ def spans(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int =
             _by_hashes(contents.join(large, "key", "left_semi"), length))
     part = (mixed.join(solved, ["key", "content"]).select(*KEY, F.col("start").alias("base"), F.explode("spans").alias("s"))
             .select(*KEY, (F.col("base") + F.col("s.start")).alias("start"), (F.col("base") + F.col("s.end")).alias("end")))
-    per_text = whole.unionByName(part).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias("spans"))
-    plain = bodies.drop("spans") if "spans" in docs.columns else bodies
-    return plain.join(written(per_text, "spans").hint("shuffle_hash"), list(KEY), "left").drop(*KEY)
+    per_text = whole.unionByName(part).groupBy(*KEY).agg(F.collect_set(F.struct("start", "end")).alias(column))
+    per_text = written(per_text, "spans")
+    discard(found, common, contents, large)
+    return bodies.join(per_text.hint("shuffle_hash"), list(KEY), "left").drop(*KEY)
 
 
 def kept(body: bytes, cuts: list[dict] | None) -> tuple[bytes, int, int]:
@@ -199,14 +201,14 @@ def digests(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int
 def without_repeats(docs: DataFrame, id: str = "doc_id", text: str = "text", length: int = LENGTH) -> DataFrame:
     """``docs`` with the repeated bytes cut out of the text; a character cut in two goes whole. Null texts stay null."""
     columns = docs.columns
-    found = spans(docs, id, text, length)
+    found = spans(docs, id, text, length, column="__spans")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "__body"):
             new = [kept(body, s)[0].decode("utf-8", "ignore")
-                   for body, s in zip(part["__body"].to_pylist(), part["spans"].to_pylist(), strict=True)]
+                   for body, s in zip(part["__body"].to_pylist(), part["__spans"].to_pylist(), strict=True)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(new, pa.string()) if c == text else part[c] for c in columns], names=columns)
 
-    touched = found.where("spans is not null").select(*columns, "__body", "spans").mapInArrow(run, docs.schema)
-    return found.where("spans is null").select(*columns).unionByName(touched)
+    touched = found.where("__spans is not null").select(*columns, "__body", "__spans").mapInArrow(run, docs.schema)
+    return found.where("__spans is null").select(*columns).unionByName(touched)
