@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from ..session import scratch_path
-from .common import written
+from .common import discard, written
 
 # kind, pattern, group whose length counts, least length; in the order in which equal starts are listed
 RULES = (
@@ -89,6 +89,7 @@ def scan_new(found: DataFrame, ledger: str, rules=RULES, version: str = VERSION)
     rows = fresh.select("sha").join(detect(fresh, rules), "sha", "left").select(
         "sha", F.lit(version).alias("version"), F.coalesce("spans", none).alias("spans"))
     rows.write.mode("append").parquet(ledger)
+    discard(fresh)
     return read_ledger(spark, ledger).where(F.col("version") == version)
 
 
