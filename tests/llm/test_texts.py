@@ -234,6 +234,39 @@ def test_license_spans_count_characters(spark):
     assert [(text[m.start:m.end], m.license) for m in row.matches] == [("Released under the MIT License", "MIT")]
 
 
+GPL = ("This {} is free software; you can redistribute it and/or modify it under the terms of the GNU {} as published by the Free Software "
+       "Foundation; either version {} of the License, or (at your option) any later version.")
+CC = "This work is licensed under a Creative Commons {} International License."
+BSD = [re.sub(r"^", f"{k}. " if k else "", t) for k, t in enumerate((
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met:",
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission."))]
+
+
+@pytest.mark.parametrize(("notice", "names"), [
+    *((notice, [name]) for name, notice in license_scan.TEMPLATES),
+    (GPL.format("program", "General Public License", "2"), ["GPL-2.0"]), (GPL.format("file", "General Public License", "3"), ["GPL-3.0"]),
+    (GPL.format("program", "General Public License", "2").replace("2 of the License", "2"), ["GPL-2.0"]),
+    (GPL.format("library", "Lesser General Public License", "2.1"), ["LGPL-2.1"]), (GPL.format("library", "Lesser General Public License", "3"), ["LGPL-3.0"]),
+    (GPL.format("program", "Affero General Public License", "3"), ["AGPL-3.0"]), (GPL.format("program", "General Public License", "1"), []),
+    ("This work is licensed under the GNU General Public License, version 2.", ["GPL-2.0"]),
+    ("This work is licensed under the GNU General Public License (GPL), version 3.", ["GPL-3.0"]),
+    ("This work is licensed under the GNU General Public License.", []),
+    *((CC.format(f"Attribution{more} 4.0"), [f"CC-BY{short}-4.0"]) for more, short in (
+        ("", ""), ("-ShareAlike", "-SA"), ("-NonCommercial", "-NC"), ("-NoDerivatives", "-ND"), ("-Non-Commercial-ShareAlike", "-NC-SA"),
+        ("-NonCommercial-NoDerivatives", "-NC-ND"))),
+    (CC.format("Attribution 3.0"), []), ("Licensed under CC BY-NC 3.0.", []),
+    (" ".join(BSD[:2]), ["BSD-1-Clause"]), (" ".join(BSD[:3]), ["BSD-2-Clause"]), (" ".join(BSD), ["BSD-3-Clause"])])
+def test_confusable_licenses_are_told_apart(notice, names):
+    index = license_scan.Index()
+    body = f"before it {notice} and after".encode()
+    assert [m[2] for m in license_scan.found_in([body], index)[0]] == names
+    assert [m[2] for m in license_scan.found_in([body], index, retrieve=False)[0]] == names
+
+
 def test_spot_signatures_by_definition():
     spots = spot_signatures.Spots(frozenset(("the", "of")))
     one = spots(["the old house of the green river bank"])[0]

@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import product
 
 import numpy as np
 import pyarrow as pa
@@ -11,6 +12,22 @@ from pyspark.sql import DataFrame
 from .common import slices
 from .windows import Hashes, mixed
 
+_BSD = (
+    "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met: "
+    "Redistributions of source code must retain the above copyright notice, this list of conditions and the following disclaimer.",
+    "Redistributions in binary form must reproduce the above copyright notice, this list of conditions and the following disclaimer in the "
+    "documentation and/or other materials provided with the distribution.",
+    "Neither the name of the copyright holder nor the names of its contributors may be used to endorse or promote products derived from this software "
+    "without specific prior written permission.",
+)
+_ADVERTISING = ("All advertising materials mentioning features or use of this software must display the following acknowledgement: This product includes "
+                "software developed by the organization.")
+_CONDITIONS = {"SA": ("ShareAlike", "Share-Alike"), "NC": ("NonCommercial", "Non-Commercial"), "ND": ("NoDerivatives", "No-Derivatives")}
+# the names of each CC license as they are written
+_CC = {f"CC-{short}-4.0": [f"CC {short} 4.0", *("-".join(("Attribution", *way)) + " 4.0" for way in product(*(_CONDITIONS[c] for c in short.split("-")[1:])))]
+       for short in ("BY", "BY-SA", "BY-NC", "BY-ND", "BY-NC-SA", "BY-NC-ND")}
+
+
 # fixed values: notices as their licenses word them
 TEMPLATES = (
     ("MIT", "Released under the MIT License."),
@@ -25,28 +42,51 @@ TEMPLATES = (
                    "You may obtain a copy of the License at http://www.apache.org/licenses/LICENSE-2.0 Unless required by applicable law or agreed "
                    "to in writing, software distributed under the License is distributed on an \"AS IS\" BASIS, WITHOUT WARRANTIES OR CONDITIONS "
                    "OF ANY KIND, either express or implied."),
-    ("GPL-3.0", "This work is licensed under the GNU General Public License, version 3."),
-    ("GPL-3.0", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-                "published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("GPL-2.0", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as "
-                "published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
-    ("LGPL-3.0", "This library is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License "
-                 "as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
-    ("BSD-3-Clause", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following "
-                     "conditions are met: Redistributions of source code must retain the above copyright notice, this list of conditions and the "
-                     "following disclaimer."),
+    *((name, f"This work is licensed under the GNU {kind}General Public License, version {version}.") for name, kind, version in (
+        ("GPL-3.0", "", "3"), ("GPL-2.0", "", "2"), ("LGPL-3.0", "Lesser ", "3"), ("LGPL-2.1", "Lesser ", "2.1"), ("LGPL-2.0", "Library ", "2"),
+        ("AGPL-3.0", "Affero ", "3"))),
+    *((name, f"This {work} is free software{mark} you can redistribute it and/or modify it under the terms of the GNU {kind}General Public License as "
+             f"published by the Free Software Foundation{mark.replace(':', ',')} either version {version} of the License, or (at your option) any later "
+             "version.") for name, work, mark, kind, version in (
+        ("GPL-3.0", "program", ":", "", "3"), ("GPL-2.0", "program", ";", "", "2"), ("LGPL-3.0", "library", ":", "Lesser ", "3"),
+        ("LGPL-2.1", "library", ";", "Lesser ", "2.1"), ("LGPL-2.0", "library", ";", "Library ", "2"), ("AGPL-3.0", "program", ":", "Affero ", "3"))),
+    ("BSD-1-Clause", _BSD[0]),
+    ("BSD-2-Clause", f"{_BSD[0]} {_BSD[1]}"),
+    ("BSD-3-Clause", f"{_BSD[0]} {_BSD[1]} {_BSD[2]}"),
+    ("BSD-4-Clause", f"{_BSD[0]} {_BSD[1]} {_ADVERTISING} {_BSD[2]}"),
     ("ISC", "Permission to use, copy, modify, and/or distribute this software for any purpose with or without fee is hereby granted, provided that "
             "the above copyright notice and this permission notice appear in all copies."),
     ("MPL-2.0", "This Source Code Form is subject to the terms of the Mozilla Public License, v. 2.0. If a copy of the MPL was not distributed with "
                 "this file, You can obtain one at https://mozilla.org/MPL/2.0/."),
-    ("CC-BY-NC-4.0", "Licensed under CC BY-NC 4.0."),
-    ("CC-BY-4.0", "Licensed under CC BY 4.0."),
-    ("CC-BY-4.0", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
-    ("CC-BY-SA-4.0", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    *((name, f"Licensed under {written[0]}.") for name, written in _CC.items()),
+    *((name, f"This work is licensed under a Creative Commons {long} International License.") for name, written in _CC.items() for long in written[1:]),
     ("Unlicense", "This is free and unencumbered software released into the public domain."),
 )
+
+
+def _version(number: str) -> tuple[str, ...]:
+    return tuple(f"{word}{number}" for word in ("version ", "v", "v ", "license "))
+
+
+# what a stretch must say besides, by license: one phrase of each group, as its words are read
+NEEDS = {
+    "Apache-2.0": (("apache license",), _version("2")),
+    "GPL-3.0": (("gnu general public",), _version("3")),
+    "GPL-2.0": (("gnu general public",), _version("2")),
+    "LGPL-3.0": (("gnu lesser general",), _version("3")),
+    "LGPL-2.1": (("gnu lesser general",), _version("2 1")),
+    "LGPL-2.0": (("gnu library general", "gnu lesser general"), _version("2")),
+    "AGPL-3.0": (("gnu affero general",), _version("3")),
+    "BSD-2-Clause": (("redistributions in binary form",),),
+    "BSD-3-Clause": (("endorse or promote",),),
+    "BSD-4-Clause": (("endorse or promote",), ("advertising materials",)),
+    "ISC": (("permission notice appear in all",),),
+    "MPL-2.0": (("mozilla public license",), ("2 0",)),
+    **{name: (tuple(written),) for name, written in _CC.items()},
+}
 WORDS = 3  # words of a shingle: the shortest notices have five
 CONTAINED = 0.8
+BEYOND = 3  # words after the last shingle that may still name the version
 WINDOWS = (8, 16, 32, 64, 128)  # words; a window moves on by a quarter
 BANDS, ROWS = 40, 1
 # A piece of more than 3/8 and at most 3/4 of a window's words lies whole in some window and shares at least a quarter of their joint shingles
@@ -61,8 +101,8 @@ def collision(similarity: float, bands: int = BANDS, rows: int = ROWS) -> float:
     return 1 - (1 - similarity**rows) ** bands
 
 
-def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """(shingle hash at each word, start and end of each word, first word of each text and the end) of the joined texts.
+def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """(shingle hash at each word, hash, start and end of each word, first word of each text and the end) of the joined texts.
 
     Words are runs of letters, digits and bytes above 127, A-Z lower-cased; shingles that leave a text have hash 0.
     """
@@ -80,7 +120,7 @@ def words_of(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np
     total = mixed(total)
     for k in range(1, WORDS):
         total[(first[1:] - k)[first[1:] - k >= first[:-1]]] = 0
-    return total, start, end, first
+    return total, word, start, end, first
 
 
 def minhash(grams: np.ndarray) -> list[int]:
@@ -90,15 +130,16 @@ def minhash(grams: np.ndarray) -> list[int]:
 
 
 class Index:
-    """Bands of the templates' pieces by window size, and every template's shingles."""
+    """Bands of the templates' pieces by window size, every template's shingles, and the phrases its license needs."""
 
     def __init__(self, templates=TEMPLATES):
         self.templates = templates
+        self.needs = {name: [[words_of([phrase.encode()])[1] for phrase in group] for group in groups] for name, groups in NEEDS.items()}
         self.sets: list[np.ndarray] = []
         self.bands: dict[tuple[int, int, int], set[int]] = {}
         self.sizes: list[int] = []
         for number, (_, text) in enumerate(templates):
-            grams, start, _, _ = words_of([text.encode()])
+            grams, _, start, _, _ = words_of([text.encode()])
             size = len(start)
             if size < WORDS:
                 raise ValueError(f"a template needs {WORDS} words: {text}")
@@ -135,25 +176,47 @@ class Index:
                         found |= self.bands.get((window, band, value), set())
         return found
 
-    def verified(self, grams: np.ndarray, number: int) -> list[tuple[int, int]]:
-        """(first word, end) of stretches that hold ``CONTAINED`` of the template's shingles. Hits further apart than half of the template, or
+    def holds(self, grams: np.ndarray, words: np.ndarray, number: int, part: np.ndarray) -> bool:
+        """Whether the shingles at the places ``part`` are ``CONTAINED`` of the template's, and the stretch says what its license needs."""
+        if not len(part) or len(np.unique(grams[part])) < CONTAINED * len(self.sets[number]) - 1e-9:
+            return False
+        near = words[part[0]:part[-1] + WORDS + BEYOND]
+        return all(any(_says(near, phrase) for phrase in group) for group in self.needs.get(self.templates[number][0], ()))
+
+    def verified(self, grams: np.ndarray, words: np.ndarray, number: int) -> list[np.ndarray]:
+        """Places of the template's shingles in each stretch that ``holds``. Hits further apart than half of the template, or
         ten words, are different stretches."""
         own = self.sets[number]
         at = np.minimum(np.searchsorted(own, grams), len(own) - 1)
         hits = np.flatnonzero(own[at] == grams)
-        out = []
-        for part in np.split(hits, np.flatnonzero(np.diff(hits) > max(10, self.sizes[number] // 2)) + 1):
-            if len(part) and len(np.unique(grams[part])) >= CONTAINED * len(own) - 1e-9:
-                out.append((int(part[0]), int(part[-1]) + WORDS))
+        parts = np.split(hits, np.flatnonzero(np.diff(hits) > max(10, self.sizes[number] // 2)) + 1)
+        return [part for part in parts if self.holds(grams, words, number, part)]
+
+    def matches(self, grams: np.ndarray, words: np.ndarray, numbers) -> list[tuple[int, int, int]]:
+        """(first word, end, template). Where stretches of several templates use the same shingles of the text, the one that explains the most
+        comes first; another stays only if the places left to it hold its template as well."""
+        found = [(number, part) for number in sorted(numbers) for part in self.verified(grams, words, number)]
+        found.sort(key=lambda f: (-len(np.unique(grams[f[1]])), len(self.sets[f[0]]), f[0], f[1][0]))
+        free, out = np.ones(len(grams), bool), []
+        for number, part in found:
+            part = part[free[part]]
+            if self.holds(grams, words, number, part):
+                free[part] = False
+                out.append((int(part[0]), int(part[-1]) + WORDS, number))
         return out
 
 
+def _says(words: np.ndarray, phrase: np.ndarray) -> bool:
+    n = len(words) - len(phrase) + 1
+    return n > 0 and bool(np.all([words[k:k + n] == p for k, p in enumerate(phrase)], axis=0).any())
+
+
 def found_in(texts: list[bytes], index: Index, retrieve: bool = True) -> list[list[tuple[int, int, str]]]:
-    """Per text the matches (start, end, license) in characters, sorted; equal spans of one license are listed once.
+    """Per text the matches (start, end, license) in characters, sorted; of templates that say the same, the best.
 
     ``retrieve`` False compares every template with every text, which tests use.
     """
-    grams, start, end, first = words_of(texts)
+    grams, words, start, end, first = words_of(texts)
     out: list[list[tuple[int, int, str]]] = [[] for _ in texts]
     hits = index.known(grams)
     owner = np.searchsorted(first, hits, side="right") - 1
@@ -163,10 +226,9 @@ def found_in(texts: list[bytes], index: Index, retrieve: bool = True) -> list[li
         own = grams[a:b]
         numbers = index.retrieved(own, hits[owner == t] - a) if retrieve else range(len(index.sets))
         spans = set()
-        for number in numbers:
-            for x, y in index.verified(own, number):
-                i, j = int(start[a + x] - bounds[t]), int(end[a + y - 1] - bounds[t])
-                spans.add((len(texts[t][:i].decode("utf-8", "replace")), len(texts[t][:j].decode("utf-8", "replace")), index.templates[number][0]))
+        for x, y, number in index.matches(own, words[a:b], numbers):
+            i, j = int(start[a + x] - bounds[t]), int(end[a + y - 1] - bounds[t])
+            spans.add((len(texts[t][:i].decode("utf-8", "replace")), len(texts[t][:j].decode("utf-8", "replace")), index.templates[number][0]))
         out[t] = sorted(spans)
     return out
 
