@@ -267,6 +267,34 @@ def test_confusable_licenses_are_told_apart(notice, names):
     assert [m[2] for m in license_scan.found_in([body], index, retrieve=False)[0]] == names
 
 
+@pytest.mark.parametrize("between", ["", "for one more part", "1. some/part (c) 2019 by its many many authors:"])
+def test_adjacent_notices_are_counted_apart(between):
+    index = license_scan.Index()
+    for name, notice in license_scan.TEMPLATES:
+        text = " ".join([f"{between} {notice}"] * 5)
+        found = license_scan.found_in([text.encode()], index)[0]
+        assert [m[2] for m in found] == [name] * 5
+        assert all(text[a:b] == notice[:b - a] and len(notice) - (b - a) < 10 for a, b, _ in found)
+    mixed = license_scan.TEMPLATES * 2
+    found = license_scan.found_in([" ".join(f"{between} {notice}" for _, notice in mixed).encode()], index)[0]
+    assert [m[2] for m in found] == [name for name, _ in mixed]
+
+
+def test_long_lists_of_notices_and_changed_notices():
+    index = license_scan.Index()
+    text = " ".join(f"part{k}: Released under the MIT License." for k in range(800))
+    assert [text[a:b] for a, b, _ in license_scan.found_in([text.encode()], index)[0]] == ["Released under the MIT License"] * 800
+    name, notice = next(t for t in license_scan.TEMPLATES if t[0] == "MPL-2.0")
+    words = notice.split()
+    foreign = " ".join([*words[:25], "this source code form", *words[25:]])  # the first shingles once more inside of one copy
+    text = f"{foreign} {notice} {foreign}"
+    found = license_scan.found_in([text.encode()], index)[0]
+    assert [(m[0], m[2]) for m in found] == [(0, name), (len(foreign) + 1, name), (len(foreign) + len(notice) + 2, name)]
+    old = GPL.format("program", "General Public License", "1")
+    text = f"{old} {old} {GPL.format('program', 'General Public License', '2')} {old}"
+    assert [m[2] for m in license_scan.found_in([text.encode()], index)[0]] == ["GPL-2.0"]
+
+
 def test_spot_signatures_by_definition():
     spots = spot_signatures.Spots(frozenset(("the", "of")))
     one = spots(["the old house of the green river bank"])[0]

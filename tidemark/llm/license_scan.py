@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from itertools import product
 
@@ -138,6 +139,7 @@ class Index:
         self.sets: list[np.ndarray] = []
         self.bands: dict[tuple[int, int, int], set[int]] = {}
         self.sizes: list[int] = []
+        self.places: list[dict[int, list[int]]] = []
         for number, (_, text) in enumerate(templates):
             grams, _, start, _, _ = words_of([text.encode()])
             size = len(start)
@@ -146,6 +148,9 @@ class Index:
             grams = grams[:size - WORDS + 1]
             self.sets.append(np.unique(grams))
             self.sizes.append(size)
+            self.places.append({})
+            for at, gram in enumerate(grams.tolist()):
+                self.places[-1].setdefault(gram, []).append(at)
             longest = WINDOWS[-1] * 3 // 4
             for at in range(0, max(1, size - longest // 2), longest // 2):
                 piece = min(size - at, longest)
@@ -185,18 +190,77 @@ class Index:
 
     def verified(self, grams: np.ndarray, words: np.ndarray, number: int) -> list[np.ndarray]:
         """Places of the template's shingles in each stretch that ``holds``. Hits further apart than half of the template, or
-        ten words, are different stretches."""
+        ten words, are different stretches, and so are those before and after the template starts over."""
         own = self.sets[number]
         at = np.minimum(np.searchsorted(own, grams), len(own) - 1)
         hits = np.flatnonzero(own[at] == grams)
-        parts = np.split(hits, np.flatnonzero(np.diff(hits) > max(10, self.sizes[number] // 2)) + 1)
-        return [part for part in parts if self.holds(grams, words, number, part)]
+        out = []
+        for part in np.split(hits, np.flatnonzero(np.diff(hits) > max(10, self.sizes[number] // 2)) + 1):
+            if len(part):
+                out += self.copies(grams, words, number, part)
+        return out
+
+    def copies(self, grams: np.ndarray, words: np.ndarray, number: int, part: np.ndarray) -> list[np.ndarray]:
+        """The most copies of the template that follow each other in ``part``. It is cut where the place in the template falls back by as
+        much as it does between two copies that miss the most they may; pieces that hold too little alone, as a foreign shingle inside
+        a copy can cause, are put together again, and what is left of a copy goes to the one before it."""
+        places, longest = self.places[number], self.sizes[number] - WORDS + 1
+        least = max(1, longest - 1 - 2 * (longest - int(np.ceil(CONTAINED * len(self.sets[number]) - 1e-9))))
+        cuts, last, before, found = [], 0, 0, {}
+        for k, (at, gram) in enumerate(zip(part.tolist(), grams[part].tolist(), strict=True)):
+            place = min(places[gram], key=lambda p: abs(p - last - at + before)) if k else places[gram][0]
+            if last - place >= least:
+                cuts.append(k)
+            last, before = place, at
+            found[at] = place
+        enough = CONTAINED * len(self.sets[number]) - 1e-9
+        pieces = np.split(part, cuts)
+        out: list[np.ndarray] = []
+        held: Counter[int] = Counter()
+        first = end = 0
+
+        def copy_in(pieces: list[np.ndarray]) -> np.ndarray | None:
+            run = np.concatenate(pieces)
+            if len(np.unique(grams[run])) < enough:
+                return None
+            chain = _chain(run, np.array([found[at] for at in run.tolist()]))
+            if self.holds(grams, words, number, chain):
+                return chain
+            # parts of one copy in another order
+            return run if run[-1] - run[0] <= 1.5 * longest and self.holds(grams, words, number, run) else None
+
+        for k, piece in enumerate(pieces):
+            held.update(grams[piece].tolist())
+            if len(held) < enough:
+                continue
+            if copy_in(pieces[first:k + 1]) is not None:
+                start = k
+                while (copy := copy_in(pieces[start:k + 1])) is None:
+                    start -= 1
+                self._leave(grams, out, pieces[end:start])
+                out.append(copy)
+                first = end = k + 1
+                held.clear()
+            else:  # enough shingles of another license's notice: go on from the fewest pieces that have as many
+                while len(less := held - Counter(grams[pieces[first]].tolist())) >= enough:
+                    held, first = less, first + 1
+        self._leave(grams, out, pieces[end:])
+        return out
+
+    @staticmethod
+    def _leave(grams: np.ndarray, out: list[np.ndarray], pieces: list[np.ndarray]) -> None:
+        """Give the pieces after a copy to it as long as most of their shingles are none that it has."""
+        for piece in pieces:
+            if not out or np.isin(grams[piece], grams[out[-1]]).mean() > 0.5:
+                return
+            out[-1] = np.concatenate([out[-1], piece])
 
     def matches(self, grams: np.ndarray, words: np.ndarray, numbers) -> list[tuple[int, int, int]]:
         """(first word, end, template). Where stretches of several templates use the same shingles of the text, the one that explains the most
         comes first; another stays only if the places left to it hold its template as well."""
         found = [(number, part) for number in sorted(numbers) for part in self.verified(grams, words, number)]
-        found.sort(key=lambda f: (-len(np.unique(grams[f[1]])), len(self.sets[f[0]]), f[0], f[1][0]))
+        # a place inside that the template does not explain counts a tenth
+        found.sort(key=lambda f: (int(f[1][-1] - f[1][0]) - 11 * len(f[1]), len(self.sets[f[0]]), f[0], f[1][0]))
         free, out = np.ones(len(grams), bool), []
         for number, part in found:
             part = part[free[part]]
@@ -206,6 +270,25 @@ class Index:
         return out
 
 
+def _chain(at: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """The most of the places ``at`` whose places in the template rise, as close together as in the template where there is a choice. The next
+    place is sought among 1,024 shingles of the template."""
+    score, before = np.ones(len(at)), np.full(len(at), -1)
+    for k in range(1, len(at)):
+        low = max(0, k - 1024)
+        earlier = low + np.flatnonzero(place[low:k] < place[k])
+        if len(earlier):
+            off = np.abs((at[k] - at[earlier]) - (place[k] - place[earlier]))
+            value = score[earlier] - off / (1.0 + 2 * (at[-1] - at[0] + place.max())) / len(at)
+            best = int(value.argmax())
+            score[k], before[k] = 1 + value[best], earlier[best]
+    k, out = int(score.argmax()), []
+    while k >= 0:
+        out.append(k)
+        k = int(before[k])
+    return at[out[::-1]]
+
+
 def _says(words: np.ndarray, phrase: np.ndarray) -> bool:
     n = len(words) - len(phrase) + 1
     return n > 0 and bool(np.all([words[k:k + n] == p for k, p in enumerate(phrase)], axis=0).any())
