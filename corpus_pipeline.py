@@ -35,9 +35,9 @@ def known_language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 
 def distinct_texts(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Keeps one document, the one of the smallest id, of each group of near copies: five words, similarity 0.8."""
+    """Keeps one row, the one of the smallest id, of each group of near copies: five words, similarity 0.8."""
     prepare(spark)
-    return ngram_join.without_near_copies(docs, words=5, percent=80)
+    return ngram_join.one_per_class(docs, words=5, percent=80)
 
 
 def unrepeated_text(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

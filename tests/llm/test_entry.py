@@ -109,3 +109,20 @@ def test_stages_take_empty_tables_and_nulls(spark, sf_small):
                  docs.selectExpr("cast(null as long) doc_id", "text", "cast(null as string) lang", "source", "n_chars")):
         for _, stage in corpus_pipeline.STAGES:
             assert stage(spark, rows, sf_small).count() >= 0
+
+
+def test_pipeline_keeps_repeated_and_nameless_texts_once(spark, sf_small, tmp_path):
+    """Each document as two equal rows, some of them without an id: the same texts as from one row each."""
+    docs = spark.read.parquet(f"{sf_small}/documents.parquet").where("n_chars > 300").orderBy("doc_id").limit(40)
+    once = docs.selectExpr("if(doc_id % 3 = 0, null, doc_id) doc_id", "text", "lang", "source", "n_chars")
+    once.unionByName(once).write.parquet(str(tmp_path / "documents.parquet"))
+    once.write.parquet(str(tmp_path / "single" / "documents.parquet"))
+
+    def after_third(rows):
+        for _, stage in corpus_pipeline.STAGES[1:3]:
+            rows = stage(spark, rows, sf_small)
+        return sorted(r.text for r in rows.collect())
+
+    want = after_third(spark.read.parquet(str(tmp_path / "single" / "documents.parquet")))
+    got = after_third(spark.read.parquet(str(tmp_path / "documents.parquet")))
+    assert got == want and sum(map(len, got)) > 5000

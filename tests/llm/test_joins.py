@@ -86,6 +86,21 @@ def test_ngram_join_of_odd_rows(spark, empty):
     assert sorted((r.doc_id for r in left.collect()), key=str) == sorted([1, 1, None, 5, 6], key=str)
 
 
+def test_one_row_of_each_class_is_kept(spark):
+    long = " ".join(f"w{k}" for k in range(30))
+    other = " ".join(f"v{k}" for k in range(30))
+    rows = [(2, long, 1), (2, long, 0), (None, long, 0), (None, long, 0), (4, long + " x", 0), (5, None, 0), (6, "", 0), (None, other, 0), (None, other, 0),
+            (None, other + " x", 0), (7, "other words of an id", 0), (7, "quite different ones here", 0), (None, " ", 0), (1, other + " y", 0)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, turn long").repartition(3)
+    left = ngram_join.one_per_class(docs, 3, 90)
+    assert left.columns == docs.columns
+    assert sorted(map(tuple, left.collect()), key=str) == sorted([
+        (2, long, 0), (5, None, 0), (6, "", 0), (1, other + " y", 0), (7, "other words of an id", 0), (7, "quite different ones here", 0),
+        (None, " ", 0)], key=str)
+    nameless = ngram_join.one_per_class(docs.selectExpr("cast(null as long) doc_id", "text"), 3, 90)
+    assert len([r for r in nameless.collect() if (r.text or "").startswith(("w0", "v0"))]) == 2
+
+
 def test_spot_classes(table, texts, empty):
     prints = spot_signatures.fingerprints(table)
     sets = {r.doc_id: set(np.frombuffer(r.fingerprint, ">u4").tolist()) for r in prints.collect()}

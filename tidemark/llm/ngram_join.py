@@ -269,3 +269,23 @@ def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id:
     found = join(docs, words, percent, id, text)
     gone = found.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("__gone")).distinct()
     return docs.join(gone, docs[id] == F.col("__gone"), "left_anti")
+
+
+def one_per_class(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``docs`` with one row of each class of near copies, the one of the smallest id; rows without an id come last.
+
+    A row is known by a 64-bit hash of its id and text: rows that are equal in both are one, rows of one id with different texts are different
+    documents, and rows without an id are compared like others. Texts without words are in no class and stay.
+    """
+    rows = docs.withColumn("__row", F.xxhash64(docs[id], docs[text].cast("binary"), F.lit(3)))
+    again = written(rows.groupBy("__row").count().where("count > 1").select("__row"), "repeated-rows")
+    if not again.isEmpty():
+        repeated = rows.join(again, "__row", "left_semi")
+        one = repeated.groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*", "__row")
+        rows = rows.join(again, "__row", "left_anti").select(*docs.columns, "__row").unionByName(written(one, "one-of-each"))
+    found = join(rows, words, percent, "__row", text).where("n_shingles > 0")
+    ids = rows.select("__row", F.col(id).alias("id"))
+    found = written(found.join(ids, "__row").select("__row", "id", "component_id"), "classes-of-rows")
+    kept = found.groupBy("component_id").agg(F.min(F.struct(F.col("id").isNull().alias("none"), "id", "__row")).alias("kept")).select("kept.__row")
+    gone = written(found.join(kept, "__row", "left_anti").select(F.col("__row").alias("__gone")), "gone")
+    return rows.join(gone, F.col("__row") == F.col("__gone"), "left_anti").select(*docs.columns)
