@@ -76,6 +76,15 @@ def test_ngram_join_of_a_tight_and_a_loose_group(spark):
         assert got == plain_join(texts, 3, percent)
 
 
+@pytest.mark.parametrize("number", range(5))
+def test_tables_of_less_words_than_a_shingle(spark, number):
+    text = " ".join(["hello", "world", "good", "day"][:number])
+    docs = spark.createDataFrame([(1, text)], "doc_id long, text string")
+    assert len(ngram_join.shingles([text.encode()], 5)[0]) == (number > 0)
+    assert [tuple(r) for r in ngram_join.join(docs, 5, 80).collect()] == [(1, int(number > 0), 1)]
+    assert [r.text for r in ngram_join.one_per_class(docs, 5, 80).collect()] == [text]
+
+
 def test_ngram_join_of_odd_rows(spark, empty):
     assert ngram_join.join(empty).collect() == []
     long = " ".join(f"w{k}" for k in range(30))

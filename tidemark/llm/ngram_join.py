@@ -37,7 +37,7 @@ def shingles(texts: list[bytes], words: int) -> list[np.ndarray]:
     word = Hashes(data).of(start, end) if len(start) else np.zeros(0, np.uint64)
     first = np.searchsorted(start, bounds)
     total = np.zeros(len(word), np.uint64)
-    for k in range(words):
+    for k in range(min(words, len(word))):
         total[:len(word) - k] += word[k:] * _TURNS[k]
     total = mixed(total)
     out = []
