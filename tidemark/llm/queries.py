@@ -10,7 +10,8 @@ from pyspark.sql import functions as F
 
 from ..session import prepare
 from . import (
-    best_fit, byte_bpe, embedding_dedup, html_extract, language_id, license_scan, ngram_join, secrets, spot_signatures, suffix_dedup,
+    alignment, best_fit, byte_bpe, embedding_dedup, html_extract, language_id, license_scan, ngram_join, secrets, spot_signatures, suffix_dedup,
+    token_counts, whitening,
 )
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -161,3 +162,22 @@ def op9(spark, sf_dir):
 def op10(spark, sf_dir):
     return byte_bpe.digests(
         table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+
+
+@query("op11_token_counts")
+def op11(spark, sf_dir):
+    return token_counts.count(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query("op12_whitening")
+def op12(spark, sf_dir):
+    found = whitening.whiten(table(spark, sf_dir, "embeddings"))
+    # exact as a decimal too, where many rows make it larger than a long
+    return found.select("vec_id", "component", "n", F.col("deviation").try_cast("long").alias("deviation"), "whitened", "explained",
+                        "identity_error", F.col("deviation").alias("deviation_exact"))
+
+
+@query("op13_alignment")
+def op13(spark, sf_dir):
+    return alignment.compare(
+        table(spark, sf_dir, "documents"), public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("piece_bpe_32k.model"))
