@@ -28,7 +28,7 @@ def plain_counts(path, texts):
 
 @pytest.mark.parametrize("path", [BYTE, WORD, PIECE])
 def test_counts_are_those_of_the_library(spark, table, texts, path):
-    rows = token_counts.count(table, path, limit=100, piece_chars=40).orderBy("doc_id").collect()
+    rows = token_counts.count(table, path, limit=100).orderBy("doc_id").collect()
     plain = [t or "" for t in texts]
     assert [(r.doc_id, r.n_bytes, r.n_tokens, r.over_limit) for r in rows] == [
         (k, len(t.encode()), n, n > 100) for k, (t, n) in enumerate(zip(plain, plain_counts(path, plain), strict=True))]
@@ -37,14 +37,17 @@ def test_counts_are_those_of_the_library(spark, table, texts, path):
 @pytest.mark.parametrize("path", [BYTE, WORD, PIECE])
 @pytest.mark.parametrize("plain", [False, True])
 def test_splits_change_no_token(texts, path, plain):
-    words = tokenizing.Vocabulary(path, plain)
+    words, whole = tokenizing.Vocabulary(path, plain), tokenizing.Vocabulary(path, plain)
     every = [t or "" for t in texts] + ODD
-    assert words.step is not None
-    assert max(len(words.split(t, 25)) for t in every) > 20
-    for a, b in zip(words.ids(every, 25), words.ids(every, 1 << 40), strict=True):
-        assert a.tolist() == b.tolist()
+    assert words.step is not None and max(len(words.stretches(t)) for t in every) > 1000
+    whole.step, words.KEEP = None, 50  # what is remembered is dropped now and then
+    want = whole.ids(every)
+    for k in range(0, len(every), 7):
+        assert [x.tolist() for x in words.ids(every[k:k + 7])] == [x.tolist() for x in want[k:k + 7]]
+        assert words.counts(every[k:k + 7]).tolist() == [len(x) for x in want[k:k + 7]]
+    assert all(len(k) <= words.KEPT_CHARS for k in words.known_counts.keys() | words.known_ids.keys())
     if not plain:
-        assert words.counts(every, 25).tolist() == plain_counts(path, every)
+        assert [len(x) for x in want] == plain_counts(path, every)
 
 
 def test_unknown_kinds_get_whole_texts(tmp_path):
@@ -52,7 +55,7 @@ def test_unknown_kinds_get_whole_texts(tmp_path):
     library.add_tokens(["two words"])
     library.save(str(tmp_path / "own.json"))
     words = tokenizing.Vocabulary(str(tmp_path / "own.json"))
-    assert words.step is None and words.split("one two words three", 4) == ["one two words three"]
+    assert words.step is None and words.stretches("one two words three") == ["one two words three"]
 
 
 def test_counts_of_nulls_repeats_and_empty_tables(spark, empty):

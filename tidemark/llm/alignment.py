@@ -75,7 +75,8 @@ class Aligner:
         bounds = np.concatenate([[0], np.cumsum(n_a + n_b)]).tolist()
         shown = [b"".join(map(self.shown.__getitem__, order[x:y].tolist()))[:-1] for x, y in zip(bounds[:-1], bounds[1:], strict=True)]
 
-        ends = np.union1d(a_end, b_end)
+        ends = np.concatenate([a_end, b_end[~b_last]])
+        ends.sort(kind="stable")
         ia, ib = np.searchsorted(a_end, ends), np.searchsorted(b_end, ends)
         x, y = a[ia], b[ib]
         code = np.where(self.same[x] == y, x, self.n_a + x * self.n_b + y)

@@ -6,13 +6,13 @@ import functools
 import json
 import os
 import re
+import struct
 from collections.abc import Iterator
 
 import numpy as np
 import sentencepiece
 from tokenizers import Tokenizer
 
-PIECE_CHARS = 1 << 16  # a longer text is split; what lies between two safe places is never cut
 BATCH_BYTES = 1 << 20  # UTF-8 bytes handed to the library at once
 MARK = "▁"  # a space inside the pieces of a sentencepiece model
 
@@ -23,8 +23,8 @@ class Vocabulary:
     No tokens are added at the ends, nothing is truncated or padded. ``plain`` takes special strings inside texts as ordinary
     text; without it they are what the library makes of them.
 
-    Safe places to split are single spaces between two letters or digits, where no normal form, pattern or merge of the
-    three known kinds of tokenizers reaches across:
+    Safe places to split are single spaces between two letters, digits or other printing ASCII characters, where no normal form,
+    pattern or merge of the three known kinds of tokenizers reaches across:
 
     * white space that is dropped and never stands inside a token: split there, without the space;
     * byte-level pre-tokens that take a space in front: split before the space;
@@ -34,7 +34,9 @@ class Vocabulary:
     A tokenizer of another kind gets whole texts.
     """
 
-    BETWEEN = re.compile(r"(?<=[^\W_]) (?=[^\W_])")
+    BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
+    BEFORE = re.compile(r"(?<=[\w!-~])(?= [\w!-~])")
+    KEEP, KEPT_CHARS = 400_000, 64  # stretches that are remembered, and how long they may be
 
     def __init__(self, path: str, plain: bool = False):
         self.step: int | None = None  # characters skipped at a safe place; None: there are none
@@ -52,7 +54,8 @@ class Vocabulary:
             self.library.encode_special_tokens = plain
             with open(path) as file:
                 self.step = self._step(json.load(file))
-        self.between = self.BETWEEN
+        self.known_counts: dict[str, int] = {}
+        self.known_ids: dict[str, bytes] = {}
 
     @staticmethod
     def _step(made: dict) -> int | None:
@@ -69,55 +72,51 @@ class Vocabulary:
                 return 1
         return None
 
-    def split(self, text: str, most: int = PIECE_CHARS) -> list[str]:
-        """Pieces of about ``most`` characters whose tokens, one after the other, are those of the text."""
-        if self.step is None or len(text) <= most:
-            return [text]
-        out, at = [], 0
-        while len(text) - at > most:
-            place = self.between.search(text, at + most)
-            if place is None:
-                break
-            out.append(text[at:place.start()])
-            at = place.start() + self.step
-        return [*out, text[at:]]
-
-    def _batches(self, texts: list[str], most: int) -> Iterator[tuple[list[int], list[str]]]:
-        """(numbers of the texts, pieces), each batch of about BATCH_BYTES."""
-        owners, pieces, size = [], [], 0
-        for number, text in enumerate(texts):
-            for piece in self.split(text, most):
-                owners.append(number)
-                pieces.append(piece)
-                size += len(piece) if piece.isascii() else len(piece.encode())
-                if size >= BATCH_BYTES:
-                    yield owners, pieces
-                    owners, pieces, size = [], [], 0
-        if pieces:
-            yield owners, pieces
-
-    def counts(self, texts: list[str], most: int = PIECE_CHARS) -> np.ndarray:
-        """Number of tokens of each text; the ids themselves stay in the library."""
-        total = np.zeros(len(texts), np.int64)
-        for owners, pieces in self._batches(texts, most):
-            if self.library is None:
-                found = map(len, self.model.encode(pieces, num_threads=1))
-            else:
-                found = map(len, self.library.encode_batch_fast(pieces, add_special_tokens=False))
-            np.add.at(total, owners, np.fromiter(found, np.int64, len(pieces)))
-        return total
-
-    def ids(self, texts: list[str], most: int = PIECE_CHARS) -> list[np.ndarray]:
+    def _encoded(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
+        """Each text with its token ids, from batches of about BATCH_BYTES."""
+        size, start = 0, 0
+        for end, text in enumerate(texts, 1):
+            size += len(text) if text.isascii() else len(text.encode())
+            if size >= BATCH_BYTES or end == len(texts):
+                batch = texts[start:end]
+                if self.library is None:
+                    yield from zip(batch, self.model.encode(batch, num_threads=1), strict=True)
+                else:
+                    yield from zip(batch, (e.ids for e in self.library.encode_batch_fast(batch, add_special_tokens=False)), strict=True)
+                size, start = 0, end
+
+    def _resolved(self, texts: list[str], known: dict, value) -> Iterator[Iterator]:
+        """For each text ``value(ids)`` of its stretches, in order.
+
+        Texts are split at all safe places. Of each stretch that is not remembered one copy goes to the library; at most KEEP
+        short stretches are remembered beyond the call.
+        """
+        parts = list(map(self.stretches, texts))
+        if len(known) > self.KEEP:
+            known.clear()
+        fresh = list(set().union(*parts) - known.keys())
+        known.update((k, value(ids)) for k, ids in self._encoded(fresh))
+        for p in parts:
+            yield map(known.__getitem__, p)
+        for stretch in fresh:
+            if len(stretch) > self.KEPT_CHARS:
+                del known[stretch]
+
+    def stretches(self, text: str) -> list[str]:
+        """What lies between the safe places; the tokens of a text are those of its stretches, one after the other."""
+        return [text] if self.step is None else (self.BETWEEN if self.step else self.BEFORE).split(text)
+
+    def counts(self, texts: list[str]) -> np.ndarray:
+        """Number of tokens of each text."""
+        return np.array([sum(found) for found in self._resolved(texts, self.known_counts, len)], np.int64)
+
+    def ids(self, texts: list[str]) -> list[np.ndarray]:
         """Token ids of each text."""
-        parts: list[list[np.ndarray]] = [[] for _ in texts]
-        for owners, pieces in self._batches(texts, most):
-            if self.library is None:
-                found = self.model.encode(pieces, num_threads=1)
-            else:
-                found = (e.ids for e in self.library.encode_batch_fast(pieces, add_special_tokens=False))
-            for owner, ids in zip(owners, found, strict=True):
-                parts[owner].append(np.array(ids, np.int64))
-        return [p[0] if len(p) == 1 else np.concatenate([np.zeros(0, np.int64), *p]) for p in parts]
+        return [np.frombuffer(b"".join(found), "<u4").astype(np.int64) for found in self._resolved(texts, self.known_ids, self._packed)]
+
+    @staticmethod
+    def _packed(ids: list[int]) -> bytes:
+        return struct.pack(f"<{len(ids)}I", *ids)
 
     def token_bytes(self) -> tuple[list[bytes], set[int]]:
         """The bytes of each id, and the ids that stand for one byte only where no piece does."""
