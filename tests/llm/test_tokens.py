@@ -36,16 +36,18 @@ def test_counts_are_those_of_the_library(spark, table, texts, path):
 
 @pytest.mark.parametrize("path", [BYTE, WORD, PIECE])
 @pytest.mark.parametrize("plain", [False, True])
-def test_splits_change_no_token(texts, path, plain):
-    words, whole = tokenizing.Vocabulary(path, plain), tokenizing.Vocabulary(path, plain)
+def test_splits_change_no_token(monkeypatch, texts, path, plain):
+    monkeypatch.setattr(tokenizing, "KEEP", 50)  # what is remembered is dropped now and then
+    monkeypatch.setattr(tokenizing, "BATCH_BYTES", 500)
+    words = tokenizing.Vocabulary(path, plain)
     every = [t or "" for t in texts] + ODD
     assert words.step is not None and max(len(words.stretches(t)) for t in every) > 1000
-    whole.step, words.KEEP = None, 50  # what is remembered is dropped now and then
-    want = whole.ids(every)
+    want = list(words.encoded(every))
+    for k, t in enumerate(every):
+        assert [i for ids in words.encoded(words.stretches(t)) for i in ids] == want[k]
     for k in range(0, len(every), 7):
-        assert [x.tolist() for x in words.ids(every[k:k + 7])] == [x.tolist() for x in want[k:k + 7]]
         assert words.counts(every[k:k + 7]).tolist() == [len(x) for x in want[k:k + 7]]
-    assert all(len(k) <= words.KEPT_CHARS for k in words.known_counts.keys() | words.known_ids.keys())
+    assert 0 < len(words.known) and all(len(k) <= tokenizing.KEPT_CHARS for k in words.known)
     if not plain:
         assert [len(x) for x in want] == plain_counts(path, every)
 

@@ -4,7 +4,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+from array import array
 from collections.abc import Iterator
+from operator import itemgetter
 
 import numpy as np
 import pyarrow as pa
@@ -12,11 +14,12 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import discard, slices, written
-from .tokenizing import vocabulary
+from .tokenizing import remembered, vocabulary
 
 HEAD = 1 << 18  # pairs of the highest counts that each task holds; the rest are joined
 HELD = 1 << 20  # pairs a task counts before it passes them on
 SLICE_BYTES = 2 << 20
+UNLIKE = 0xFFFFFFFF  # no token's id
 
 
 class Aligner:
@@ -36,19 +39,38 @@ class Aligner:
         for k in sorted(range(self.n_b), key=lambda k: k in single):
             place.setdefault(self.b_bytes[k], k)
         self.same = np.array([place.get(t, -1) for t in self.a_bytes])
+        self.known: dict[str, tuple[bytes, bytes]] = {}
         # decimal ids with what follows them: A's , or | and B's , or ;
         self.shown = [b"%d%s" % (k, mark) for n, last in ((self.n_a, b"|"), (self.n_b, b";")) for k in range(n) for mark in (b",", last)]
 
+    def _record(self, stretch: str, a: list[int], b: list[int]) -> tuple[bytes, bytes]:
+        """Ids of a space and the stretch on both sides; a mark follows where they do not give back its bytes."""
+        raw = b" " + stretch.encode()
+        alike = b"".join(map(self.a_bytes.__getitem__, a)) == raw == b"".join(map(self.b_bytes.__getitem__, b))
+        return array("I", a if alike else [*a, UNLIKE]).tobytes(), array("I", b if alike else [*b, UNLIKE]).tobytes()
+
+    def _learn(self, fresh: list[str]) -> Iterator[tuple[str, tuple[bytes, bytes]]]:
+        return zip(fresh, map(self._record, fresh, self.a.encoded([" " + s for s in fresh]), self.b.encoded(fresh)), strict=True)
+
     def tokens(self, texts: list[str]) -> tuple[list[np.ndarray], list[np.ndarray]]:
-        """Ids of both sides for each text; none where a text is empty or either side does not give back a space and the text."""
-        full = [k for k, t in enumerate(texts) if t]
-        none = np.zeros(0, np.int64)
-        a, b = [none] * len(texts), [none] * len(texts)
-        found = zip(full, self.a.ids([" " + texts[k] for k in full]), self.b.ids([texts[k] for k in full]), strict=True)
-        for k, left, right in found:
-            raw = b" " + texts[k].encode()
-            if b"".join(map(self.a_bytes.__getitem__, left.tolist())) == raw == b"".join(map(self.b_bytes.__getitem__, right.tolist())):
-                a[k], b[k] = left, right
+        """Ids of both sides for each text; none where a text is empty or either side does not give back a space and the text.
+
+        Where both sides may be split at the same spaces, A before and B after them, each distinct stretch is encoded once.
+        """
+        cut = self.b.stretches if (self.a.step, self.b.step) == (0, 1) else lambda text: [text]
+        parts = [cut(t) if t else [] for t in texts]
+        a, b = [], []
+        with remembered(self.known, parts, self._learn) as record:
+            for text, part in zip(texts, parts, strict=True):
+                found = list(map(record, part))
+                left, right = (np.frombuffer(b"".join(map(itemgetter(k), found)), np.uint32).astype(np.int64) for k in (0, 1))
+                if (left == UNLIKE).any():  # stretches that do not match alone may still do so together
+                    left, right = left[left != UNLIKE], right[right != UNLIKE]
+                    raw = b" " + text.encode()
+                    if not (b"".join(map(self.a_bytes.__getitem__, left)) == raw == b"".join(map(self.b_bytes.__getitem__, right))):
+                        left = right = left[:0]
+                a.append(left)
+                b.append(right)
         return a, b
 
     def align(self, texts: list[str]) -> dict[str, np.ndarray | list]:

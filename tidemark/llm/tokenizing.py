@@ -6,17 +6,35 @@ import functools
 import json
 import os
 import re
-import struct
 from collections.abc import Iterator
+from contextlib import contextmanager
+from operator import attrgetter
 
 import numpy as np
 import sentencepiece
 from tokenizers import Tokenizer
 
 BATCH_BYTES = 1 << 20  # UTF-8 bytes handed to the library at once
+KEEP, KEPT_CHARS = 400_000, 64  # stretches that are remembered, and how long they may be
 MARK = "▁"  # a space inside the pieces of a sentencepiece model
 
 
+@contextmanager
+def remembered(known: dict, parts: list[list[str]], learn) -> Iterator:
+    """A lookup of what ``learn`` finds for each distinct stretch of ``parts``.
+
+    One copy of every stretch that is not in ``known`` is learnt. Beyond the block at most about KEEP short stretches are remembered.
+    """
+    if len(known) > KEEP:
+        known.clear()
+    fresh = list(set().union(*parts) - known.keys())
+    known.update(learn(fresh))
+    yield known.__getitem__
+    for stretch in fresh:
+        if len(stretch) > KEPT_CHARS:
+            del known[stretch]
+
+
 class Vocabulary:
     """One tokenizer file: ``.json`` through tokenizers, ``.model`` through sentencepiece.
 
@@ -36,7 +54,6 @@ class Vocabulary:
 
     BETWEEN = re.compile(r"(?<=[\w!-~]) (?=[\w!-~])")
     BEFORE = re.compile(r"(?<=[\w!-~])(?= [\w!-~])")
-    KEEP, KEPT_CHARS = 400_000, 64  # stretches that are remembered, and how long they may be
 
     def __init__(self, path: str, plain: bool = False):
         self.step: int | None = None  # characters skipped at a safe place; None: there are none
@@ -54,8 +71,7 @@ class Vocabulary:
             self.library.encode_special_tokens = plain
             with open(path) as file:
                 self.step = self._step(json.load(file))
-        self.known_counts: dict[str, int] = {}
-        self.known_ids: dict[str, bytes] = {}
+        self.known: dict[str, int] = {}
 
     @staticmethod
     def _step(made: dict) -> int | None:
@@ -72,35 +88,27 @@ class Vocabulary:
                 return 1
         return None
 
-    def _encoded(self, texts: list[str]) -> Iterator[tuple[str, list[int]]]:
-        """Each text with its token ids, from batches of about BATCH_BYTES."""
-        size, start = 0, 0
-        for end, text in enumerate(texts, 1):
-            size += len(text) if text.isascii() else len(text.encode())
-            if size >= BATCH_BYTES or end == len(texts):
-                batch = texts[start:end]
-                if self.library is None:
-                    yield from zip(batch, self.model.encode(batch, num_threads=1), strict=True)
-                else:
-                    yield from zip(batch, (e.ids for e in self.library.encode_batch_fast(batch, add_special_tokens=False)), strict=True)
-                size, start = 0, end
-
-    def _resolved(self, texts: list[str], known: dict, value) -> Iterator[Iterator]:
-        """For each text ``value(ids)`` of its stretches, in order.
+    def _batches(self, texts: list[str]) -> Iterator[list[str]]:
+        """Runs of texts of about BATCH_BYTES, at two bytes a character."""
+        ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) * 2)
+        bounds = np.flatnonzero(np.diff(ends // BATCH_BYTES, prepend=0)).tolist()
+        for start, end in zip([0, *bounds], [*bounds, len(texts)], strict=True):
+            if end > start:
+                yield texts[start:end]
 
-        Texts are split at all safe places. Of each stretch that is not remembered one copy goes to the library; at most KEEP
-        short stretches are remembered beyond the call.
-        """
-        parts = list(map(self.stretches, texts))
-        if len(known) > self.KEEP:
-            known.clear()
-        fresh = list(set().union(*parts) - known.keys())
-        known.update((k, value(ids)) for k, ids in self._encoded(fresh))
-        for p in parts:
-            yield map(known.__getitem__, p)
-        for stretch in fresh:
-            if len(stretch) > self.KEPT_CHARS:
-                del known[stretch]
+    def encoded(self, texts: list[str]) -> Iterator[list[int]]:
+        """Token ids of each text."""
+        for batch in self._batches(texts):
+            if self.library is None:
+                yield from self.model.encode(batch, num_threads=1)
+            else:
+                yield from map(attrgetter("ids"), self.library.encode_batch_fast(batch, add_special_tokens=False))
+
+    def lengths(self, texts: list[str]) -> Iterator[int]:
+        """Number of tokens of each text; the ids themselves stay in the library."""
+        for batch in self._batches(texts):
+            yield from map(len, self.model.encode(batch, num_threads=1) if self.library is None
+                           else self.library.encode_batch_fast(batch, add_special_tokens=False))
 
     def stretches(self, text: str) -> list[str]:
         """What lies between the safe places; the tokens of a text are those of its stretches, one after the other."""
@@ -108,15 +116,9 @@ class Vocabulary:
 
     def counts(self, texts: list[str]) -> np.ndarray:
         """Number of tokens of each text."""
-        return np.array([sum(found) for found in self._resolved(texts, self.known_counts, len)], np.int64)
-
-    def ids(self, texts: list[str]) -> list[np.ndarray]:
-        """Token ids of each text."""
-        return [np.frombuffer(b"".join(found), "<u4").astype(np.int64) for found in self._resolved(texts, self.known_ids, self._packed)]
-
-    @staticmethod
-    def _packed(ids: list[int]) -> bytes:
-        return struct.pack(f"<{len(ids)}I", *ids)
+        parts = list(map(self.stretches, texts))
+        with remembered(self.known, parts, lambda fresh: zip(fresh, self.lengths(fresh), strict=True)) as count:
+            return np.array([sum(map(count, p)) for p in parts], np.int64)
 
     def token_bytes(self) -> tuple[list[bytes], set[int]]:
         """The bytes of each id, and the ids that stand for one byte only where no piece does."""
