@@ -271,11 +271,15 @@ def retrain_dates(days: DataFrame, every: int) -> DataFrame:
     )
 
 
-def reuse_scores(days: DataFrame, scores: DataFrame) -> DataFrame:
-    """Every (symbol, date) with the score of its latest scored day. ``scores`` has the scored days only."""
+def reuse_scores(days: DataFrame, scores: DataFrame, within: int | None = None) -> DataFrame:
+    """Every (symbol, date) with the score of its latest scored day. ``scores`` has the scored days only.
+
+    With ``within`` a score is used on its day and the ``within`` - 1 days after it; later days have none until the next one.
+    """
     joined = days.join(scores.select("symbol", "date", F.struct("date", "prob").alias("_s")), ["symbol", "date"], "left")
     filled = series.running(joined.withColumn("_year", F.year("date")), ["symbol"], ["date"], "_year", _f=("last", "_s"))
-    return filled.select("symbol", "date", F.col("_f.date").alias("scored_on"), F.col("_f.prob").alias("prob"))
+    fresh = F.lit(True) if within is None else F.datediff("date", F.col("_f.date")) < within
+    return filled.select("symbol", "date", F.when(fresh, F.col("_f.date")).alias("scored_on"), F.when(fresh, F.col("_f.prob")).alias("prob"))
 
 
 def with_insufficient(days: DataFrame, scores: DataFrame, rules: Rules = RULES) -> DataFrame:

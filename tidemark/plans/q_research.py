@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rolling as R
 from ..functions import scalars as S
-from ..operators import admission, exits, indicators, ledger, metrics, research, series, training
+from ..operators import admission, ensembles, exits, indicators, ledger, metrics, research, series, training
 from ..params import FEATURES, RULES
 from ..session import materialize
 from . import inputs
@@ -229,6 +229,8 @@ def _runs(spark, sf):
 
 # ---- models ----
 
+RETRAIN_DAYS = 5
+
 part("fnum", ["features"], "select *, row_number() over (partition by symbol order by date) as fn from features")
 
 
@@ -344,18 +346,13 @@ def m10(spark, sf):
     return training.with_insufficient(features.select("symbol", "date"), scores)
 
 
-def _cutoffs(features, count: int) -> list:
-    """The first feature day after the shortest history, and the last days of the ``count`` - 1 latest quarters: a few driver values."""
-    first = features.groupBy("symbol").agg(F.min("date").alias("date")).agg(F.date_add(F.max("date"), 40)).first()[0]
-    ends = features.groupBy(F.trunc("date", "quarter")).agg(F.max("date").alias("date")).orderBy(F.col("date").desc()).limit(count - 1).collect()
-    nearest = features.filter(F.col("date") >= F.lit(first)).agg(F.min("date")).first()[0]
-    return sorted({nearest, *(r["date"] for r in ends)})
+def _quarter_ends(features):
+    """(symbol, date) on the last feature day of every quarter."""
+    ends = features.groupBy(F.trunc("date", "quarter")).agg(F.max("date").alias("date")).select("date")
+    return features.select("symbol", "date").join(F.broadcast(ends), "date", "left_semi")  # four rows a year
 
 
-part("result_days", ["fnum"], """
-select distinct date from (
-  select date from (select max(date) as date from fnum group by date_trunc('quarter', date)) order by date desc limit 2)
-union select min(date) from fnum where date >= (select max(d) + 40 from (select min(date) as d from fnum group by symbol))""")
+part("result_days", ["fnum"], "select max(date) as date from fnum group by date_trunc('quarter', date)")
 
 
 @query("m11_signal_result", sql("""
@@ -365,9 +362,9 @@ from fnum f join result_days using (date)
 left join fnum t on t.symbol = f.symbol and t.target is not null and t.date < f.date and t.fn > f.fn - 181
 group by 1, 2""", "fnum", "result_days"))
 def m11(spark, sf):
-    # trees differ between libraries; keys, row counts and what must hold of every result can be compared
+    # keys, row counts and what must hold of every result; m07_one_split compares the numbers of trees that SQL can grow
     features = materialize(full_features(spark, sf))
-    rows = training.signal_results(features, _cutoffs(features, 3), trees=5)
+    rows = ensembles.signals(features, _quarter_ends(features))
     share = lambda c: F.col(c).between(0, 1)
     known = ~F.col("insufficient")
     return rows.select(
@@ -376,17 +373,71 @@ def m11(spark, sf):
         (known | ((F.col("ensemble_prob") == 0) & ~F.col("signal"))).alias("zero_if_insufficient"), F.size("top_features").alias("n_top"))
 
 
+# one tree of one split per model, without draws: the same fits, which SQL can grow too
+_KEY = "symbol, cutoff, w"
+part("st_rows", ["fnum", "result_days"], f"""
+select c.symbol, c.date as cutoff, c.fn, c.fn - t.fn as back, t.target,
+  [{', '.join(f"round(coalesce(t.{c}, 0)::double, 6)" for c in FEATURES)}] as xs
+from fnum c join result_days using (date) join fnum t on t.symbol = c.symbol and t.fn between c.fn - 180 and c.fn
+where (t.target is not null or t.fn = c.fn) and c.fn > 80""")
+part("st_fit", ["st_rows"], f"""
+select symbol, cutoff, w, back, target, back > 20 * (1 - w) as fitted, unnest(range({len(FEATURES)})) as f, unnest(xs) as x
+from st_rows, (values (0), (1)) v(w) where back > 0 or w = 1""")
+part("st_bound", ["st_fit"], f"""
+select {_KEY}, f, quantile_cont(x, 0.01) as lo, quantile_cont(x, 0.99) as hi, count(*) as n, sum(target) as n_up from st_fit where fitted group by all""")
+part("st_bin", ["st_fit", "st_bound"], f"""
+select *, (coalesce(sum(fitted::int) over (partition by {_KEY}, f order by clipped groups between unbounded preceding and 1 preceding), 0) * 32) // n as bin
+from (select t.*, n, n_up, least(greatest(x, lo), hi) as clipped from st_fit t join st_bound using ({_KEY}, f))""")
+part("st_left", ["st_bin"], f"""
+select {_KEY}, f, bin, n, n_up, sum(count(*)) over upto as l, sum(sum(target)) over upto as l_up
+from st_bin where fitted group by {_KEY}, f, bin, n, n_up window upto as (partition by {_KEY}, f order by bin rows between unbounded preceding and current row)""")
+_D = "::double"
+part("st_gain", ["st_left"], f"""
+select *, pow(0.5*l - l_up, 2)/(0.25*l + 5) + pow(0.5*(n - l) - (n_up - l_up), 2)/(0.25*(n - l) + 5) - pow(0.5*n - n_up, 2)/(0.25*n + 5) as b_gain,
+  2*(n{_D}/4 - a0*a1/nullif(a0 + a1, 0) - (n{_D}/2 - a0)*(n{_D}/2 - a1)/nullif(n - a0 - a1, 0)) as f_gain
+from (select *, (l - l_up)*n{_D}/(2*(n - n_up)) as a0, l_up*n{_D}/(2*n_up) as a1 from st_left)""")
+part("st_forest", ["st_gain"], f"""
+select * from st_gain where l >= 5 and n - l >= 5 and round(f_gain, 9) > 0 qualify row_number() over (partition by {_KEY} order by round(f_gain, 9) desc, f, bin) = 1""")
+part("st_boost", ["st_gain"], f"""
+select * from st_gain where 0.25*l >= 5 and 0.25*(n - l) >= 5 and b_gain >= 0.5
+qualify row_number() over (partition by {_KEY} order by round(b_gain, 9) desc, f, bin) = 1""")
+part("st_up", ["st_bin", "st_forest", "st_boost"], f"""
+select s.symbol, s.cutoff, s.w, s.back, s.target, any_value(t.f) as top,
+  any_value(case when s.f = t.f then case when s.bin <= t.bin then t.a1/(t.a0 + t.a1) else (t.n{_D}/2 - t.a1)/(t.n - t.a0 - t.a1) end end) as rf,
+  coalesce(any_value(case when s.f = b.f then 1/(1 + exp(0.05*case when s.bin <= b.bin then (0.5*b.l - b.l_up)/(0.25*b.l + 5)
+    else (0.5*(b.n - b.l) - (b.n_up - b.l_up))/(0.25*(b.n - b.l) + 5) end)) end),
+    any_value(1/(1 + exp(0.05*(0.5*s.n - s.n_up)/(0.25*s.n + 5))))) as xgb
+from st_bin s left join st_forest t using ({_KEY}) left join st_boost b using ({_KEY})
+where not s.fitted group by all""")
+
+
+@query("m07_one_split", sql(f"""
+select r.symbol, r.date, least(r.fn - 1, 180) as train_rows, r.fn <= 80 as insufficient, {r('coalesce(t.rf, 0)')} as rf_prob, {r('coalesce(t.xgb, 0)')} as xgb_prob,
+  {r('coalesce((t.rf + t.xgb)/2, 0)')} as ensemble_prob, coalesce((t.rf + t.xgb)/2 >= 0.6, false) as signal, {r('coalesce(h.rf, 0)')} as rf_accuracy,
+  {r('coalesce(h.xgb, 0)')} as xgb_accuracy, ([{', '.join(f"'{c}'" for c in FEATURES)}])[t.top + 1] as top_feature
+from (select symbol, date, fn from fnum join result_days using (date)) r
+left join (select * from st_up where w = 1) t on t.symbol = r.symbol and t.cutoff = r.date
+left join (select symbol, cutoff, avg(((round(rf, 9) > 0.5)::int = target)::int) as rf, avg(((round(xgb, 9) > 0.5)::int = target)::int) as xgb
+  from st_up where w = 0 group by 1, 2) h on h.symbol = r.symbol and h.cutoff = r.date""", "fnum", "result_days", "st_up"))
+def m07_one_split(spark, sf):
+    """Probabilities, accuracies and the top input of models of one tree with one split, at the end of every quarter."""
+    features = full_features(spark, sf)
+    features = materialize(features.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in FEATURES}))
+    rows = ensembles.signals(features, _quarter_ends(features), ensembles.Forest(trees=1, depth=1, offered=len(FEATURES), bootstrap=False),
+                             ensembles.Booster(rounds=1, depth=1, rows=1.0, columns=1.0))
+    return rounded(rows.withColumn("top_feature", F.get("top_features", F.lit(0))).drop("top_features"))
+
+
 @query("m12_signal_chain")
 def m12(spark, sf):
-    """Features, scores of fitted models at a few days, reuse until the next of them, admission, exits, ledger rows and the sheet's figures."""
+    """Features, models of every symbol fitted anew every fifth day, reuse for less than five days, admission, exits, ledger rows and the sheet's figures."""
     bars = materialize(inputs.bars(spark, sf))
     features = materialize(full_features(spark, sf))
-    cutoffs = _cutoffs(features, 4)
-    scored = materialize(training.signal_results(features, cutoffs, trees=5)).select("symbol", "date", F.col("ensemble_prob").alias("prob"), "insufficient")
-    after = bars.filter(F.col("date") >= F.lit(cutoffs[0]))
-    days = training.reuse_scores(after.select("symbol", "date"), scored.select("symbol", "date", "prob"))
+    due = training.retrain_dates(features.select("symbol", "date"), RETRAIN_DAYS)
+    scored = materialize(ensembles.signals(features, due)).select("symbol", "date", F.col("ensemble_prob").alias("prob"))
+    days = training.reuse_scores(features.select("symbol", "date"), scored, within=RETRAIN_DAYS)
     flow = S.flow_ratio(F.col("taker").cast("double"), F.col("vi").cast("double"))
-    cands = materialize(after.join(days, ["symbol", "date"]).select(
+    cands = materialize(bars.join(days, ["symbol", "date"]).select(
         "date", "symbol", "close", "prob", flow.alias("ofi"), F.lit(False).alias("in_position")))
     state = cands.select("date").distinct().select("date", F.lit(0).alias("n_open"), F.lit(False).alias("halted"), F.lit(RULES.start_balance).alias("balance"))
     logged = admission.admit(cands, state)
