@@ -9,6 +9,8 @@ from pyspark.sql import functions as F
 
 from .common import classes, discard, written
 
+CROWD = 64  # members of a key from which on blocks are cheaper than pairs
+
 Verify = Callable[[DataFrame], DataFrame]
 
 
@@ -29,7 +31,8 @@ def _ordered(pairs: DataFrame, percent: int) -> DataFrame:
     return pairs.where(fits & (F.col("u") != F.col("v"))).select(F.least("u", "v").alias("a"), F.greatest("u", "v").alias("b")).distinct()
 
 
-def linked_classes(members: DataFrame, percent: int, verify: Verify, name: str, stars: int = 2) -> DataFrame:
+def linked_classes(members: DataFrame, percent: int, verify: Verify, name: str, stars: int = 2, dense: Verify | None = None,
+                   crowd: int = CROWD) -> DataFrame:
     """(node, root): classes of the links among nodes that share a key, root the smallest node.
 
     A link needs a key that both nodes have, one of them as the smaller (n, node) with ``index``; ``rank`` is the key's place, from 0, in the
@@ -38,6 +41,9 @@ def linked_classes(members: DataFrame, percent: int, verify: Verify, name: str,
     which the key is rarest (lowest rank), which a tight group all links to; then, where a key's members are in several classes,
     with another; what still is in different classes is compared pair by pair. Pairs within one class need no comparison, so the work
     follows the members of a posting, and its square only as far as they do not belong together. No pair is left out.
+
+    With ``dense``, keys of which more than ``crowd`` members are left then do not become pairs: ``dense`` gets their (key, node, n) and returns
+    links (a, b) that connect whatever links there.
     """
     links, checked, roots, spare = None, None, None, []
     for turn in range(stars + 1):
@@ -55,6 +61,14 @@ def linked_classes(members: DataFrame, percent: int, verify: Verify, name: str,
                 F.col("c.rank").alias("vr"), F.col("root" if turn else "node").alias("x"), F.col("c.root").alias("y"))
             pairs = pairs.where("x <> y")
         else:
+            if dense is not None:
+                crowded = written(open_.groupBy("key").agg(F.count("*").alias("c")).where(F.col("c") > crowd).select("key"), f"{name}-crowded")
+                spare.append(crowded)
+                if not crowded.isEmpty():
+                    found = dense(open_.join(crowded, "key").select("key", "node", "n"))
+                    spare.append(found)
+                    links = links.unionByName(found)
+                    open_ = open_.join(crowded, "key", "left_anti")
             small = open_.where("index").select("key", F.col("node").alias("v"), F.col("n").alias("vn"), F.col("rank").alias("vr"), F.col("root").alias("v_root"))
             pairs = (open_.select("key", F.col("node").alias("u"), F.col("n").alias("un"), F.col("rank").alias("ur"), "root").join(small, "key")
                      .where("root <> v_root and struct(vn, v) < struct(un, u)"))

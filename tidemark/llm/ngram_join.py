@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import zlib
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -15,6 +16,7 @@ from .linking import linked_classes, members_of
 from .windows import Hashes, mixed
 
 FRAGMENTS = 6
+TILE, TILE_GRAMS = 256, 1 << 18  # sets and n-grams of a block
 BUCKET_BITS = 21  # counters of the frequency sketch: 8 MB, whatever the size of the corpus
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
@@ -202,6 +204,75 @@ def _near(pairs: DataFrame, order, percent: int, kind: str) -> DataFrame:
     return pairs.select("a", "b", "an", "x", "bn", "y").mapInArrow(run, f"a {kind}, b {kind}, an long, bn long")
 
 
+def overlaps(a: tuple, b: tuple, rows: int, columns: int) -> np.ndarray:
+    """How many n-grams of one fragment each two sets of two blocks share: ``a`` and ``b`` are (set of each n-gram, n-gram)."""
+    common = np.intersect1d(a[1], b[1])
+    total = np.zeros((rows, columns), np.float32)  # exact below 2**24
+    for at in range(0, len(common), 1 << 13):
+        part = common[at:at + (1 << 13)]
+        sides = []
+        for (owner, grams), n in ((a, rows), (b, columns)):
+            place = np.minimum(np.searchsorted(part, grams), len(part) - 1)
+            hit = part[place] == grams
+            side = np.zeros((n, len(part)), np.float32)
+            side[owner[hit], place[hit]] = 1
+            sides.append(side)
+        total += sides[0] @ sides[1].T
+    return total
+
+
+def _tiles(crowded: DataFrame, parts: DataFrame, percent: int, kind: str, spare: list) -> DataFrame:
+    """Links (a, b) that connect all that link among the members (key, node, n) of each key.
+
+    A key's members are dealt by hash into blocks of about TILE sets and TILE_GRAMS n-grams; every two blocks meet in one task, which
+    counts the overlaps fragment by fragment as products of 0/1 matrices, sums them and returns one link per set that
+    links there, to the least node it is connected to. A crowd of m sets costs (m / TILE) ** 2 / 2 tasks and no row per pair.
+    """
+    sizes = crowded.groupBy("key").agg(F.greatest(F.ceil(F.count("*") / TILE), F.ceil(F.sum("n") / TILE_GRAMS)).cast("int").alias("blocks"))
+    dealt = crowded.join(sizes, "key").withColumn("block", F.pmod(F.xxhash64("node"), "blocks").cast("int"))
+    held = dealt.join(parts, "node").groupBy("key", "blocks", "block").agg(F.collect_list(F.struct("node", "n", "fragment", "segment")).alias("sets"))
+    held = written(held, "crowd-blocks")
+    spare.append(held)
+    one = held.select("key", F.col("block").alias("i"), F.explode(F.expr("sequence(block, blocks - 1)")).alias("j"), F.col("sets").alias("a"))
+    tiles = one.join(held.select("key", F.col("block").alias("j"), F.col("sets").alias("b")), ["key", "j"]).select("i", "j", "a", "b")
+
+    def read(column: pa.Array) -> tuple[np.ndarray, np.ndarray, dict]:
+        sets = column.flatten()
+        node, n, fragment, segment = (sets.field(k) for k in range(4))
+        nodes, first, owner = np.unique(node.to_numpy(zero_copy_only=False), return_index=True, return_inverse=True)
+        own = {}
+        lengths = segment.value_lengths().to_numpy(zero_copy_only=False)
+        each, grams, which = np.repeat(owner, lengths), segment.flatten().to_numpy(zero_copy_only=False), np.repeat(
+            fragment.to_numpy(zero_copy_only=False), lengths)
+        for f in np.unique(which):
+            own[int(f)] = each[which == f], grams[which == f]
+        return nodes, n.to_numpy(zero_copy_only=False)[first], own
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for row in range(batch.num_rows):
+                one = batch.slice(row, 1)
+                (a, an, x), (b, bn, y) = read(one["a"]), read(one["b"])
+                both = np.zeros((len(a), len(b)), np.int64)
+                for f in x.keys() & y.keys():
+                    both += overlaps(x[f], y[f], len(a), len(b)).astype(np.int64)
+                i, j = np.nonzero(both * 100 >= (an[:, None] + bn[None, :] - both) * percent)
+                names, place = np.unique(np.concatenate([a, b]), return_inverse=True)
+                i, j = place[i], place[len(a) + j]
+                root = np.arange(len(names))
+                while True:
+                    low = np.minimum(root[i], root[j])
+                    before = root.copy()
+                    np.minimum.at(root, i, low)
+                    np.minimum.at(root, j, low)
+                    if (root == before).all():
+                        break
+                moved = np.flatnonzero(root != np.arange(len(names)))
+                yield pa.RecordBatch.from_arrays([pa.array(names[moved]), pa.array(names[root[moved]])], names=["a", "b"])
+
+    return written(tiles.mapInArrow(compared, f"a {kind}, b {kind}").distinct(), "crowd-links")
+
+
 def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text",
          fragments: int = FRAGMENTS) -> DataFrame:
     """One row per document: ``id``, n_shingles, component_id, the smallest id reachable by links.
@@ -229,23 +300,30 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     segments: list[DataFrame] = []
     spare = [sets, nodes, members]
 
-    def verify(pairs: DataFrame) -> DataFrame:
-        side = nodes.select("node", "n", "rare")
-        known = (pairs.join(side.toDF("a", "an", "x"), "a").join(side.toDF("b", "bn", "y"), "b"))
-        near = written(_near(known, order, percent, kind), "near")
-        asked = near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct()
+    def segments_of(asked: DataFrame) -> DataFrame | None:
+        """Segments of these nodes and of all asked for before."""
         for earlier in segments:
             asked = asked.join(earlier.select("node"), "node", "left_anti")
         asked = written(asked, "asked")
-        spare.extend((near, asked))
+        spare.append(asked)
         if not asked.isEmpty():
             texts = whole.join(asked.hint("shuffle_hash"), "node", "left_semi")
             segments.append(written(_segments(texts, order, "node", "body", words), "segments"))
-        if not segments:
+        return reduce(DataFrame.unionByName, segments) if segments else None
+
+    def dense(crowded: DataFrame) -> DataFrame:
+        parts = segments_of(crowded.select("node").distinct())
+        # rows that share an id bring a fragment more than once
+        return _tiles(crowded, parts.groupBy("node", "fragment").agg(F.max("segment").alias("segment")), percent, kind, spare)
+
+    def verify(pairs: DataFrame) -> DataFrame:
+        side = nodes.select("node", "n", "rare")
+        known = (pairs.join(side.toDF("a", "an", "x"), "a").join(side.toDF("b", "bn", "y"), "b"))
+        near = written(_near(known, order, percent, kind), "near")
+        spare.append(near)
+        parts = segments_of(near.select(F.col("a").alias("node")).unionByName(near.select(F.col("b").alias("node"))).distinct())
+        if parts is None:
             return near.select("a", "b")
-        parts = segments[0]
-        for more in segments[1:]:
-            parts = parts.unionByName(more)
         left = near.join(parts.toDF("a", "fragment", "x"), "a")
         both = left.join(parts.toDF("b", "fragment", "y"), ["b", "fragment"])
         partial = both.select("a", "b", "an", "bn", "fragment", F.size(F.array_intersect("x", "y")).cast("long").alias("part"))
@@ -254,7 +332,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
         overlap = partial.groupBy("a", "b", "an", "bn").agg(F.sum("part").alias("both"))
         return overlap.where(F.col("both") * 100 >= (F.col("an") + F.col("bn") - F.col("both")) * percent).select("a", "b")
 
-    roots = linked_classes(members, percent, verify, "ngram")
+    roots = linked_classes(members, percent, verify, "ngram", 1, dense)
     per_set = nodes.select("k1", "k2", "node").join(roots, "node", "left").select("k1", "k2", F.coalesce("root", "node").alias("root"))
     result = written(
         sets.select("id", "k1", "k2", "n").join(per_set, ["k1", "k2"], "left")
