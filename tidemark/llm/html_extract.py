@@ -157,21 +157,29 @@ def fitted(pages: int = TRAINING_PAGES) -> BoostedTrees:
 
 
 def decoded(score: np.ndarray, parent: np.ndarray, leaf: np.ndarray) -> np.ndarray:
-    """Mask of kept nodes with the largest sum of scores, where a node is kept only if its parent is.
+    """Mask of kept nodes with the largest sum of scores, where a node is kept only if its parent is and an element only with a child.
 
-    The gain of a node is its score and the gains of those children that gain anything; an element whose children all lose is dropped.
+    The gain of an element is its score and the gains of those children that gain anything or, if none does, of the child that loses least:
+    its own score may outweigh that. The root is kept in any case and needs no child.
     """
     score = np.clip(score, -LIMIT, LIMIT)
-    gain, kept = score.tolist(), [False] * len(score)
-    up, is_leaf = parent.tolist(), leaf.tolist()
-    held = [False] * len(score)  # whether something below is kept
+    gain, up, is_leaf = score.tolist(), parent.tolist(), leaf.tolist()
+    held = [False] * len(gain)  # whether a child gains
+    least, spare = [-np.inf] * len(gain), [-1] * len(gain)  # the best of the children that lose
     for k in range(len(gain) - 1, 0, -1):
         p = up[k]
-        if p >= 0 and gain[k] > 0 and (is_leaf[k] or held[k]):
+        if not is_leaf[k] and not held[k]:
+            gain[k] += least[k]
+        if p < 0:
+            continue
+        if gain[k] > 0:
             gain[p] += gain[k]
             held[p] = True
+        elif gain[k] >= least[p]:
+            least[p], spare[p] = gain[k], k
+    kept = [False] * len(gain)
     for k, p in enumerate(up):
-        kept[k] = p < 0 or (kept[p] and gain[k] > 0 and (is_leaf[k] or held[k]))
+        kept[k] = p < 0 or (kept[p] and (gain[k] > 0 or (up[p] >= 0 and not held[p] and spare[p] == k)))
     return np.array(kept)
 
 
