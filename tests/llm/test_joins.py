@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import boosting, common, dom, embedding_dedup, html_extract, ngram_join, spot_signatures, suffix_dedup, windows
+from tidemark.llm import boosting, common, dom, embedding_dedup, html_extract, linking, ngram_join, spot_signatures, suffix_dedup, windows
 from tidemark.llm.suffix_array import common_prefixes, repeated, suffix_array
 
 
@@ -296,3 +296,67 @@ def test_pages(spark, trees):
     assert [r.text for r in got if r.page_id == 1] == [want, want]
     assert all(r.n_chars == len(r.text) for r in got) and [r.text for r in got if r.page_id in (2, 3)] == ["", ""] and len(got) == len(rows)
     assert html_extract.extract(spark.createDataFrame([], "page_id long, html string"), trees=trees).collect() == []
+
+
+def test_dense_postings_as_blocks_equal_pairs(spark, monkeypatch):
+    """Near copies of one text that do not link with each other: found block by block as by comparing all, with rows that follow the members."""
+    rnd = random.Random(9)
+    base = [f"w{k}" for k in range(60)]
+
+    def made(m):
+        out = []
+        for k in range(m):
+            words = list(base)
+            words[rnd.randrange(60)] = f"new{k}"
+            out.append((k, " ".join(words)))
+        return out
+
+    pairs, write = [], linking.written
+
+    def counted(df, name):
+        table = write(df, name)
+        if name.endswith("-pairs"):
+            pairs.append(table.count())
+        return table
+
+    monkeypatch.setattr(linking, "written", counted)
+    totals = []
+    for m in (200, 400):
+        rows = made(m)
+        pairs.clear()
+        got = {r.doc_id: r.component_id for r in ngram_join.join(spark.createDataFrame(rows, "doc_id long, text string").repartition(3), 3, 90).collect()}
+        totals.append(sum(pairs))
+        sets = [{tuple(t.split()[i:i + 3]) for i in range(58)} for _, t in rows]
+        root = list(range(m))
+
+        def find(x, root=root):
+            while root[x] != x:
+                x = root[x]
+            return x
+
+        for a in range(m):
+            for b in range(a):
+                both = len(sets[a] & sets[b])
+                if 100 * both >= 90 * (116 - both):
+                    x, y = find(a), find(b)
+                    root[max(x, y)] = min(x, y)
+        assert [got[k] for k in range(m)] == [find(k) for k in range(m)]
+        assert 20 < len(set(got.values())) < m / 2
+    assert totals[1] < 2.5 * totals[0]
+
+
+def test_overlaps_of_blocks():
+    rnd = random.Random(2)
+    sets = [[np.array(sorted(rnd.sample(range(40), rnd.randint(0, 20))), np.int64) for _ in range(n)] for n in (7, 5)]
+    a, b = ((np.repeat(np.arange(len(side)), [len(s) for s in side]), np.concatenate(side)) for side in sets)
+    want = [[len(np.intersect1d(x, y)) for y in sets[1]] for x in sets[0]]
+    assert ngram_join.overlaps(a, b, 7, 5).tolist() == want
+    none = np.zeros(0, np.int64)
+    assert ngram_join.overlaps((none, none), b, 7, 5).sum() == 0
+
+
+def test_one_row_of_equal_rows_with_maps(spark):
+    """Rows equal in id and text that differ elsewhere, with a column that cannot be compared."""
+    rows = spark.createDataFrame([(1, "a b c d e f g", {"x": 1}), (1, "a b c d e f g", {"x": 2}), (2, "q r s t u v w", None)], "doc_id long, text string, m map<string,int>")
+    got = ngram_join.one_per_class(rows, words=5, percent=80).collect()
+    assert sorted((r.doc_id, r.m) for r in got) == [(1, {"x": 1}), (2, None)]

@@ -352,14 +352,19 @@ def without_near_copies(docs: DataFrame, words: int = 5, percent: int = 80, id:
 def one_per_class(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``docs`` with one row of each class of near copies, the one of the smallest id; rows without an id come last.
 
-    A row is known by a 64-bit hash of its id and text: rows that are equal in both are one, rows of one id with different texts are different
+    A row is known by two 64-bit hashes of its id and text: rows that are equal in both are one, rows of one id with different texts are different
     documents, and rows without an id are compared like others. Texts without words are in no class and stay.
     """
-    rows = docs.withColumn("__row", F.xxhash64(docs[id], docs[text].cast("binary"), F.lit(3)))
-    again = written(rows.groupBy("__row").count().where("count > 1").select("__row"), "repeated-rows")
-    if not again.isEmpty():
-        repeated = rows.join(again, "__row", "left_semi")
-        one = repeated.groupBy("__row").agg(F.min(F.struct(*docs.columns)).alias("one")).select("one.*", "__row")
+    key = [docs[id], docs[text].cast("binary")]
+    rows = docs.withColumns({"__row": F.xxhash64(*key, F.lit(3)), "__two": F.xxhash64(F.lit(11), *reversed(key))})
+    again = rows.groupBy("__row").agg(F.count("*").alias("c"), (F.min("__two") != F.max("__two")).alias("__clash")).where("c > 1")
+    again = written(again.select("__row", "__clash"), "repeated-rows")
+    if again.isEmpty():
+        rows = rows.drop("__two")
+    else:
+        repeated = rows.join(again, "__row").withColumn("__row", F.when(F.col("__clash"), F.xxhash64("__row", "__two")).otherwise(F.col("__row")))
+        whole = F.struct(*docs.columns)
+        one = repeated.groupBy("__row", "__two").agg(F.min_by(whole, F.to_json(whole)).alias("one")).select("one.*", "__row")
         rows = rows.join(again, "__row", "left_anti").select(*docs.columns, "__row").unionByName(written(one, "one-of-each"))
     found = join(rows, words, percent, "__row", text).where("n_shingles > 0")
     ids = rows.select("__row", F.col(id).alias("id"))
