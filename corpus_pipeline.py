@@ -16,7 +16,7 @@ from pyspark.sql import DataFrame, SparkSession  # noqa: E402
 from pyspark.sql import functions as F  # noqa: E402
 
 from tidemark.llm import best_fit, language_id, ngram_join, secrets, suffix_dedup  # noqa: E402
-from tidemark.llm.common import written  # noqa: E402
+from tidemark.llm.common import discard, written  # noqa: E402
 from tidemark.session import prepare  # noqa: E402
 
 REPEATED_BYTES = 240  # a little less than fifty words
@@ -74,5 +74,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the table ``documents``."""
     docs = prepare(spark).read.parquet(f"{sf_dir}/documents.parquet")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name)
+        earlier, docs = docs, written(stage(spark, docs, sf_dir), name)
+        discard(earlier)  # the given table is not one of ours and stays
     return docs
