@@ -99,7 +99,7 @@ def t05(spark, sf):
     stream = spark.readStream.schema(rows.schema).parquet(landing)
     SU.upsert(stream, book, f"{landing}-offsets")
     SU.merge_batch(rows, book)  # a repeated batch changes nothing
-    done = spark.read.parquet(book)
+    done = SU.read_ledger(spark, book)
     return rounded(done.select("row_id", "action", "reason", "hold_days", "pnl_net"))
 
 
