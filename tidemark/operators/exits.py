@@ -12,7 +12,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import RULES, Rules
-from . import series
+from ..session import materialize
+from . import intervals, series
 
 EXIT_TYPE = "struct<exit_date:date,reason:string,exit_price:double,pnl_pct:double,hold_days:int,exit_open:double>"
 
@@ -171,33 +172,21 @@ def final_close(open_positions: DataFrame, bars: DataFrame) -> DataFrame:
 def check_day(positions: DataFrame, bars: DataFrame, run_date: Column, rules: Rules = RULES) -> DataFrame:
     """The daily check of open positions against yesterday's complete bar, with no fallback to another bar.
 
-    ``positions`` have a unique ``row_id``. The result keeps positions whose check bar exists and lies at
+    ``bars`` needs ``rn`` and is read by several branches. The result keeps positions whose check bar exists and lies at
     least a day after the entry: ``reason`` is null while they are held, and ``unrealised`` is their open
     result. Earlier bars of the holding period, the entry day included, may have armed the stop.
     """
     check = F.date_sub(run_date, 1)
     held = positions.withColumn("check_date", check).filter(F.datediff("check_date", "entry_date") >= 1)
-    # a position still managed is at most ``stale_after_days`` old, so the days of its holding period
-    # make a bounded equi join with the bars
-    days = held.select(
-        "row_id", "symbol", "entry_price", "check_date",
-        F.explode(F.sequence("entry_date", F.when(
-            F.datediff("check_date", "entry_date") <= rules.stale_after_days, F.date_sub("check_date", 1),
-        ).otherwise(F.raise_error(F.lit("a position older than stale_after_days has to be closed before the daily check")).cast("date")))).alias("date"),
-    )
-    armed = (
-        days.join(bars.select("symbol", "date", "high"), ["symbol", "date"])
-        .groupBy("row_id")
-        .agg(F.max(F.col("high") >= levels(F.col("entry_price"), rules)["trigger"]).alias("armed"))
-    )
+    # the highest bar from the entry day to the day before the check, however long the position has been held
+    held = materialize(intervals.highest(bars, held, F.col("entry_date"), F.date_sub("check_date", 1), name="_high"))
     bar = bars.select("symbol", F.col("date").alias("check_date"), F.struct("date", "open", "high", "low", "close").alias("bar"))
     entry = F.col("entry_price")
-    joined = held.join(bar, ["symbol", "check_date"]).join(armed, "row_id", "left")
-    joined = joined.withColumn("armed", F.coalesce("armed", F.lit(False)))
     level = levels(entry, rules)
+    joined = held.join(bar, ["symbol", "check_date"]).withColumn("armed", F.coalesce(F.col("_high") >= level["trigger"], F.lit(False)))
     outcome = bar_exit(entry, F.col("entry_date"), F.col("bar"), F.col("armed"), level, rules)
     return joined.withColumn("_exit", outcome).select(
-        *held.columns, "armed", "_exit.*",
+        *[c for c in held.columns if c != "_high"], "armed", "_exit.*",
         F.when(F.col("_exit").isNull(), (F.col("bar.close") - entry) / entry).alias("unrealised"),
         level["target"].alias("target"),
         F.when(F.col("armed"), level["trigger"]).otherwise(level["stop"]).alias("effective_stop"),

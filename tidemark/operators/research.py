@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ..params import RULES, Rules
-from . import exits, metrics, series
+from . import exits, intervals, metrics, series
 
 TRADE_ORDER = ["exit_date", "symbol", "entry_date"]
 
@@ -53,6 +53,13 @@ def excursion(placed: DataFrame, days: int = 5) -> DataFrame:
     return placed.withColumn("mfe", best / F.col("entry_price") - 1)
 
 
+def excursion_over(positions: DataFrame, bars: DataFrame, days: int) -> DataFrame:
+    """``excursion`` over any number of days, by ordinals instead of paths. ``bars`` needs ``rn``."""
+    first, last = F.date_add("entry_date", 1), F.date_add("entry_date", days)
+    best = intervals.highest(bars, positions, first, last, name="_best")
+    return best.withColumn("mfe", F.col("_best") / F.col("entry_price") - 1).drop("_best")
+
+
 def excursion_summary(with_mfe: DataFrame) -> DataFrame:
     mfe = F.col("mfe")
     return with_mfe.agg(

@@ -84,6 +84,19 @@ def x04(spark, sf):
     return rounded(research.excursion_summary(research.excursion(inputs.placed(inputs.bars(spark, sf)))))
 
 
+part("mfe_long", ["pos", "bars"], """
+select p.symbol, p.entry_date, (select max(b.high) from bars b where b.symbol = p.symbol and b.date > p.entry_date and b.date <= p.entry_date + 250)/p.entry_price - 1 as mfe
+from pos p
+""")
+
+
+@query("x04_long_excursion", sql(f"select symbol, entry_date, {r('mfe')} as mfe from mfe_long", "mfe_long"))
+def x04_long(spark, sf):
+    """The best price within 250 days of every position."""
+    bars = materialize(inputs.bars(spark, sf))
+    return rounded(research.excursion_over(inputs.rsi_positions(bars), bars, 250).select("symbol", "entry_date", "mfe"))
+
+
 @query("x05_fill_audit", sql(f"""
 select count(*) as n, count(*) filter (exit_open < entry_price*(1+{d(0.015)})) as n_below,
   {r(f'avg(cast(exit_open < entry_price*(1+{d(0.015)}) as double))')} as share_below,
