@@ -298,6 +298,33 @@ def test_pages(spark, trees):
     assert html_extract.extract(spark.createDataFrame([], "page_id long, html string"), trees=trees).collect() == []
 
 
+PROBE = "<h1>On rivers</h1>" + "".join(
+    f"<p>Paragraph {k} speaks about rivers, stones and the green house on the hill; it goes on for a while, as texts do.</p>" for k in range(12))
+NAV = "<nav><ul><li><a href='/a'>Home</a></li><li><a href='/b'>News</a></li></ul></nav>"
+FOOT = "<footer><p>&copy; 2020 Somebody</p></footer>"
+CLASSES = ["with-sidebar", "overflow-hidden", "no-comments", "page-header-offset", "advertorial-free", "post", "has-comments nav-open"]
+
+
+def probes():
+    for c in CLASSES:
+        yield f"<html><head><title>t</title></head><body>{NAV}<article class='{c}'>{PROBE}</article>{FOOT}</body></html>"
+        yield f"<html><head><title>t</title></head><body class=\"{c}\">{NAV}<article>{PROBE}</article>{FOOT}</body></html>"
+        yield f"<html><head><title>t</title></head><body><div class={c.split()[0]}>{NAV}<article>{PROBE}</article>{FOOT}</div></body></html>"
+    yield f"<html><head><title>t</title><meta charset=utf-8>{NAV}<article>{PROBE}</article>{FOOT}"
+    yield f"<html><head><script>var a = '<p>no</p>'</script><style>p{{}}</style>{NAV}<article>{PROBE}</article>{FOOT}"
+    for tag in ("svg", "button", "select", "math", "object"):
+        yield f"<html><head></head><body>{NAV}<{tag}><article>{PROBE}</article>{FOOT}</body></html>"
+        yield f"<html><head></head><body>{NAV}<{tag}><article>{PROBE}</article><{tag}>x</{tag}>{FOOT}</body></html>"
+        yield f"<html><head></head><body>{NAV}<article>{PROBE.replace('</h1>', f'</h1><{tag}>x</{tag}>')}</article>{FOOT}</body></html>"
+    yield f"<html><body>{NAV}<article>{PROBE}<p hidden>gone</p><p class='hidden'>gone</p><p style='display: none'>gone</p></article>{FOOT}</body></html>"
+
+
+@pytest.mark.parametrize("page", list(probes()))
+def test_plain_pages_of_the_wild(trees, page):
+    want = " ".join(re.sub(r"<[^>]+>", " ", PROBE).split())
+    assert html_extract.main_texts([page], trees) == [want]
+
+
 def test_dense_postings_as_blocks_equal_pairs(spark, monkeypatch):
     """Near copies of one text that do not link with each other: found block by block as by comparing all, with rows that follow the members."""
     rnd = random.Random(9)

@@ -11,9 +11,14 @@ import numpy as np
 TOKEN = re.compile(
     r"""<!--.*?(?:--!?>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>"']++|"[^"]*+"|'[^']*+')*+)>|[^<]++|<""", re.S)
 ATTRIBUTE = re.compile(r"""(class|id|role|itemprop|aria-label|name)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s"'>]+))""", re.I)
-HIDDEN = re.compile(r"""\bhidden\b|display\s*:\s*none|visibility\s*:\s*hidden|aria-hidden\s*=\s*["']?true""", re.I)
-# their content is no text of the page, or no prose
-SKIPPED = frozenset("script style title noscript template textarea select button iframe object svg math head canvas audio video datalist".split())
+QUOTED = re.compile(r""""[^"]*"|'[^']*'""")
+HIDDEN = re.compile(r"""(?:^|\s)hidden(?=[\s=/]|$)""", re.I)  # the attribute, with values blanked out
+UNSEEN = re.compile(r"""style\s*=\s*(?:"[^"]*|'[^']*|\S*)(?:display\s*:\s*none|visibility\s*:\s*hidden)|aria-hidden\s*=\s*["']?true""", re.I)
+# their content is no text of the page, or no prose; a head holds nothing but some of these
+RAW = frozenset("script style title textarea iframe noscript template".split())
+SKIPPED = RAW | frozenset("select button object svg math canvas audio video datalist".split())
+# an element of SKIPPED without its end tag, or whose end tag stands behind one of these, ends where one of these begins
+OUTSIDE = re.compile(r"<(?=/?(?:article|aside|blockquote|body|footer|form|h[1-6]|header|main|nav|ol|p|section|table|ul)[\s>])", re.I)
 BREAKS = frozenset("br hr wbr".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 
@@ -33,9 +38,16 @@ TOKENS = (
     ("share", r"share|social|follow|twitter|facebook|tags?(?:$|[^a-z])|print|toolbar|button"),
     ("related", r"relat|recommend|more-|teaser|trending|popular|read-?next|also|latest"),
     ("content", r"content|article|post|entry|story|body|text|main|prose|page"),
-    ("hidden", r"hidden|sr-only|visually"))
+    ("hidden", r"(?!)"))  # set by attributes and whole classes
 TOKEN_PATTERNS = [re.compile(pattern, re.I) for _, pattern in TOKENS]
+# a class that says what a page or box has, lacks or does is none that says what it is: with-sidebar, no-comments, overflow-hidden
+MANNER = re.compile(r"(?:^|\s)(?:(?:no|not|has|have|with|without|is|hide|hides|show|shows|overflow|js|u)[-_]\S*|"
+                    r"\S*[-_](?:free|offset|enabled|disabled|visible|open|opened|closed|active|inactive|left|right|padding|margin|spacing|above|below|on|off))(?=\s|$)", re.I)
+UNSEEN_CLASS = re.compile(r"(?:^|\s)(?:hidden|sr-only|visually-?hidden|screen-reader-text)(?=\s|$)", re.I)
 WIDTH = len(TAGS) + len(TOKENS)
+AROUND = sum(1 << TAGS.index(t) for t in ("nav", "header", "footer", "aside", "form")) + sum(
+    1 << (len(TAGS) + k) for k, (t, _) in enumerate(TOKENS) if t != "content")
+WRAPS = 0.9  # of a page's text
 INLINE_CLOSED_BY = {"li": ("ul", "ol", "menu"), "dt": ("dl",), "dd": ("dl",), "tr": ("table",), "td": ("tr", "table"), "th": ("tr", "table")}
 PUNCTUATION = re.compile(r"[.,;:!?]")
 MARK = "\ue000"  # stands before the main text in training pages
@@ -51,10 +63,11 @@ def _bits(tag: str, attributes: str) -> int:
             _BITS.clear()
         bits = 1 << TAG_BITS.get(tag, TAG_BITS["div"])
         words = " ".join(a or b or c for _, a, b, c in ATTRIBUTE.findall(attributes))
+        told = MANNER.sub(" ", words)
         for k, pattern in enumerate(TOKEN_PATTERNS):
-            if pattern.search(words):
+            if pattern.search(told):
                 bits |= 1 << (len(TAGS) + k)
-        if HIDDEN.search(attributes):
+        if HIDDEN.search(QUOTED.sub("''", attributes)) or UNSEEN.search(attributes) or UNSEEN_CLASS.search(words):
             bits |= 1 << (WIDTH - 1)
         _BITS[key] = bits
     return _BITS[key]
@@ -77,7 +90,8 @@ class Tree:
 def parse(page: str) -> Tree:
     """The block tree of a page; broken markup gives some tree, never an error.
 
-    Inline elements only delimit link text. A paragraph, item, row or cell is closed by the next one; an end tag closes what is open inside
+    Inline elements only delimit link text. A head needs no end tag, as its elements are skipped one by one; an unclosed button, list of options
+    or drawing ends where a block begins. A paragraph, item, row or cell is closed by the next one; an end tag closes what is open inside
     its element, and one without an element is ignored. Character references are decoded, white space in a run becomes one space.
     """
     tree = Tree()
@@ -132,11 +146,15 @@ def parse(page: str) -> Tree:
             continue
         if name in SKIPPED:
             ending = re.compile(rf"</{name}(?=[\s/>])", re.I).search(page, at)
-            if name == "head":  # an unclosed head ends where the body begins
-                ending = re.compile(r"</head(?=[\s/>])|(?=<body[\s>])", re.I).search(page, at)
+            again = name not in RAW and ending and re.compile(rf"<{name}(?=[\s/>])", re.I).search(page, at, ending.start())
+            if name not in RAW and (ending is None or again or name in ("button", "select", "datalist")):
+                outside = OUTSIDE.search(page, at, ending.start() if ending else size)
+                if outside:
+                    at = outside.start()
+                    continue
             if not token[3].endswith("/") or name in ("script", "style"):
                 at = ending.end() if ending else size
-                after = TOKEN.match(page, ending.start()) if ending and ending[0] else None
+                after = TOKEN.match(page, ending.start()) if ending else None
                 at = after.end() if after else at
             continue
         if name in BREAKS:
@@ -171,12 +189,18 @@ def parse(page: str) -> Tree:
     flush()
     while stack:
         close()
+    # what a wrapper of nearly the whole page is called says nothing about what it holds
+    size = np.concatenate([[0], np.cumsum([len(x) for x in tree.text])])
+    within = (size[tree.end] - size[:-1]).tolist()
+    for k in range(1, len(tree.parent)):
+        if not tree.text[k] and within[k] >= WRAPS * size[-1]:
+            tree.bits[k] &= ~AROUND
+        p = tree.parent[k]
+        tree.above[k] = tree.above[p] | tree.bits[p]
     return tree
 
 
 NUMBERS = 22
-AROUND = sum(1 << TAGS.index(t) for t in ("nav", "header", "footer", "aside", "form")) + sum(
-    1 << (len(TAGS) + k) for k, (t, _) in enumerate(TOKENS) if t != "content")
 ARTICLE = 1 << TAGS.index("article") | 1 << (len(TAGS) + [t for t, _ in TOKENS].index("content"))
 FEATURES = NUMBERS + 2 * WIDTH
 

@@ -27,6 +27,9 @@ BOXES = {  # what stands around an article: opening tags by kind
     "comments": ['<section class="comments {}">', '<div id="comments"{}>', '<ol class="commentlist {}">', '<div class="discussion comments {}">', '<section id="responses"{}>'],
     "share": ['<div class="share {}">', '<ul class="social {}">', '<div class="toolbar share-buttons {}">'],
 }
+# classes that real pages set on the body, wrappers and articles without meaning these boxes
+MANNERS = ["with-sidebar", "has-sidebar", "no-comments", "overflow-hidden", "page-header-offset", "advertorial-free", "nav-open", "sidebar-left", "is-single",
+           "no-js", "theme-light", "hentry", "single-post"]
 ARTICLES = ['<article{}>', '<article{}>', '<main{}>', '<article class="post {}">', '<div class="content {}">', '<div id="content"{}>', '<div class="entry-content {}">',
             '<div class="article-body {}">', '<section class="story {}">', '<main><article{}>', '<main><div{}>', '<div{}>', '<td{}>']
 
@@ -54,6 +57,9 @@ def made_page(seed: int) -> tuple[str, str]:
 
     def opened(kind: str | list[str], inner: str) -> str:
         head = r.choice(BOXES[kind] if isinstance(kind, str) else kind).format("")
+        if not isinstance(kind, str) and odd(0.15):
+            manner = r.choice(MANNERS)
+            head = head.replace('class="', f'class="{manner} ', 1) if 'class="' in head else head.replace(">", f' class="{manner}">', 1)
         tags = [t.split()[0].strip("<>") for t in head.split("><")]
         return head + inner + "".join(f"</{t}>" for t in reversed(tags))
 
@@ -141,7 +147,10 @@ def made_page(seed: int) -> tuple[str, str]:
     if odd(0.25):
         article = f"<div class='{r.choice(('wrap', 'container', 'page', 'row', 'layout'))}'>{article}{around(last, 0.3)}</div>"
     body += article + around(last, 0.3) + (box("footer") if odd(0.85) else "")
-    page = f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{words(1, 8)}</title><style>p{{margin:0}}</style></head><body>{body}"
+    page = f"<!DOCTYPE html><html><head><meta charset='utf-8'><title>{words(1, 8)}</title><style>p{{margin:0}}</style>{'</head>' if odd(0.9) else ''}"
+    if odd(0.95):
+        page += f"<body class='{' '.join(r.sample(MANNERS, 2))}'>" if odd(0.2) else "<body>"
+    page += body
     return page + ("</body></html>" if odd(0.8) else ""), " ".join(" ".join(main).split())
 
 
