@@ -387,3 +387,11 @@ def test_one_row_of_equal_rows_with_maps(spark):
     rows = spark.createDataFrame([(1, "a b c d e f g", {"x": 1}), (1, "a b c d e f g", {"x": 2}), (2, "q r s t u v w", None)], "doc_id long, text string, m map<string,int>")
     got = ngram_join.one_per_class(rows, words=5, percent=80).collect()
     assert sorted((r.doc_id, r.m) for r in got) == [(1, {"x": 1}), (2, None)]
+
+
+def test_vectors_of_any_size(spark):
+    """Angles alone decide, from the smallest to the largest doubles; zero and non-finite vectors link with nothing."""
+    rows = [(1, [1e-150, 2e-150]), (2, [2e-150, 4e-150]), (3, [1e300, 2e300]), (4, [5e-324, 1e-323]), (5, [0.0, 0.0]), (6, [float("inf"), 1.0]), (7, [1.0, 2.0]), (8, [2.0, -1.0])]
+    df = spark.createDataFrame([(k, v, 0) for k, v in rows], "vec_id long, embedding array<double>, label int")
+    got = {r.vec_id: (r.n_links, r.component_id) for r in embedding_dedup.near_duplicates(df).collect()}
+    assert got == {k: (4, 1) for k in (1, 2, 3, 4, 7)} | {k: (0, k) for k in (5, 6, 8)}

@@ -78,7 +78,8 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
 
     Two vectors link when they have the same label and as many components and their cosine is at least ``threshold`` > 0. Rows whose
     label, vector or id is null, whose vector is empty, zero or holds a null or non-finite component link with nothing:
-    0 links, their own id as component, kept. Ids are unique; equal vectors (repeated rows too) are compared once and counted.
+    0 links, their own id as component, kept. Ids are unique integers; equal vectors (repeated rows too) are compared once and counted.
+    Components may be as large or small as doubles are.
 
     A label's distinct vectors are dealt by hash into blocks of about ``tile``; every two blocks of a label meet in one task, which
     returns per vector its number of links and the least id it is connected to there, so a dense group
@@ -86,10 +87,13 @@ def near_duplicates(vectors: DataFrame, id: str = "vec_id", vector: str = "embed
     """
     kinds = dict(vectors.dtypes)
     rows = vectors.select(vectors[id].alias("id"), vectors[vector].cast("array<double>").alias("v"), vectors[label].alias("label"))
-    square = F.aggregate("v", F.lit(0.0), lambda a, x: a + x * x)
-    whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(1e150)))
-    usable = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & whole & (square > 1e-290)
+    whole = F.forall("v", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < F.lit(float("inf"))))
+    usable = F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("v").isNotNull() & whole & F.exists("v", lambda x: x != 0)
     rows = rows.withColumn("ok", F.coalesce(usable, F.lit(False)))
+    # a power of two near the largest component changes no angle and keeps squares far from both ends of the doubles
+    largest = F.array_max(F.transform("v", lambda x: F.abs(x)))
+    rows = rows.withColumn("_by", F.when(F.col("ok"), F.pow(F.lit(2.0), F.floor(F.log2(largest)))))
+    rows = rows.withColumn("v", F.when(F.col("ok"), F.transform("v", lambda x: x / F.col("_by")))).drop("_by")
     rows = written(rows.withColumn("k1", F.when(F.col("ok"), F.xxhash64("label", "v")))
                    .withColumn("k2", F.when(F.col("ok"), F.xxhash64(F.lit(7), "v", "label"))), "vectors")
     distinct = (rows.where("ok").groupBy("k1", "k2")
