@@ -2,6 +2,7 @@
 
 import functools
 import hashlib
+import itertools
 import json
 import random
 import re
@@ -332,3 +333,17 @@ def test_merge_table_holds_the_whole_vocabulary():
     with open(WORDS) as file:
         vocabulary = json.load(file)["model"]["vocab"]
     assert np.frombuffer(merges([b"house"])[0], "<u4").tolist() == [vocabulary["house</w>"]]
+
+
+def test_the_language_sample_takes_each_text_once(spark):
+    """Copies of one text and rows without ids neither fill the sample nor the driver."""
+    rows = [(None, "the same old text again and again", "en")] * 400 + [(k, f"{a} {b} the house number {k}", "en") for k, (a, b) in enumerate(
+        itertools.product(("green", "blue", "old", "new", "tall"), ("trees", "rivers", "hills", "roads")))] + [(9, "ein altes haus", "de"), (9, None, "de")]
+    df = spark.createDataFrame(rows, "doc_id long, text string, lang string").repartition(3)
+    learned = language_id.learn(df, per_language=30)
+    assert list(learned) == ["en", "de"] and learned["de"] == b"ein altes haus"
+    lines = learned["en"].split(b"\n")
+    assert len(lines) == len(set(lines)) == 21
+    assert len(language_id.learn(df, per_language=5)["en"].split(b"\n")) == 5
+    long = spark.createDataFrame([(1, " ".join(f"w{k}" for k in range(3000)), "en")], "doc_id long, text string, lang string")
+    assert len(language_id.learn(long)["en"]) == language_id.PIECE_CHARS

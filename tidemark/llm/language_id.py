@@ -8,7 +8,7 @@ from collections.abc import Iterator
 import pyarrow as pa
 import regex
 import zstandard
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .common import slices
@@ -24,34 +24,38 @@ MIN_MARGIN = 0.004
 LEAST_BYTES = 64  # shorter texts often match no dictionary at all; they are not rejected for that
 
 
-def learn(docs: DataFrame, id: str = "doc_id", text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE,
+def learn(docs: DataFrame, text: str = "text", lang: str = "lang", per_language: int = PER_LANGUAGE,
           size: int = DICTIONARY_BYTES) -> dict[str, bytes]:
-    """Raw dictionary content per language, from a bounded sample: ``per_language`` documents, ``size`` bytes.
+    """Raw dictionary content per language, from a bounded sample: ``per_language`` distinct texts, ``size`` bytes.
 
-    The sample is the documents with the smallest hash of their id, so it does not depend on partitions or order. Rows
-    without a language or without a letter teach nothing. About 2 * per_language * PIECE_CHARS characters per
-    language reach the driver. With no labelled row at all the result is empty, and every prediction is "und".
+    The sample is the texts with the smallest hashes, each once however many copies it has, so it does not depend on ids, partitions or order.
+    A long text gives PIECE_CHARS characters from a place that its hash chooses. Rows without a language or without a letter teach
+    nothing; ids are not read. At most ``per_language`` pieces per language reach the driver. With no labelled row at all the result
+    is empty, and every prediction is "und".
     """
-    rows = docs.select(F.xxhash64(docs[id]).alias("h"), docs[lang].alias("lang"), docs[text].alias("value"))
+    rows = docs.select(F.xxhash64(docs[text]).alias("h"), docs[lang].alias("lang"), docs[text].alias("value"))
     rows = rows.where("lang is not null and value rlike '\\\\p{L}'")
-    counts = rows.groupBy("lang").count().limit(LANGUAGES + 1).collect()
+    counts = rows.groupBy("lang").agg(F.count("*").alias("count"), F.approx_count_distinct("h").alias("texts")).limit(LANGUAGES + 1).collect()
     if len(counts) > LANGUAGES:
         raise ValueError(f"more than {LANGUAGES} languages")
     if not counts:
         return {}
-    # about twice as many rows as wanted have a hash below this share; fewer than wanted happens once in e**-80 for 300
+    # about twice as many texts as wanted have a hash below this share; fewer than wanted happens once in e**-80 for 300
     shares = docs.sparkSession.createDataFrame(
-        [(r["lang"], min(1 << 31, int(2 * per_language / r["count"] * (1 << 31)) + 1)) for r in counts], "lang string, share long")
-    picked = (rows.join(F.broadcast(shares), "lang").where(F.pmod("h", F.lit(1 << 31)) < F.col("share"))
-              .select("lang", F.pmod("h", F.lit(1 << 31)).alias("h"), F.substring("value", 1, PIECE_CHARS).alias("piece")))
-    pieces: dict[str, list[tuple[int, str]]] = {}
-    for row in picked.collect():
-        pieces.setdefault(row["lang"], []).append((row["h"], row["piece"]))
+        [(r["lang"], min(1 << 31, int(2 * per_language / max(1, r["texts"]) * (1 << 31)) + 1)) for r in counts], "lang string, share long")
+    place = F.pmod(F.xxhash64("value", F.lit(5)), F.greatest(F.length("value") - PIECE_CHARS, F.lit(0)).cast("long") + 1).cast("int")
+    picked = (rows.join(F.broadcast(shares), "lang").withColumn("u", F.pmod("h", F.lit(1 << 31))).where("u < share")
+              .select("lang", "u", "h", F.substring(F.col("value"), place + 1, F.lit(PIECE_CHARS)).alias("piece"))
+              .groupBy("lang", "u", "h").agg(F.min("piece").alias("piece")))
+    first = Window.partitionBy("lang").orderBy("u", "h")
+    pieces: dict[str, list[tuple[int, int, str]]] = {}
+    for row in picked.withColumn("r", F.row_number().over(first)).where(F.col("r") <= per_language).collect():
+        pieces.setdefault(row["lang"], []).append((row["u"], row["h"], row["piece"]))
     out = {}
     for name in (r["lang"] for r in sorted(counts, key=lambda r: (-r["count"], r["lang"]))):
         found = pieces.get(name, [])
         parts, left = [], size
-        for _, piece in sorted(found)[:per_language]:
+        for _, _, piece in sorted(found):
             raw = piece.lower().encode()[:left]
             parts.append(raw)
             left -= len(raw)
