@@ -88,3 +88,19 @@ def test_a_reset_may_set_a_new_peak(spark):
     SB.drain(SS.latched_halt(spark.readStream.schema(schema).parquet(landing)), out, f"{out}-offsets")
     got = spark.read.schema(SS.HALT_OUT).parquet(out).orderBy("date").collect()
     assert [(r["halted"], r["peak"]) for r in got] == [(False, 10000.0), (True, 10000.0), (False, 8400.0), (False, 8400.0)]
+
+
+def test_positions_without_bars_go_stale(spark):
+    """A symbol falls silent while another goes on: its position leaves by a timer, once, and its state with it."""
+    landing, out = scratch_path(spark, "stale-bars"), scratch_path(spark, "stale-exits")
+    schema = "symbol string, date date, open double, high double, low double, close double, enter boolean"
+    start = dt.date(2024, 1, 1)
+    bar = lambda s, day, high=10.0, enter=False: (s, start + dt.timedelta(days=day), 10.0, high, 10.0, 10.0, enter)
+    batches = [[bar("A", 0, enter=True), bar("B", 0)], [bar("A", 1), bar("B", 100)], [bar("B", 179)], [bar("B", 190)], [bar("B", 200, enter=True)],
+               [bar("A", 201, 99.0)], [bar("B", 201, 99.0)]]
+    for rows in batches:
+        spark.createDataFrame(rows, schema).coalesce(1).write.mode("append").parquet(landing)
+        SB.drain(SS.position_exits(spark.readStream.schema(schema).parquet(landing)), out, f"{out}-offsets")
+    rows = sorted((r["symbol"], r["reason"], (r["entry_date"] - start).days, r["exit_price"]) for r in spark.read.schema(SS.EXIT_OUT).parquet(out).collect())
+    # A's bar of day 201 finds no position to settle
+    assert rows == [("A", SS.STALE, 0, None), ("B", "TP", 200, 10.3)]

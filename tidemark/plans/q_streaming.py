@@ -79,7 +79,7 @@ def t04(spark, sf):
     for part_of in (year < 1997, (year >= 1997) & (year < 1999), year >= 1999):
         marked.filter(part_of).write.mode("append").parquet(landing)
         SB.drain(SS.position_exits(spark.readStream.schema(marked.schema).parquet(landing)), out, f"{out}-offsets")
-    return show_exits(spark.read.schema(SS.EXIT_OUT).parquet(out))
+    return show_exits(spark.read.schema(SS.EXIT_OUT).parquet(out).filter(F.col("reason") != SS.STALE))
 
 
 @query("t05_ledger_upsert", sql(f"""

@@ -9,6 +9,7 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 
+STORE = "spark.sql.streaming.stateStore.providerClass"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -36,6 +37,9 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     if spark.conf.get(BATCH) == "10000":  # the default: rows of long texts would make batches of a gigabyte
         spark.conf.set(BATCH, "2000")
+    # streaming state on local disk with changelogs in the checkpoint, not on the heap; keyed operators with several variables need it
+    if "HDFSBackedStateStoreProvider" in spark.conf.get(STORE):
+        spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
     home = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     places = spark.sparkContext.environment.get("PYTHONPATH", "").split(os.pathsep)
     if home not in places:
