@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import ctypes
+import sys
 from collections.abc import Iterator
 
 import numpy as np
@@ -39,8 +41,16 @@ def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
 
+def release() -> None:
+    """Give memory that earlier work has freed back to the system: a worker lives on, and what it holds counts for its executor."""
+    pa.default_memory_pool().release_unused()
+    if sys.platform == "linux":
+        ctypes.CDLL(None).malloc_trim(0)
+
+
 def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20) -> Iterator[pa.RecordBatch]:
     """The same rows in slices of about ``most`` bytes of ``column``; one row is never cut."""
+    release()
     for batch in batches:
         if not batch.num_rows:
             continue
@@ -48,6 +58,7 @@ def slices(batches: Iterator[pa.RecordBatch], column: str, most: int = 4 << 20)
         starts = np.flatnonzero(np.diff(np.cumsum(sizes.astype(np.int64)) // most, prepend=-1))
         for start, end in zip(starts, [*starts[1:], len(sizes)], strict=True):
             yield batch.slice(int(start), int(end - start))
+    release()
 
 
 def classes(edges: DataFrame, name: str = "classes", rounds: int = 60) -> DataFrame:

@@ -16,7 +16,7 @@ from .linking import linked_classes, members_of
 from .windows import Hashes, mixed
 
 FRAGMENTS = 6
-TILE, TILE_GRAMS = 256, 1 << 18  # sets and n-grams of a block
+TILE, TILE_GRAMS = 128, 1 << 17  # sets and n-grams of a block
 BUCKET_BITS = 21  # counters of the frequency sketch: 8 MB, whatever the size of the corpus
 SPACE = np.zeros(256, bool)
 SPACE[[9, 10, 11, 12, 13, 32]] = True
