@@ -11,7 +11,6 @@ from pyspark.sql import DataFrame, SparkSession
 
 STORE = "spark.sql.streaming.stateStore.providerClass"
 BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
-BATCH_BYTES = "spark.sql.execution.arrow.maxBytesPerBatch"
 
 
 def build_session(app: str = "tidemark", master: str | None = None, **conf: str) -> SparkSession:
@@ -38,8 +37,6 @@ def prepare(spark: SparkSession) -> SparkSession:
     """
     if spark.conf.get(BATCH) == "10000":  # the default: rows of long texts would make batches of a gigabyte
         spark.conf.set(BATCH, "2000")
-    if spark.conf.get(BATCH_BYTES, None) in ("67108864b", "64m", "64MB"):  # the default; long rows are held several times over
-        spark.conf.set(BATCH_BYTES, "16m")
     # streaming state on local disk with changelogs in the checkpoint, not on the heap; keyed operators with several variables need it
     if "HDFSBackedStateStoreProvider" in spark.conf.get(STORE):
         spark.conf.set(STORE, "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
