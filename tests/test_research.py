@@ -79,3 +79,35 @@ def test_equity_sheet(spark):
     flat = [(r[0], 10000.0) for r in rows]
     none = metrics.equity_sheet(spark.createDataFrame(flat, "date date, balance double")).first()
     assert (none["sharpe"], none["calmar"], none["cagr"]) == (0.0, 0.0, 0.0)
+
+
+def test_bootstrap_moves_one_row_per_task_and_no_replicates(spark):
+    df = spark.range(1000).select(F.col("id"), F.col("id").cast("double").alias("v")).repartition(5)
+    plan = research.bootstrap_mean(df, "v", ["id"])._jdf.queryExecution().optimizedPlan().toString()
+    assert "MapInArrow" in plan and plan.index("MapInArrow") > plan.index("FlatMapGroupsInArrow")
+    assert "explode" not in plan[plan.index("MapInArrow"):]
+
+
+def test_bootstrap_weights_follow_the_md5_of_seed_replicate_and_key(spark):
+    import hashlib
+    import math
+
+    df = spark.createDataFrame([(1, None, 2.0), (2, "x", None), (3, "y", -1.5)], "id int, k string, v double")
+    steps = np.cumsum([math.exp(-1) / math.factorial(k) for k in range(18)])
+    means = []
+    for replicate in range(1, 41):
+        total, mass = 0.0, 0
+        for i, k, v in df.collect():
+            name = "|".join(str(x) for x in (42, replicate, i, k) if x is not None)
+            u = (int(hashlib.md5(name.encode()).hexdigest()[:13], 16) + 0.5) / 2**52
+            w = int((u > steps).sum())
+            total, mass = total + (v or 0.0) * w, mass + w
+        means += [total / mass] if mass else []
+    got = research.bootstrap_mean(df, "v", ["id", "k"], 40).first()
+    assert got["boot_mean"] == pytest.approx(np.mean(means))
+    assert got["low"] == pytest.approx(np.quantile(means, 0.025)) and got["high"] == pytest.approx(np.quantile(means, 0.975))
+
+
+def test_bootstrap_of_nothing_has_no_bounds(spark):
+    got = research.bootstrap_mean(spark.createDataFrame([], "id int, v double"), "v", ["id"]).first()
+    assert got.asDict() == {"low": None, "high": None, "boot_mean": None}

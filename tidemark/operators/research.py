@@ -2,8 +2,13 @@
 
 from __future__ import annotations
 
+import hashlib
+import itertools
 import math
+from collections.abc import Iterator
 
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -80,25 +85,57 @@ def fill_audit(closed: DataFrame, rules: Rules = RULES) -> DataFrame:
     )
 
 
+def _added(sums: np.ndarray, weights: np.ndarray) -> pa.Table:
+    return pa.table([pa.array([sums], pa.list_(pa.float64())), pa.array([weights], pa.list_(pa.int64()))], names=["sums", "weights"])
+
+
 def bootstrap_mean(values: DataFrame, value: str, key: list[str], replicates: int = 200, seed: int = 42) -> DataFrame:
-    """95 % interval of a mean. Every row gets a Poisson(1) weight per replicate, from the MD5 of its key, so
-    a replicate is one weighted aggregate and nothing is sampled on the driver. The (replicate, sum, weight)
-    partials are combined on the map side: the shuffle moves ``replicates`` rows per task.
+    """95 % interval of a mean. Every row gets a Poisson(1) weight per replicate, from the MD5 of its key, so nothing is sampled on
+    the driver and the result does not depend on the partitions.
+
+    A task keeps one vector of replicate sums and one of weights and adds its rows to them; the shuffle moves one row per task,
+    added up in 64 groups before the last one. A null value adds nothing to a sum but counts in the weight; an empty table has null bounds.
 
     Weights follow a 52-bit number; weights of 18 and more have less than one part in 2^52 and so no number that would give them.
     """
-    name = F.concat_ws("|", F.lit(str(seed)), F.col("replicate").cast("string"), *[F.col(c).cast("string") for c in key])
-    u = (F.conv(F.substring(F.md5(name.cast("binary")), 1, 13), 16, 10).cast("bigint") + 0.5) / F.lit(float(1 << 52))
-    weight, mass, total = F.lit(0), math.exp(-1), 0.0
-    for k in range(0, 18):
-        total += mass
-        weight = weight + F.when(F.col("_u") > total, 1).otherwise(0)
-        mass /= k + 1
-    draws = (
-        values.select(value, *key).withColumn("replicate", F.explode(F.sequence(F.lit(1), F.lit(replicates))))
-        .withColumn("_u", u).withColumn("_w", weight)
-    )
-    means = draws.groupBy("replicate").agg((F.sum(F.col(value) * F.col("_w")) / F.nullif(F.sum("_w"), F.lit(0))).alias("m"))
+    steps = np.array(list(itertools.accumulate(math.exp(-1) / math.factorial(k) for k in range(18))))
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        heads = [hashlib.md5(f"{seed}|{replicate}".encode()) for replicate in range(1, replicates + 1)]
+        sums, weights, rows = np.zeros(replicates), np.zeros(replicates, dtype=np.int64), 0
+
+        def drawn(tail: bytes) -> bytes:
+            out = []
+            for head in heads:
+                mixed = head.copy()
+                mixed.update(tail)
+                out.append(mixed.digest()[:8])
+            return b"".join(out)
+
+        for batch in batches:
+            rows += batch.num_rows
+            numbers = batch["value"].to_numpy(zero_copy_only=False).astype(float)
+            numbers = np.where(batch["value"].is_null().to_numpy(zero_copy_only=False), 0.0, numbers)
+            for at in range(0, batch.num_rows, 512):
+                tails = batch["tail"].slice(at, 512).to_pylist()
+                bits = np.frombuffer(b"".join(drawn(t.encode()) for t in tails), dtype=">u8").reshape(len(tails), replicates)
+                w = np.searchsorted(steps, ((bits >> np.uint64(12)).astype(float) + 0.5) / 2.0**52)
+                sums += numbers[at:at + 512] @ w
+                weights += w.sum(axis=0)
+        if rows:
+            yield from _added(sums, weights).to_batches()
+
+    def add(table: pa.Table) -> pa.Table:
+        both = [np.array(table[c].combine_chunks().flatten()).reshape(-1, replicates).sum(axis=0) for c in ("sums", "weights")]
+        return _added(*both)
+
+    vector = "sums array<double>, weights array<bigint>"
+    # the empty string in front gives every tail its separator, as many keys as are not null
+    tail = F.concat_ws("|", F.lit(""), *[F.col(c).cast("string") for c in key])
+    per_task = values.select(F.col(value).cast("double").alias("value"), tail.alias("tail")).mapInArrow(run, vector)
+    groups = per_task.withColumn("_g", F.pmod(F.spark_partition_id(), F.lit(64))).groupBy("_g").applyInArrow(add, vector)
+    drawn = groups.select(F.posexplode(F.arrays_zip("sums", "weights")).alias("replicate", "v"))
+    means = drawn.groupBy("replicate").agg((F.sum("v.sums") / F.nullif(F.sum("v.weights"), F.lit(0))).alias("m"))
     points = means.agg(F.percentile("m", F.array(F.lit(0.025), F.lit(0.975))).alias("q"), F.avg("m").alias("boot_mean"))
     return points.select(F.col("q")[0].alias("low"), F.col("q")[1].alias("high"), "boot_mean")
 
