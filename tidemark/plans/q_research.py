@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from ..functions import rolling as R
 from ..functions import scalars as S
-from ..operators import admission, ensembles, exits, indicators, ledger, metrics, research, series, training
+from ..operators import admission, ensembles, exits, indicators, ledger, metrics, research, series, training, windowed
 from ..params import FEATURES, RULES
 from ..session import materialize
 from . import inputs
@@ -282,6 +282,59 @@ def m03(spark, sf):
     return rounded(training.scale(clipped, training.scale_stats(clipped)).select("symbol", "date", *FEATURES))
 
 
+# every input of every window before a day, for windows that slide by one row
+part("sliding", ["fnum"], f"""
+select symbol, date, feature, fn, count(*) filter (known) over w as n,
+  quantile_cont(v, 0.01) filter (known) over w as lo, quantile_cont(v, 0.99) filter (known) over w as hi,
+  avg(v) filter (known) over w as mean, min(v) filter (known) over w as least, max(v) filter (known) over w as most,
+  stddev_pop(v) filter (known) over w as spread, list(v) filter (known) over w as held
+from (unpivot (select symbol, date, fn, target is not null as known, {", ".join(f"coalesce({c}, 0)::double as {c}" for c in FEATURES)} from fnum)
+      on {", ".join(FEATURES)} into name feature value v)
+window w as (partition by symbol, feature order by fn rows between 180 preceding and 1 preceding)""")
+part("cut", ["sliding"], """
+select symbol, date, feature, list_transform(held, lambda v: least(greatest(v, lo), hi)) as held from sliding where fn - 1 >= 80""")
+
+
+def _sliding(spark, sf):
+    return materialize(windowed.training_stats(materialize(full_features(spark, sf))))
+
+
+@query("a13_bounds_every_day", sql(f"select symbol, date, feature, {r('lo')} as lo, {r('hi')} as hi from sliding where fn - 1 >= 80", "sliding"))
+def a13_every_day(spark, sf):
+    return rounded(windowed.tall_stats(_sliding(spark, sf), ["lo", "hi"]))
+
+
+@query("a14_scale_every_day", sql(f"""
+select symbol, date, feature, {r('mean', 9)} as mean, {r('case when least = most then 1 else spread end', 7)} as std from sliding where fn - 1 >= 80""", "sliding"))
+def a14_every_day(spark, sf):
+    return rounded(windowed.tall_stats(_sliding(spark, sf), ["mean", "std"]), 9, std=7)
+
+
+@query("m03_fit_every_day", sql(f"""
+select symbol, date, feature, {r("list_aggregate(held, 'avg')", 9)} as fit_mean,
+  {r("case when list_min(held) = list_max(held) then 1 else list_aggregate(held, 'stddev_pop') end", 7)} as fit_std from cut""", "cut"))
+def m03_every_day(spark, sf):
+    """What scales a row that is scored by a model refitted on its day."""
+    return rounded(windowed.tall_stats(_sliding(spark, sf), ["fit_mean", "fit_std"]), 9, fit_std=7)
+
+
+@query("a16_weights_every_day", sql(f"""
+select symbol, date, n, n_up, {r('n/(2.0::double*nullif(n - n_up, 0))')} as weight_down, {r('n/(2.0::double*nullif(n_up, 0))')} as weight_up
+from (select symbol, date, fn, count(target) over w as n, (sum(target) over w)::bigint as n_up from fnum
+      window w as (partition by symbol order by fn rows between 180 preceding and 1 preceding)) where fn - 1 >= 80""", "fnum"))
+def a16_every_day(spark, sf):
+    return rounded(_sliding(spark, sf).select("symbol", "date", "n", "n_up", "weight_down", "weight_up"))
+
+
+@query("w07_year_quartiles", sql(f"""
+select symbol, date, {", ".join(r(f"case when count(atr_pct) over w = 250 then quantile_cont(atr_pct, {q}) over w end") + f" as q{int(q * 100)}" for q in (0.25, 0.75))}
+from atr window w as (partition by symbol order by date rows between 249 preceding and current row)""", "atr"))
+def w07_year(spark, sf):
+    """Quartiles of the volatility over a year of bars, where sorting each frame would cost 250 values a row."""
+    atr = materialize(indicators.blocked(inputs.bars(spark, sf), indicators.ATR_HALO, 0, indicators.add_atr))
+    return rounded(windowed.quantiles(atr, "atr_pct", 250, {"q25": 0.25, "q75": 0.75}).select("symbol", "date", "q25", "q75"))
+
+
 def _cutoff(features):
     """The last feature date: one value, which a fit needs on the driver."""
     return features.agg(F.max("date")).first()[0]
