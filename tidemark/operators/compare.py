@@ -33,10 +33,11 @@ def without_trade(signals: DataFrame, trades: DataFrame) -> DataFrame:
 
 
 def reconstruct(entries: DataFrame, bars: DataFrame, rules: Rules = RULES) -> DataFrame:
-    """The exit the rules give for each entry (symbol, entry_date, entry_price, ...)."""
+    """The exit the rules give for each entry (symbol, entry_date, entry_price, ...). ``bars`` may carry their paths already."""
     taken = [c for c in ("entry_high", "path", "exit_date", "exit_price", "pnl_pct", "hold_days", "exit_open", "reason")
              if c in entries.columns]
-    return exits.first_exit(exits.at_entry(entries.drop(*taken), exits.with_path(bars, rules.max_hold)), rules)
+    paths = bars if "path" in bars.columns else exits.with_path(bars, rules.max_hold)
+    return exits.first_exit(exits.at_entry(entries.drop(*taken), paths), rules)
 
 
 def fidelity(recorded: DataFrame, bars: DataFrame, rules: Rules = RULES, strict: bool = False) -> DataFrame:

@@ -9,9 +9,10 @@ from pyspark.sql import functions as F
 from ..functions import scalars as S
 from ..operators import admission, exits, flow, ledger, sentiment, series
 from ..params import RULES
-from ..session import materialize
+from ..session import materialize, scratch_path
+from ..sources import bucketed
 from . import inputs
-from .registry import query
+from .registry import SQL, query
 from .sqlparts import d, exits_parts, part, r, sql
 
 EXIT_COLUMNS = ["exit_price", "pnl_pct", "entry_price"]
@@ -370,3 +371,59 @@ def e09(spark, sf):
     bars = materialize(inputs.bars(spark, sf))
     held = exits.check_day(_held(bars), bars, F.col("run_date")).filter(F.col("reason").isNull())
     return held.select("symbol", "entry_date", S.presented("unrealised", 9).alias("unrealised"))
+
+
+# ---- joins where the rows lie ----
+
+
+def kept(df, name, keys):
+    """A table in buckets of ``keys``, under a name of this run."""
+    spark = df.sparkSession
+    path = scratch_path(spark, name)
+    return bucketed.save(df, path.rsplit("/", 1)[1].replace("-", "_"), keys, buckets(spark), path)
+
+
+def buckets(spark):
+    return int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+@query("j02_signal_with_trade_buckets", lambda: SQL["j02_signal_with_trade"]())
+def j02_buckets(spark, sf):
+    from ..operators import compare
+
+    bars = materialize(inputs.bars(spark, sf))
+    trades = kept(exits.resolved(inputs.exited(bars)).drop("path").withColumnRenamed("entry_date", "date"), "trades", ["symbol", "date"])
+    signals = kept(inputs.entry_signals(bars), "signals", ["symbol", "date"])
+    matched = compare.first_trade(signals, trades)
+    return matched.select("date", "symbol", "reason", S.presented("pnl_pct", 9).alias("pnl_pct"))
+
+
+@query("j06_on_live_keys_buckets", lambda: SQL["j06_on_live_keys"]())
+def j06_buckets(spark, sf):
+    from ..operators import compare
+
+    trades = materialize(inputs.trades(inputs.bars(spark, sf)).drop("path"))
+    keys = ["symbol", "entry_date"]
+    live = kept(inputs.live_trades(trades), "live", keys)
+    return compare.on_keys(kept(trades, "replayed", keys), live).select("symbol", "entry_date", "reason")
+
+
+@query("j09_fidelity_buckets", lambda: SQL["j09_recorded_vs_reconstructed"]())
+def j09_buckets(spark, sf):
+    from ..operators import compare
+
+    bars = materialize(inputs.bars(spark, sf))
+    recorded = kept(inputs.live_trades(inputs.trades(bars)).drop("path"), "recorded", ["symbol", "entry_date"])
+    paths = kept(exits.with_path(bars), "paths", ["symbol", "date"])
+    return compare.fidelity(recorded, paths).select("symbol", "entry_date", "recorded", "reconstructed", "matches")
+
+
+@query("s11_results_side_by_side", sql("""
+select symbol, entry_date, reason as base, case when ofi > 0 then reason end as other from trades""", "trades"))
+def s11_buckets(spark, sf):
+    trades = materialize(inputs.trades(inputs.bars(spark, sf)).drop("path"))
+    keys, path = ["symbol", "entry_date"], scratch_path(spark, "results")
+    name = path.rsplit("/", 1)[1].replace("-", "_")
+    for gate in (False, True, False):  # a rerun replaces its own configuration only
+        bucketed.replace_results(trades.filter("ofi > 0") if gate else trades, name, "venue", gate, keys, buckets(spark), path)
+    return bucketed.side_by_side(name, spark, "venue", "venue_ofi", keys, "reason")
