@@ -569,6 +569,18 @@ def k02(spark, sf):
     return admission.ranked(inputs.candidates(inputs.bars(spark, sf)), RULES.max_positions).select("date", "symbol", "prob", "rank")
 
 
+@query("k02_ranked_of_many", sql("""
+select date, symbol, prob, row_number() over (partition by date order by prob desc, symbol) as rank from (
+  select cast(l_shipdate as date) as date, cast(l_suppkey as varchar) as symbol, (sum(l_quantity::bigint) % 100)/100.0::double as prob from lineitem group by 1, 2)
+qualify rank <= 3"""))
+def k02_many(spark, sf):
+    """Candidates of as many symbols as there are suppliers: most of them fall to the cut."""
+    lines = table(spark, sf, "lineitem").select(F.to_date("l_shipdate").alias("date"), F.col("l_suppkey").cast("string").alias("symbol"), "l_quantity")
+    sums = lines.groupBy("date", "symbol").agg(F.sum(F.col("l_quantity").cast("bigint")).alias("n"))
+    cands = sums.select("date", "symbol", ((F.col("n") % 100) / F.lit(100.0)).alias("prob"))
+    return admission.ranked(cands, RULES.max_positions).select("date", "symbol", "prob", "rank")
+
+
 @query("k03_last_training_rows", sql("select symbol, date, back from trainable where back <= 180", "trainable"))
 def k03(spark, sf):
     return training.training_window(full_features(spark, sf)).select("symbol", "date", "back")

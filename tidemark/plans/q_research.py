@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import itertools
 import math
+from dataclasses import replace
 
 from pyspark.sql import functions as F
 
@@ -487,11 +488,70 @@ left join (select symbol, cutoff, avg(((round(rf, 9) > 0.5)::int = target)::int)
   from st_up where w = 0 group by 1, 2) h on h.symbol = r.symbol and h.cutoff = r.date""", "fnum", "result_days", "st_up"))
 def m07_one_split(spark, sf):
     """Probabilities, accuracies and the top input of models of one tree with one split, at the end of every quarter."""
+    rows = _one_split(spark, sf)[1]
+    return rounded(rows.withColumn("top_feature", F.get("top_features", F.lit(0))).drop("top_features"))
+
+
+def _one_split(spark, sf):
+    """(features, results at the end of every quarter) of models of one tree with one split."""
     features = full_features(spark, sf)
     features = materialize(features.withColumns({c: F.round(F.col(c).cast("double"), 6) for c in FEATURES}))
-    rows = ensembles.signals(features, _quarter_ends(features), ensembles.Forest(trees=1, depth=1, offered=len(FEATURES), bootstrap=False),
-                             ensembles.Booster(rounds=1, depth=1, rows=1.0, columns=1.0))
-    return rounded(rows.withColumn("top_feature", F.get("top_features", F.lit(0))).drop("top_features"))
+    return features, ensembles.signals(features, _quarter_ends(features), ensembles.Forest(trees=1, depth=1, offered=len(FEATURES), bootstrap=False),
+                                       ensembles.Booster(rounds=1, depth=1, rows=1.0, columns=1.0))
+
+
+part("st_results", ["fnum", "result_days", "st_up"], """
+select r.symbol, r.date, r.fn <= 80 as insufficient, (t.rf + t.xgb)/2 as prob, t.top, h.rf as rf_accuracy, h.xgb as xgb_accuracy, h.n
+from (select symbol, date, fn from fnum join result_days using (date)) r
+left join (select * from st_up where w = 1) t on t.symbol = r.symbol and t.cutoff = r.date
+left join (select symbol, cutoff, avg(((round(rf, 9) > 0.5)::int = target)::int) as rf, avg(((round(xgb, 9) > 0.5)::int = target)::int) as xgb, count(*) as n
+  from st_up where w = 0 group by 1, 2) h on h.symbol = r.symbol and h.cutoff = r.date""")
+
+
+@query("a15_model_accuracy", sql(f"""
+select symbol, count(*) as models, {r('avg(rf_accuracy)')} as rf_accuracy, {r('avg(xgb_accuracy)')} as xgb_accuracy, {r('max(rf_accuracy)')} as rf_best
+from st_results where not insufficient group by 1""", "st_results"))
+def a15_models(spark, sf):
+    """Accuracy of the symbols' models on the rows they were fitted without, over all quarters."""
+    known = _one_split(spark, sf)[1].filter(~F.col("insufficient"))
+    return rounded(known.groupBy("symbol").agg(
+        F.count(F.lit(1)).alias("models"), F.avg("rf_accuracy").alias("rf_accuracy"), F.avg("xgb_accuracy").alias("xgb_accuracy"),
+        F.max("rf_accuracy").alias("rf_best")))
+
+
+@query("k05_model_inputs", sql(f"""
+select ([{', '.join(f"'{c}'" for c in FEATURES)}])[top + 1] as feature, count(*) as models, count(distinct symbol) as symbols
+from st_results where top is not null group by 1""", "st_results"))
+def k05_models(spark, sf):
+    """The inputs that rank first in the symbols' models, with the number of models each one leads."""
+    split = _one_split(spark, sf)[1].filter("size(top_features) > 0")
+    return split.groupBy(F.get("top_features", F.lit(0)).alias("feature")).agg(
+        F.count(F.lit(1)).alias("models"), F.countDistinct("symbol").alias("symbols"))
+
+
+@query("m09_model_scores", sql(f"""
+select f.symbol, f.date, s.date as scored_on, {r('s.prob')} as prob from fnum f asof left join
+  (select symbol, date, coalesce(prob, 0) as prob from st_results) s on s.symbol = f.symbol and s.date <= f.date
+where s.date is null or f.date - s.date < 60
+union all select f.symbol, f.date, null, null from fnum f asof join (select symbol, date from st_results) s on s.symbol = f.symbol and s.date <= f.date
+where f.date - s.date >= 60""", "fnum", "st_results"))
+def m09_models(spark, sf):
+    """Model scores of quarter ends, each used for less than 60 days."""
+    features, rows = _one_split(spark, sf)
+    scores = materialize(rows.select("symbol", "date", F.col("ensemble_prob").alias("prob")))
+    return rounded(training.reuse_scores(features.select("symbol", "date"), scores, within=60))
+
+
+@query("m10_model_history", sql(f"""
+select f.symbol, f.date, {r('coalesce(s.prob, 0)')} as prob, coalesce(s.prob >= 0.5, false) as signal
+from fnum f join result_days using (date) left join st_results s on s.symbol = f.symbol and s.date = f.date and not s.insufficient""",
+    "fnum", "result_days", "st_results"))
+def m10_models(spark, sf):
+    """Quarter ends with the model's score where there was history enough for a model, else probability 0 and no signal."""
+    features, rows = _one_split(spark, sf)
+    scores = rows.filter(~F.col("insufficient")).select("symbol", "date", F.col("ensemble_prob").alias("prob"))
+    found = training.with_insufficient(_quarter_ends(features), scores, replace(RULES, signal_threshold=0.5))
+    return rounded(found)
 
 
 @query("m12_signal_chain")
