@@ -120,6 +120,48 @@ def test_spot_classes(table, texts, empty):
     assert spot_signatures.near_duplicates(spot_signatures.fingerprints(empty)).collect() == []
 
 
+def test_spot_classes_of_crowds_and_shared_ids(spark):
+    """Crowded postings are compared as blocks with the result of all pairs; ids of several texts join their classes."""
+    rnd = random.Random(5)
+    words = [f"word{k}" for k in range(900)]
+    base = " ".join(f"the {rnd.choice(words)} {rnd.choice(words)}" for _ in range(60)).split()
+    rows = []
+    for k in range(220):  # near copies, some linked with each other, most not
+        own = list(base)
+        for at in rnd.sample(range(len(own)), rnd.choice((0, 3, 12, 25))):
+            own[at] = rnd.choice(words)
+        rows.append((k, " ".join(own)))
+    prints = spot_signatures.fingerprints(spark.createDataFrame(rows, "doc_id long, text string").repartition(4)).cache()
+    sets = {r.doc_id: set(np.frombuffer(r.fingerprint, ">u4").tolist()) for r in prints.collect()}
+    links = [(a, b) for a, b in itertools.combinations(sorted(sets), 2) if 100 * len(sets[a] & sets[b]) >= 80 * len(sets[a] | sets[b])]
+    got = {r.doc_id: r.component_id for r in spot_signatures.near_duplicates(prints).collect()}
+    assert got == plain_classes(sets, links)
+    prints.unpersist()
+    one, two, other = " ".join(base), " ".join(f"of {w}" for w in words[:80]), " ".join(f"is {w}" for w in words[100:180])
+    rows = [(4, one), (9, one), (9, two), (2, two), (None, two), (7, other), (7, other), (5, None), (6, ""), (5, "")]
+    got = spot_signatures.near_duplicates(spot_signatures.fingerprints(spark.createDataFrame(rows, "doc_id long, text string"))).collect()
+    assert sorted(map(tuple, got), key=str) == sorted(
+        [(4, 2), (9, 2), (9, 2), (2, 2), (None, None), (7, 7), (7, 7), (5, 5), (6, 6), (5, 5)], key=str)
+
+
+def test_edits_with_classes(spark, table, texts, empty):
+    """The comparison with edits is the same with classes beside it, and the classes are those of the fingerprints alone."""
+    rows = {r.doc_id: r for r in spot_signatures.with_classes(table).collect()}
+    plain = {r.doc_id: r for r in spot_signatures.against_edits(table).collect()}
+    classes = {r.doc_id: r.component_id for r in spot_signatures.near_duplicates(spot_signatures.fingerprints(table)).collect()}
+    assert {k: r.component_id for k, r in rows.items()} == classes and any(k != c for k, c in classes.items())
+    assert {k: tuple(r)[:-1] for k, r in rows.items()} == {k: tuple(r) for k, r in plain.items()}
+    assert spot_signatures.with_classes(empty).collect() == []
+    text = "the old house of the green river bank is not far and the tall trees are here"
+    odd = [(3, text, 1), (8, text, 2), (8, text, 3), (None, text, 4), (None, None, 5), (11, "", 6), (12, None, 7), (1, text + " now", 8)]
+    odd = spark.createDataFrame(odd, "doc_id int, text string, component_id int").repartition(3)
+    got = sorted(((r.doc_id, r.n_chars, r.component_id) for r in spot_signatures.with_classes(odd).collect()), key=str)
+    n = len(text)
+    a, b = (set(x.tolist()) for x in spot_signatures.Spots()([text, text + " now"]))
+    least = 1 if 100 * len(a & b) >= 80 * len(a | b) else 3
+    assert got == sorted([(3, n, least), (8, n, least), (8, n, least), (None, n, None), (None, 0, None), (11, 0, 11), (12, 0, 12), (1, n + 4, 1)], key=str)
+
+
 def test_suffix_array_and_prefixes():
     rnd = random.Random(3)
     for _ in range(150):

@@ -221,7 +221,7 @@ def overlaps(a: tuple, b: tuple, rows: int, columns: int) -> np.ndarray:
     return total
 
 
-def _tiles(crowded: DataFrame, parts: DataFrame, percent: int, kind: str, spare: list) -> DataFrame:
+def crowd_links(crowded: DataFrame, parts: DataFrame, percent: int, kind: str, spare: list) -> DataFrame:
     """Links (a, b) that connect all that link among the members (key, node, n) of each key.
 
     A key's members are dealt by hash into blocks of about TILE sets and TILE_GRAMS n-grams; every two blocks meet in one task, which
@@ -314,7 +314,7 @@ def join(docs: DataFrame, words: int = 5, percent: int = 80, id: str = "doc_id",
     def dense(crowded: DataFrame) -> DataFrame:
         parts = segments_of(crowded.select("node").distinct())
         # rows that share an id bring a fragment more than once
-        return _tiles(crowded, parts.groupBy("node", "fragment").agg(F.max("segment").alias("segment")), percent, kind, spare)
+        return crowd_links(crowded, parts.groupBy("node", "fragment").agg(F.max("segment").alias("segment")), percent, kind, spare)
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = nodes.select("node", "n", "rare")

@@ -68,9 +68,9 @@ def op2(spark, sf_dir):
 
 @query("op3_spot_signatures")
 def op3(spark, sf_dir):
-    found = spot_signatures.against_edits(table(spark, sf_dir, "documents"))
+    found = spot_signatures.with_classes(table(spark, sf_dir, "documents"))
     return found.select("doc_id", "n_chars", "edited_sha256", F.lower(F.hex("fingerprint")).alias("fingerprint"),
-                        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next")
+                        F.lower(F.hex("edited_fingerprint")).alias("edited_fingerprint"), "near_edited", "near_next", "component_id")
 
 
 @query("op4_suffix_dedup")

@@ -13,8 +13,9 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import partitions, slices, written
+from .common import classes, discard, partitions, slices, written
 from .linking import linked_classes, members_of
+from .ngram_join import crowd_links
 
 # fixed values: common words of English, German, French and Spanish that open a spot
 ANCHORS = frozenset((
@@ -136,11 +137,12 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     """One row per row of ``fingerprints``: ``id``, component_id, the smallest id reachable by links.
 
     Two documents link when the Jaccard similarity of their signatures is ``percent`` or more; equal fingerprints are one node, empty ones
-    link with nothing, rows without an id have no component, rows that share an id are one node.
+    link with nothing, rows without an id have no component, rows that share an id are one node. ``prints`` is read twice and had better be written.
 
     Sizes are cut into partitions, each ``100 / percent`` times as long as the one before: a set is posted under its own partition and, as
     the larger side, looked up in the one below too, so sets of incompatible length never meet. Within one, sets meet under the rarest of
-    their signatures (by hash), as many as a link needs, and pairs that may link are compared whole.
+    their signatures (by hash), as many as a link needs, and pairs that may link are compared whole; what is left of crowded postings is
+    compared block by block, without a row per pair.
     """
     kind = dict(prints.dtypes)[id]
     sets = prints.where(F.col("size") > 0).where(prints[id].isNotNull())
@@ -148,7 +150,7 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     step = float(np.log(100 / percent))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in slices(batches, "fingerprint", 1 << 20):
             row, key, rank, index = [], [], [], []
             for number, (raw, n) in enumerate(zip(batch["fingerprint"].to_pylist(), batch["n"].to_pylist(), strict=True)):
                 sigs = np.frombuffer(raw, ">u4").astype(np.uint64)
@@ -169,6 +171,18 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     postings = nodes.select("fingerprint", "node", "n").mapInArrow(
         post, f"key long, node {kind}, n int, rank int, index boolean").withColumn("n", F.col("n").cast("long"))
     members = members_of(postings, "spots")
+    spare = [nodes, members]
+
+    def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "fingerprint", 1 << 20):
+            own = [np.frombuffer(raw, ">u4").astype(np.int64) for raw in batch["fingerprint"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([0] * len(own), pa.int32()), pa.array(own, pa.list_(pa.int64()))],
+                                             names=["node", "fragment", "segment"])
+
+    def dense(crowded: DataFrame) -> DataFrame:
+        asked = nodes.join(crowded.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("fingerprint").alias("fingerprint"))
+        parts = asked.select("node", "fingerprint").mapInArrow(unpacked, f"node {kind}, fragment int, segment array<long>")
+        return crowd_links(crowded, parts, percent, kind, spare)
 
     def verify(pairs: DataFrame) -> DataFrame:
         side = nodes.select("node", "fingerprint")
@@ -183,10 +197,19 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
 
         return both.mapInArrow(compare, f"a {kind}, b {kind}")
 
-    roots = linked_classes(members, percent, verify, "spots")
+    roots = linked_classes(members, percent, verify, "spots", dense=dense)
     rooted = nodes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("root"))
-    return (prints.join(rooted, "fingerprint", "left")
-            .select(prints[id], F.when(prints[id].isNotNull(), F.coalesce("root", prints[id])).alias("component_id")))
+    result = written(prints.select(F.col(id).alias("key"), "fingerprint").join(rooted, "fingerprint", "left").select(
+        F.col("key").alias(id), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id")), "spot-classes")
+    discard(*spare, roots)
+    low, high = F.min("component_id"), F.max("component_id")
+    if result.where(F.col(id).isNotNull()).groupBy(id).agg((low != high).alias("split")).where("split").isEmpty():
+        return result
+    # texts that share an id belong to several classes: those are one
+    one = classes(result.where(F.col(id) != F.col("component_id")).select(F.col(id).alias("a"), F.col("component_id").alias("b")), "shared-ids")
+    joined = written(result.join(one.toDF(id, "root"), id, "left").select(id, F.coalesce("root", "component_id").alias("component_id")), "spot-classes")
+    discard(result, one)
+    return joined
 
 
 RESULT = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerprint binary, near_edited double, near_next double"
@@ -218,41 +241,59 @@ def _ranges(docs: DataFrame, key: str, number: int):
     return place(F.coalesce(F.col(key), F.lit(-(1 << 63))))
 
 
-def against_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> DataFrame:
+def against_edits(docs: DataFrame, id: str = "doc_id", text: str = "text", groups: DataFrame | None = None) -> DataFrame:
     """Per document: ``id`` and RESULT, each fingerprint compared with that of the edited text and of the next document.
 
     The edited text has its last floor(n / 4) characters replaced by the first as many, or all, of the next document, by ascending id
     (nulls first, equal ids by text); the last document's next is the first. Null texts are empty; a single document is its own next.
-    Ids are whole numbers.
+    Ids are whole numbers. With ``groups`` (``id``, component_id; one row at most per id) component_id follows: that of the id, or the id itself.
 
     Documents are dealt by ranges of ids and read in order, each meeting the next one of its range. The last document of each range
-    meets the first of the range after it in a second, small step, for which only those are read.
+    meets the first of the range after it in a second, small step, for which only those are read. Groups travel with the documents: the row of an id
+    comes right before its texts, so neither texts nor fingerprints are shuffled for them.
     """
     kind = dict(docs.dtypes)[id]
     number = 2 * partitions(docs.sparkSession)
     rows = docs.select(docs[id].cast("long").alias("key"), F.coalesce(docs[text], F.lit("")).alias("value"))
-    ranged = rows.withColumn("range", _ranges(rows.select("key"), "key", number))
-    order = [F.col("range"), F.col("key").asc_nulls_first(), F.col("value")]
-    dealt = ranged.repartition(number, "range").sortWithinPartitions(*order)
+    place = _ranges(rows.select("key"), "key", number)
+    ranged = rows.withColumn("range", place)
+    order = [F.col("range"), F.col("key").asc_nulls_first(), F.col("value").asc_nulls_first()]
+    given = groups
+    if groups is None:
+        groups = docs.sparkSession.createDataFrame([], "key long, component_id long")
+    else:
+        groups = groups.where(groups[id].isNotNull()).select(groups[id].cast("long").alias("key"), F.col("component_id").cast("long"))
+    dealt = ranged.withColumn("component_id", F.lit(None).cast("long")).unionByName(
+        groups.withColumns({"value": F.lit(None).cast("string"), "range": place}))
+    dealt = dealt.repartition(number, "range").sortWithinPartitions(*order)
     names = [f.split()[0] for f in RESULT.split(", ")]
     kinds = (pa.int64(), pa.string(), pa.binary(), pa.binary(), pa.float64(), pa.float64())
 
-    def results(keys: pa.Array, found: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([keys, *(pa.array([r[i] for r in found], k) for i, k in enumerate(kinds))], names=["key", *names])
+    def results(part: pa.RecordBatch, found: list[tuple]) -> pa.RecordBatch:
+        own = (pa.array([r[i] for r in found], k) for i, k in enumerate(kinds))
+        return pa.RecordBatch.from_arrays([part["key"], part["component_id"], *own], names=["key", "component_id", *names])
 
     def inside(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held = None
+        held, known = None, {}
         for part in slices(batches, "value", 2 << 20):
+            named = part.filter(part["value"].is_null())
+            if named.num_rows:  # of the groups before, only the last may have texts still to come
+                known = dict([*list(known.items())[-1:], *zip(named["key"].to_pylist(), named["component_id"].to_pylist(), strict=True)])
+                part = part.filter(part["value"].is_valid())
+                if not part.num_rows:
+                    continue
+            component = pa.array([known.get(k, k) for k in part["key"].to_pylist()], pa.int64())
+            part = pa.RecordBatch.from_arrays([part["key"], part["value"], part["range"], component], names=["key", "value", "range", "component_id"])
             both = part if held is None else pa.Table.from_batches([held, part]).combine_chunks().to_batches()[0]
             texts, ranges = both["value"].to_pylist(), both["range"].to_numpy()
             pairs = np.flatnonzero(ranges[1:] == ranges[:-1]).tolist()
             if pairs:
-                yield results(both["key"].take(pa.array(pairs)), _compared([texts[k] for k in pairs], [texts[k + 1] for k in pairs]))
+                yield results(both.take(pa.array(pairs)), _compared([texts[k] for k in pairs], [texts[k + 1] for k in pairs]))
             held = both.slice(both.num_rows - 1)
 
     def between(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for part in slices(batches, "value"):
-            yield results(part["key"], _compared(part["value"].to_pylist(), part["after"].to_pylist()))
+            yield results(part, _compared(part["value"].to_pylist(), part["after"].to_pylist()))
 
     # first and last of each range: by id alone, then by text among equal ids
     ids = ranged.select("range", "key").groupBy("range").agg(F.min("key").alias("lo"), F.max("key").alias("hi")).orderBy("range").collect()
@@ -265,7 +306,18 @@ def against_edits(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Da
     turn = [r["range"] for r in ids]
     follows = spark.createDataFrame(list(zip(turn, [*turn[1:], *turn[:1]], strict=True)), "range int, then int")
     after = ends.select(F.col("range").alias("then"), F.col("first.value").alias("after"))
-    lasts = (ends.join(F.broadcast(follows), "range").join(after, "then").select("last.*", "after")
-             .mapInArrow(between, f"key long, {RESULT}"))
-    found = dealt.mapInArrow(inside, f"key long, {RESULT}").unionByName(lasts)
-    return found.select(F.col("key").cast(kind).alias(id), *names)
+    lasts = ends.join(F.broadcast(follows), "range").join(after, "then").select("last.*", "after").join(groups, "key", "left")
+    lasts = lasts.withColumn("component_id", F.coalesce("component_id", "key"))
+    schema = f"key long, component_id long, {RESULT}"
+    found = dealt.mapInArrow(inside, schema).unionByName(lasts.mapInArrow(between, schema))
+    own = [] if given is None else [F.col("component_id").cast(kind)]
+    return found.select(F.col("key").cast(kind).alias(id), *names, *own)
+
+
+def with_classes(docs: DataFrame, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
+    """``against_edits`` with the component_id of ``near_duplicates``; null ids have none."""
+    prints = written(fingerprints(docs, id, text), "fingerprints")
+    found = near_duplicates(prints, percent, id)
+    groups = written(found.where(F.col(id) != F.col("component_id")).distinct(), "spot-groups")
+    discard(prints, found)
+    return against_edits(docs, id, text, groups)
