@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import ctypes
+import gc
 import sys
 from collections.abc import Iterator
 
@@ -37,6 +38,13 @@ def discard(*tables: DataFrame | None) -> None:
             place.getFileSystem(context._jsc.hadoopConfiguration()).delete(place, True)
 
 
+def cleaned(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps that are done: it does so when the driver's JVM collects what referred to them, which may
+    be long after, while the next step fills the disks."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

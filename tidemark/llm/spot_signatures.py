@@ -3,17 +3,17 @@
 from __future__ import annotations
 
 import hashlib
-from collections.abc import Iterator
+import re
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-import regex
 import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import classes, discard, partitions, slices, written
+from .common import classes, cleaned, discard, partitions, slices, written
 from .linking import linked_classes, members_of
 from .ngram_join import crowd_links
 
@@ -27,7 +27,8 @@ ANCHORS = frozenset((
 CHAIN = 2  # content words of a chain
 DISTANCE = 1  # steps between them
 GAP = 8  # where so many words before hold no anchor, every word opens a spot
-WORD = regex.compile(r"[\p{L}\p{N}_]+")
+WORD = re.compile(r"\w+")
+SIGMA = "\u03a3"
 _TURNS = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93], np.uint64)
 
 
@@ -45,6 +46,9 @@ class _Codes(dict):
         return code
 
 
+Read = tuple[str, list[str], np.ndarray]
+
+
 class Spots:
     """Sorted distinct 32-bit signatures of texts: hashes of an anchor and the chain of content words after it.
 
@@ -56,11 +60,26 @@ class Spots:
         self.chain, self.distance = chain, distance
         self.codes = _Codes(anchors)
 
+    def read(self, text: str) -> Read:
+        """The lower-cased text, its words and their codes."""
+        low = text.lower()
+        words = WORD.findall(low)
+        return low, words, np.fromiter(map(self.codes.__getitem__, words), np.uint64, len(words))
+
+    def joined(self, one: Read, two: Read) -> np.ndarray:
+        """Codes of the words of two texts put together; a word that the cut divides is one again."""
+        (left, words, codes), (right, more, rest) = one, two
+        if left and right and WORD.match(left[-1]) and WORD.match(right[0]):
+            return np.concatenate([codes[:-1], np.array([self.codes[words[-1] + more[0]]], np.uint64), rest[1:]])
+        return np.concatenate([codes, rest])
+
     def __call__(self, texts: list[str]) -> list[np.ndarray]:
-        words = [WORD.findall(t.lower()) for t in texts]
-        sizes = np.array([len(w) for w in words], np.int64)
-        code = self.codes.__getitem__
-        codes = np.fromiter((c for row in words for c in map(code, row)), np.uint64, int(sizes.sum()))
+        return self.of([self.read(t)[2] for t in texts], texts.__getitem__)
+
+    def of(self, rows: list[np.ndarray], text: Callable[[int], str]) -> list[np.ndarray]:
+        """Signatures of texts whose words have these codes; ``text`` gives a text by its place."""
+        sizes = np.array([len(r) for r in rows], np.int64)
+        codes = np.concatenate(rows) if rows else np.zeros(0, np.uint64)
         ends = np.cumsum(sizes)
         anchor = (codes & np.uint64(1)).astype(bool)
         at = np.arange(len(codes))
@@ -80,11 +99,11 @@ class Spots:
             total = (total ^ (total >> np.uint64(31))) * _TURNS[3] + codes[content[first + k * self.distance]] * _TURNS[1 + k % 2]
         total = (total ^ (total >> np.uint64(29))) * _TURNS[3]
         found = np.unique((owner.astype(np.uint64) << np.uint64(32)) | (total >> np.uint64(32)))
-        cut = np.searchsorted(found, np.arange(1, len(texts), dtype=np.uint64) << np.uint64(32))
+        cut = np.searchsorted(found, np.arange(1, len(rows), dtype=np.uint64) << np.uint64(32))
         out = [own.astype(np.uint32) for own in np.split(found, cut)]
         for k in np.flatnonzero(sizes):
             if not len(out[k]):
-                out[k] = np.array([xxhash.xxh32_intdigest(" ".join(words[k]))], np.uint32)
+                out[k] = np.array([xxhash.xxh32_intdigest(" ".join(WORD.findall(text(int(k)).lower())))], np.uint32)
         return out
 
 
@@ -147,6 +166,7 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     kind = dict(prints.dtypes)[id]
     sets = prints.where(F.col("size") > 0).where(prints[id].isNotNull())
     nodes = written(sets.groupBy("fingerprint").agg(F.min(id).alias("node"), F.first("size").alias("n")), "prints")
+    cleaned(prints.sparkSession)
     step = float(np.log(100 / percent))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -158,11 +178,12 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
                 keep = n + (-percent * n // 100) + 1
                 short = n + (-2 * percent * n // (100 + percent)) + 1
                 own = int(np.log(n) / step + 1e-9)
-                for part in (own, own - 1):
-                    row += [number] * keep
-                    key.append((sigs[order[:keep]] << np.uint64(31) | np.uint64(part + 1)).view(np.int64))
-                    rank += range(keep)
-                    index += [part == own and k < short for k in range(keep)]
+                least = int(np.exp(own * step) * (1 - 1e-9))  # of its own partition no smaller set can link
+                for part, many in ((own, min(keep, n + (-percent * (n + least) // (100 + percent)) + 1)), (own - 1, keep)):
+                    row += [number] * many
+                    key.append((sigs[order[:many]] << np.uint64(31) | np.uint64(part + 1)).view(np.int64))
+                    rank += range(many)
+                    index += [part == own and k < short for k in range(many)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array(np.concatenate(key) if key else [], pa.int64()), batch["node"].take(pa.array(row, pa.int64())),
                  batch["n"].take(pa.array(row, pa.int64())), pa.array(rank, pa.int32()), pa.array(index, pa.bool_())],
@@ -171,17 +192,19 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     postings = nodes.select("fingerprint", "node", "n").mapInArrow(
         post, f"key long, node {kind}, n int, rank int, index boolean").withColumn("n", F.col("n").cast("long"))
     members = members_of(postings, "spots")
+    cleaned(prints.sparkSession)
     spare = [nodes, members]
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "fingerprint", 1 << 20):
-            own = [np.frombuffer(raw, ">u4").astype(np.int64) for raw in batch["fingerprint"].to_pylist()]
-            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([0] * len(own), pa.int32()), pa.array(own, pa.list_(pa.int64()))],
+            own = [np.frombuffer(raw, ">u4").astype(np.uint32).view(np.int32) for raw in batch["fingerprint"].to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch["node"], pa.array([0] * len(own), pa.int32()), pa.array(own, pa.list_(pa.int32()))],
                                              names=["node", "fragment", "segment"])
 
     def dense(crowded: DataFrame) -> DataFrame:
+        cleaned(prints.sparkSession)
         asked = nodes.join(crowded.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("fingerprint").alias("fingerprint"))
-        parts = asked.select("node", "fingerprint").mapInArrow(unpacked, f"node {kind}, fragment int, segment array<long>")
+        parts = asked.select("node", "fingerprint").mapInArrow(unpacked, f"node {kind}, fragment int, segment array<int>")
         return crowd_links(crowded, parts, percent, kind, spare)
 
     def verify(pairs: DataFrame) -> DataFrame:
@@ -202,6 +225,7 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     result = written(prints.select(F.col(id).alias("key"), "fingerprint").join(rooted, "fingerprint", "left").select(
         F.col("key").alias(id), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id")), "spot-classes")
     discard(*spare, roots)
+    cleaned(prints.sparkSession)
     low, high = F.min("component_id"), F.max("component_id")
     if result.where(F.col(id).isNotNull()).groupBy(id).agg((low != high).alias("split")).where("split").isEmpty():
         return result
@@ -217,15 +241,25 @@ RESULT = "n_chars long, edited_sha256 string, fingerprint binary, edited_fingerp
 
 def _compared(texts: list[str], after: list[str]) -> list[tuple]:
     """RESULT of each text, its next document being the one at the same place of ``after``."""
-    edited = []
+    spots = _spots()
+    edited, codes, known = [], [], {}
     for text, next_ in zip(texts, after, strict=True):
         cut = len(text) // 4
-        edited.append(text[:len(text) - cut] + next_[:cut])
-    # `after` mostly holds the same texts, moved by one
-    known = dict.fromkeys([*texts, *after])
-    known.update(zip(known, _spots()(list(known)), strict=True))
-    return [(len(t), hashlib.sha256(e.encode()).hexdigest(), _packed(known[t]), _packed(f), likeness(known[t], f), likeness(known[t], known[n]))
-            for t, n, e, f in zip(texts, after, edited, _spots()(edited), strict=True)]
+        head, tail = text[:len(text) - cut], next_[:cut]
+        edited.append(head + tail)
+        if SIGMA in text or SIGMA in tail:  # its small form depends on what follows, also across the cut
+            known.setdefault(text, spots.read(text)[2])
+            codes.append(spots.read(edited[-1])[2])
+        else:  # the words before the cut are read once for both texts
+            start = spots.read(head)
+            known.setdefault(text, spots.joined(start, spots.read(text[len(head):])))
+            codes.append(spots.joined(start, spots.read(tail)))
+    for text in after:  # mostly the same texts, moved by one
+        if text not in known:
+            known[text] = spots.read(text)[2]
+    marks = dict(zip(known, spots.of(list(known.values()), list(known).__getitem__), strict=True))
+    return [(len(t), hashlib.sha256(e.encode()).hexdigest(), _packed(marks[t]), _packed(f), likeness(marks[t], f), likeness(marks[t], marks[n]))
+            for t, n, e, f in zip(texts, after, edited, spots.of(codes, edited.__getitem__), strict=True)]
 
 
 def _ranges(docs: DataFrame, key: str, number: int):
