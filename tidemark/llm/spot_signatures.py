@@ -26,6 +26,7 @@ ANCHORS = frozenset((
 ).split())
 CHAIN = 2  # content words of a chain
 DISTANCE = 1  # steps between them
+HEAD = 0.3  # share of a set by which a pair is looked at first
 GAP = 8  # where so many words before hold no anchor, every word opens a spot
 WORD = re.compile(r"\w+")
 SIGMA = "\u03a3"
@@ -152,21 +153,32 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
         run, f"{id} {dict(docs.dtypes)[id]}, fingerprint binary, size int")
 
 
-def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") -> DataFrame:
+def _known(column: str) -> list:
+    """Two 64-bit hashes by which a fingerprint is known."""
+    return [F.xxhash64(column).alias("k1"), F.xxhash64(F.lit(7), column).alias("k2")]
+
+
+def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id", spend: bool = False) -> DataFrame:
     """One row per row of ``fingerprints``: ``id``, component_id, the smallest id reachable by links.
 
     Two documents link when the Jaccard similarity of their signatures is ``percent`` or more; equal fingerprints are one node, empty ones
-    link with nothing, rows without an id have no component, rows that share an id are one node. ``prints`` is read twice and had better be written.
+    link with nothing, rows without an id have no component, rows that share an id are one node. ``prints`` is read twice and had better be written; with
+    ``spend`` it is deleted once it has been read.
 
     Sizes are cut into partitions, each ``100 / percent`` times as long as the one before: a set is posted under its own partition and, as
     the larger side, looked up in the one below too, so sets of incompatible length never meet. Within one, sets meet under the rarest of
-    their signatures (by hash), as many as a link needs, and pairs that may link are compared whole; what is left of crowded postings is
+    their signatures (by hash), as many as a link needs. Pairs are compared by the first HEAD of both in that order, and those that may still link
+    whole; what is left of crowded postings is
     compared block by block, without a row per pair.
     """
     kind = dict(prints.dtypes)[id]
     sets = prints.where(F.col("size") > 0).where(prints[id].isNotNull())
     nodes = written(sets.groupBy("fingerprint").agg(F.min(id).alias("node"), F.first("size").alias("n")), "prints")
-    cleaned(prints.sparkSession)
+    ids = written(prints.select(F.col(id).alias("key"), *_known("fingerprint"), (F.col("size") > 0).alias("any")), "prints-of-ids")
+    if spend:
+        discard(prints)
+    spark = prints.sparkSession
+    cleaned(spark)
     step = float(np.log(100 / percent))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,7 +186,7 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
             row, key, rank, index = [], [], [], []
             for number, (raw, n) in enumerate(zip(batch["fingerprint"].to_pylist(), batch["n"].to_pylist(), strict=True)):
                 sigs = np.frombuffer(raw, ">u4").astype(np.uint64)
-                order = np.argsort(sigs * np.uint64(0x9E3779B97F4A7C15), kind="stable")
+                order = np.argsort(sigs * _TURNS[0])
                 keep = n + (-percent * n // 100) + 1
                 short = n + (-2 * percent * n // (100 + percent)) + 1
                 own = int(np.log(n) / step + 1e-9)
@@ -192,8 +204,8 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
     postings = nodes.select("fingerprint", "node", "n").mapInArrow(
         post, f"key long, node {kind}, n int, rank int, index boolean").withColumn("n", F.col("n").cast("long"))
     members = members_of(postings, "spots")
-    cleaned(prints.sparkSession)
-    spare = [nodes, members]
+    cleaned(spark)
+    spare = [ids, nodes, members]
 
     def unpacked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches, "fingerprint", 1 << 20):
@@ -202,30 +214,56 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id") ->
                                              names=["node", "fragment", "segment"])
 
     def dense(crowded: DataFrame) -> DataFrame:
-        cleaned(prints.sparkSession)
+        cleaned(spark)
         asked = nodes.join(crowded.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.min("fingerprint").alias("fingerprint"))
         parts = asked.select("node", "fingerprint").mapInArrow(unpacked, f"node {kind}, fragment int, segment array<int>")
         return crowd_links(crowded, parts, percent, kind, spare)
 
+    def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, "fingerprint", 1 << 20):
+            own = [np.frombuffer(raw, ">u4") for raw in batch["fingerprint"].to_pylist()]
+            first = [_packed(x[np.argsort(x.astype(np.uint64) * _TURNS[0])[:int(HEAD * len(x)) + 1]]) for x in own]
+            yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], pa.array(first, pa.binary())], names=["node", "n", "head"])
+
+    def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            keep = []
+            for an, x, bn, y in zip(*(batch[c].to_pylist() for c in ("an", "x", "bn", "y")), strict=True):
+                x, y = (np.frombuffer(raw, ">u4").astype(np.uint64) * _TURNS[0] for raw in (x, y))
+                end = min(x[-1], y[-1])  # up to here both sets are known
+                x, y = x[x <= end], y[y <= end]
+                differ = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
+                keep.append(differ * (100 + percent) <= (an + bn) * (100 - percent))
+            yield batch.select(["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            near = [100 * likeness(np.frombuffer(x, ">u4"), np.frombuffer(y, ">u4")) >= percent - 1e-9
+                    for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)]
+            yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+
     def verify(pairs: DataFrame) -> DataFrame:
-        side = nodes.select("node", "fingerprint")
-        both = (pairs.join(side.select(F.col("node").alias("a"), F.col("fingerprint").alias("x")), "a")
-                .join(side.select(F.col("node").alias("b"), F.col("fingerprint").alias("y")), "b"))
+        cleaned(spark)
+        links = f"a {kind}, b {kind}"
 
-        def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-            for batch in batches:
-                near = [100 * likeness(np.frombuffer(x, ">u4"), np.frombuffer(y, ">u4")) >= percent - 1e-9
-                        for x, y in zip(batch["x"].to_pylist(), batch["y"].to_pylist(), strict=True)]
-                yield batch.select(["a", "b"]).filter(pa.array(near, pa.bool_()))
+        def asked(pairs: DataFrame) -> DataFrame:
+            names = pairs.select(F.col("a").alias("node")).unionByName(pairs.select(F.col("b").alias("node"))).distinct()
+            return nodes.join(names, "node", "left_semi").select("node", "n", "fingerprint")
 
-        return both.mapInArrow(compare, f"a {kind}, b {kind}")
+        side = asked(pairs).mapInArrow(heads, f"node {kind}, n int, head binary")
+        near = pairs.join(side.toDF("a", "an", "x"), "a").join(side.toDF("b", "bn", "y"), "b").mapInArrow(may_link, links)
+        near = written(near.distinct(), "spots-near")
+        spare.append(near)
+        cleaned(spark)
+        side = asked(near).select("node", "fingerprint")
+        return near.join(side.toDF("a", "x"), "a").join(side.toDF("b", "y"), "b").mapInArrow(compare, links)
 
     roots = linked_classes(members, percent, verify, "spots", dense=dense)
-    rooted = nodes.join(roots, "node", "left").select("fingerprint", F.coalesce("root", "node").alias("root"))
-    result = written(prints.select(F.col(id).alias("key"), "fingerprint").join(rooted, "fingerprint", "left").select(
-        F.col("key").alias(id), F.when(F.col("key").isNotNull(), F.coalesce("root", "key")).alias("component_id")), "spot-classes")
+    rooted = nodes.join(roots, "node", "left").select(*_known("fingerprint"), F.coalesce("root", "node").alias("root"))
+    result = written(ids.join(rooted, ["k1", "k2"], "left").select(F.col("key").alias(id), F.when(
+        F.col("key").isNotNull(), F.coalesce(F.when(F.col("any"), F.col("root")), "key")).alias("component_id")), "spot-classes")
     discard(*spare, roots)
-    cleaned(prints.sparkSession)
+    cleaned(spark)
     low, high = F.min("component_id"), F.max("component_id")
     if result.where(F.col(id).isNotNull()).groupBy(id).agg((low != high).alias("split")).where("split").isEmpty():
         return result
@@ -351,7 +389,8 @@ def against_edits(docs: DataFrame, id: str = "doc_id", text: str = "text", group
 def with_classes(docs: DataFrame, percent: int = 80, id: str = "doc_id", text: str = "text") -> DataFrame:
     """``against_edits`` with the component_id of ``near_duplicates``; null ids have none."""
     prints = written(fingerprints(docs, id, text), "fingerprints")
-    found = near_duplicates(prints, percent, id)
+    found = near_duplicates(prints, percent, id, spend=True)
     groups = written(found.where(F.col(id) != F.col("component_id")).distinct(), "spot-groups")
-    discard(prints, found)
+    discard(found)
+    cleaned(docs.sparkSession)
     return against_edits(docs, id, text, groups)
