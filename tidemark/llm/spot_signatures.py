@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import hashlib
 import re
+import zlib
 from collections.abc import Callable, Iterator
 
 import numpy as np
@@ -15,7 +16,7 @@ from pyspark.sql import functions as F
 
 from .common import classes, cleaned, discard, partitions, slices, written
 from .linking import linked_classes, members_of
-from .ngram_join import crowd_links
+from .ngram_join import BUCKET_BITS, Order, crowd_links
 
 # fixed values: common words of English, German, French and Spanish that open a spot
 ANCHORS = frozenset((
@@ -153,6 +154,41 @@ def fingerprints(docs: DataFrame, id: str = "doc_id", text: str = "text") -> Dat
         run, f"{id} {dict(docs.dtypes)[id]}, fingerprint binary, size int")
 
 
+def _ranked(by: Order, signatures: np.ndarray) -> np.ndarray:
+    """Places of signatures in the order: by their counter, then by themselves."""
+    own = signatures.astype(np.uint64)
+    return by.keys(own << np.uint64(BUCKET_BITS) | own & np.uint64((1 << BUCKET_BITS) - 1))
+
+
+def rarity(prints: DataFrame) -> Order:
+    """Counts the signatures of the column fingerprint in a table of 2**BUCKET_BITS counters, whatever the number of rows; the driver gets only that."""
+    size, parts, kind = 1 << BUCKET_BITS, 16, "p int, counts binary"
+
+    def rows(sums: dict[int, np.ndarray]) -> pa.RecordBatch:
+        packed = [zlib.compress(c.astype(np.int64).tobytes(), 1) for c in sums.values()]
+        return pa.RecordBatch.from_arrays([pa.array(list(sums), pa.int32()), pa.array(packed, pa.binary())], names=["p", "counts"])
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros(size, np.int64)
+        for part in slices(batches, "fingerprint"):
+            found = np.frombuffer(b"".join(part["fingerprint"].to_pylist()), ">u4")
+            total += np.bincount(found.astype(np.int64) & (size - 1), minlength=size)
+        yield rows(dict(enumerate(np.split(total, parts))))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for p, raw in zip(batch["p"].to_pylist(), batch["counts"].to_pylist(), strict=True):
+                sums[p] = sums.get(p, 0) + np.frombuffer(zlib.decompress(raw), np.int64)
+        yield rows(sums)
+
+    found = prints.select("fingerprint").mapInArrow(count, kind).repartition(parts, "p").mapInArrow(add, kind).collect()
+    counts = np.zeros((parts, size // parts), np.int64)
+    for row in found:
+        counts[row["p"]] = np.frombuffer(zlib.decompress(row["counts"]), np.int64)
+    return Order(counts.reshape(-1), 1)
+
+
 def _known(column: str) -> list:
     """Two 64-bit hashes by which a fingerprint is known."""
     return [F.xxhash64(column).alias("k1"), F.xxhash64(F.lit(7), column).alias("k2")]
@@ -167,7 +203,7 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id", sp
 
     Sizes are cut into partitions, each ``100 / percent`` times as long as the one before: a set is posted under its own partition and, as
     the larger side, looked up in the one below too, so sets of incompatible length never meet. Within one, sets meet under the rarest of
-    their signatures (by hash), as many as a link needs. Pairs are compared by the first HEAD of both in that order, and those that may still link
+    their signatures (``rarity``), as many as a link needs. Pairs are compared by the first HEAD of both in that order, and those that may still link
     whole; what is left of crowded postings is
     compared block by block, without a row per pair.
     """
@@ -180,20 +216,22 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id", sp
     spark = prints.sparkSession
     cleaned(spark)
     step = float(np.log(100 / percent))
+    order = spark.sparkContext.broadcast(rarity(nodes))
 
     def post(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = order.value
         for batch in slices(batches, "fingerprint", 1 << 20):
             row, key, rank, index = [], [], [], []
             for number, (raw, n) in enumerate(zip(batch["fingerprint"].to_pylist(), batch["n"].to_pylist(), strict=True)):
                 sigs = np.frombuffer(raw, ">u4").astype(np.uint64)
-                order = np.argsort(sigs * _TURNS[0])
+                turn = np.argsort(_ranked(by, sigs))
                 keep = n + (-percent * n // 100) + 1
                 short = n + (-2 * percent * n // (100 + percent)) + 1
                 own = int(np.log(n) / step + 1e-9)
                 least = int(np.exp(own * step) * (1 - 1e-9))  # of its own partition no smaller set can link
                 for part, many in ((own, min(keep, n + (-percent * (n + least) // (100 + percent)) + 1)), (own - 1, keep)):
                     row += [number] * many
-                    key.append((sigs[order[:many]] << np.uint64(31) | np.uint64(part + 1)).view(np.int64))
+                    key.append((sigs[turn[:many]] << np.uint64(31) | np.uint64(part + 1)).view(np.int64))
                     rank += range(many)
                     index += [part == own and k < short for k in range(many)]
             yield pa.RecordBatch.from_arrays(
@@ -220,16 +258,18 @@ def near_duplicates(prints: DataFrame, percent: int = 80, id: str = "doc_id", sp
         return crowd_links(crowded, parts, percent, kind, spare)
 
     def heads(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = order.value
         for batch in slices(batches, "fingerprint", 1 << 20):
             own = [np.frombuffer(raw, ">u4") for raw in batch["fingerprint"].to_pylist()]
-            first = [_packed(x[np.argsort(x.astype(np.uint64) * _TURNS[0])[:int(HEAD * len(x)) + 1]]) for x in own]
+            first = [_packed(x[np.argsort(_ranked(by, x))[:int(HEAD * len(x)) + 1]]) for x in own]
             yield pa.RecordBatch.from_arrays([batch["node"], batch["n"], pa.array(first, pa.binary())], names=["node", "n", "head"])
 
     def may_link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        by = order.value
         for batch in batches:
             keep = []
             for an, x, bn, y in zip(*(batch[c].to_pylist() for c in ("an", "x", "bn", "y")), strict=True):
-                x, y = (np.frombuffer(raw, ">u4").astype(np.uint64) * _TURNS[0] for raw in (x, y))
+                x, y = (_ranked(by, np.frombuffer(raw, ">u4")) for raw in (x, y))
                 end = min(x[-1], y[-1])  # up to here both sets are known
                 x, y = x[x <= end], y[y <= end]
                 differ = len(x) + len(y) - 2 * len(np.intersect1d(x, y, assume_unique=True))
