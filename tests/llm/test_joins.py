@@ -241,6 +241,26 @@ def test_suffix_dedup(table, texts, length, group, monkeypatch):
     assert len(got) == len(texts)
 
 
+def test_repeated_passages_go_from_400_bytes_on(spark):
+    rnd = random.Random(8)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=4)) for _ in range(n))
+    rows, want = [], {}
+    # over 50 words each: 349, 399, 400 and 699 bytes, between other bytes in either document
+    for passage in (words(70), words(80), words(80) + "x", words(140)):
+        for left, right in ("[]", "()"):
+            before, after = words(120) + left, right + words(120)
+            text, cut = before + passage + after, len(passage) >= 400
+            rest = before + after if cut else text
+            want[len(rows)] = (len(text), len(passage) if cut else 0, int(cut), hashlib.sha256(rest.encode()).hexdigest())
+            rows.append((len(rows), text))
+    for _ in range(4):  # nothing in them repeats
+        text = words(300)
+        want[len(rows)] = (len(text), 0, 0, hashlib.sha256(text.encode()).hexdigest())
+        rows.append((len(rows), text))
+    got = suffix_dedup.digests(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {r.doc_id: tuple(r)[1:] for r in got} == want
+
+
 def test_suffix_dedup_keeps_columns_and_rows(table, texts, empty):
     out = suffix_dedup.without_repeats(table, length=60)
     want = plain_repeats(texts, 60)
