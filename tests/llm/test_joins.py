@@ -9,7 +9,7 @@ import re
 import numpy as np
 import pytest
 
-from tidemark.llm import boosting, common, dom, embedding_dedup, html_extract, linking, ngram_join, spot_signatures, suffix_dedup, windows
+from tidemark.llm import boosting, common, dom, embedding_dedup, html_extract, linking, ngram_join, queries, spot_signatures, suffix_dedup, windows
 from tidemark.llm.suffix_array import common_prefixes, repeated, suffix_array
 
 
@@ -261,6 +261,29 @@ def test_repeated_passages_go_from_400_bytes_on(spark):
     assert {r.doc_id: tuple(r)[1:] for r in got} == want
 
 
+def test_rows_show_the_text_without_its_repeats(spark, tmp_path):
+    rnd = random.Random(9)
+    words = lambda n: " ".join("".join(rnd.choices("abcdefgh", k=6)) for _ in range(n))
+    rows, want = [(0, None), (1, ""), (2, words(200))], {0: "", 1: ""}
+    want[2] = rows[2][1]
+    passages = [words(60), words(90)]  # over 50 words and 400 bytes each
+    for k, (left, right) in enumerate(("[]", "()", "{}"), 3):
+        before, between, after = words(80) + left, right + words(80) + left, right + words(80)
+        rows.append((k, before + passages[0] + between + passages[1] + after))
+        want[k] = before + between + after
+    # both start inside a character, the second byte of which is the same
+    passage = words(70)
+    rows += [(6, "x\u00e9" + passage + "y"), (7, "z\u0129" + passage + "w")]
+    want |= {6: "xy", 7: "zw"}
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    got = {r.doc_id: r for r in queries.QUERIES["op4_suffix_dedup"](spark, str(tmp_path)).collect()}
+    assert {k: r.text for k, r in got.items()} == want
+    assert got[6].n_removed == got[7].n_removed == len(passage) + 1 and got[6].kept_sha256 == hashlib.sha256(b"x\xc3y").hexdigest()
+    for k in range(6):
+        left = got[k].text.encode()
+        assert got[k].kept_sha256 == hashlib.sha256(left).hexdigest() and got[k].n_bytes - got[k].n_removed == len(left)
+
+
 def test_suffix_dedup_keeps_columns_and_rows(table, texts, empty):
     out = suffix_dedup.without_repeats(table, length=60)
     want = plain_repeats(texts, 60)
